@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming source, state or window: every input is a
+bounded text file. Nothing here yet beyond this note; the batch operators
+are plain DataFrame transformations and therefore already usable on a
+streaming DataFrame where Spark allows the same operators (filters,
+projections, the category count aggregate in complete mode).
+"""
