@@ -4,25 +4,29 @@ Set-oriented counting (SETM, Houtsma & Swami 1995) with Apriori subset
 pruning (Agrawal & Srikant 1994), expressed as joins and aggregations:
 
 * ``tx(tid, item, m)``  one row per distinct (tid, item), ``m`` its weight.
-* ``occ_k(tid, items, w)``  each transaction's frequent k-sets, ``w`` the
+* ``occ_k(tid, i1..ik, w)``  each transaction's frequent k-sets, ``w`` the
   weight of the set's first (smallest) item in that transaction.
-* level k:  ``occ_{k-1} JOIN tx ON tid AND item > last(items)``, then
-  ``GROUP BY items HAVING sum(w) >= threshold``.
+* level k:  ``occ_{k-1} JOIN tx ON tid AND item > i{k-1}``, then
+  ``GROUP BY i1..ik HAVING sum(w) >= threshold``.
 
 The weight rule reproduces the reference's bag counting exactly: there the
 id list of a set keeps the duplicates of its first item's id list, so
 support(S) = sum over transactions holding S of m(tid, first(S)). With
 ``m = 1`` everywhere this is the usual distinct support.
 
-Exactness does not depend on candidate pruning: a set is counted from the
-transactions holding it, only frequent items extend, and only frequent
-(k-1)-prefixes are extended. Pruning is a semi-join of the extensions
-against level k-1 on each (k-1)-subset that is known to bound the support:
-every subset in distinct mode, only subsets keeping the first item in bag
-mode (dropping the first item changes the weights, so bag support is not
-anti-monotone there). The pruning sets are broadcast only when the level's
-row count, known from the loop, is under ``broadcast_rows``; above it the
-step is skipped and the aggregate alone decides.
+Exactness does not depend on candidate generation: a set is counted from
+the transactions holding it, only frequent items extend, and only frequent
+(k-1)-prefixes are extended. The reference's candidate rule (two frequent
+(k-1)-sets sharing their first k-2 items) adds nothing to that: the
+second set keeps the first item, so its support bounds the new set's even
+in bag mode, and the threshold test rejects what the rule would. Optional
+pruning (``prune=True``) is a semi-join of the extensions against level
+k-1 on each (k-1)-subset known to bound the support: every subset in
+distinct mode, only subsets keeping the first item in bag mode (dropping
+the first item changes the weights, so bag support is not anti-monotone
+there). The pruning sets are broadcast only when the level's row count,
+known from the loop, is under ``broadcast_rows``; above it the step is
+skipped and the aggregate alone decides.
 
 No pair of sets or of transactions is ever enumerated from a group; the
 only driver traffic is one small stats row and one count per level. Every
@@ -34,11 +38,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.arrays import drop_position, support_threshold
+from basketry.functions.arrays import support_threshold
 from basketry.session import Workspace
 
 DEFAULT_MIN_SUPPORT = 0.3   # fixed: reference default minimum support
@@ -59,44 +64,57 @@ class FrequentItemsets:
     workspace: Workspace | None = None
 
 
-def _semi(df: DataFrame, keys: DataFrame, on: str, small: bool) -> DataFrame:
+def _cols(k: int) -> list[str]:
+    """Column names of a k-set carried flat: ``i1 .. ik`` ascending."""
+    return [f"i{j}" for j in range(1, k + 1)]
+
+
+def _semi(df: DataFrame, keys: DataFrame, on: list[str], small: bool) -> DataFrame:
     right = F.broadcast(keys) if small else keys
     return df.join(right, on, "left_semi")
 
 
-def _extend(occ: DataFrame, txf: DataFrame) -> DataFrame:
-    """Append each later item of the same transaction to each set."""
+def _extend(occ: DataFrame, txf: DataFrame, k: int) -> DataFrame:
+    """Append each later item of the same transaction to each (k-1)-set."""
     o = occ.alias("o")
     t = txf.select("tid", "item").alias("t")
-    cond = (F.col("o.tid") == F.col("t.tid")) & (
-        F.col("t.item") > F.element_at(F.col("o.items"), -1))
+    cond = (F.col("o.tid") == F.col("t.tid")) & (F.col("t.item") > F.col(f"o.i{k - 1}"))
     return o.join(t, cond, "inner").select(
         F.col("o.tid").alias("tid"),
-        F.concat(F.col("o.items"), F.array(F.col("t.item"))).alias("items"),
+        *[F.col(f"o.{c}").alias(c) for c in _cols(k - 1)],
+        F.col("t.item").alias(f"i{k}"),
         F.col("o.w").alias("w"),
     )
 
 
 def _prune(ext: DataFrame, prev: DataFrame, k: int, weighted: bool) -> DataFrame:
     """Keep extensions whose bounding (k-1)-subsets are all in ``prev``."""
-    keys = F.broadcast(prev.select(F.col("items").alias("subset_key")))
+    keys = F.broadcast(prev.select(*[F.col(c).alias(f"p{c}") for c in _cols(k - 1)]))
     first = 1 if weighted else 0
     for j in range(first, k - 1):   # j = k-1 drops the new item: the prefix itself
-        ext = ext.join(keys, drop_position(F.col("items"), j) == F.col("subset_key"),
-                       "left_semi")
+        kept = [c for pos, c in enumerate(_cols(k)) if pos != j]
+        cond = None
+        for c, p in zip(kept, _cols(k - 1)):
+            eq = F.col(c) == F.col(f"p{p}")
+            cond = eq if cond is None else cond & eq
+        ext = ext.join(keys, cond, "left_semi")
     return ext
 
 
 def _count_level(ext: DataFrame, k: int, threshold: int) -> DataFrame:
-    return (ext.groupBy("items")
+    return (ext.groupBy(*_cols(k))
             .agg(F.sum("w").cast(T.LongType()).alias("support"))
-            .where(F.col("support") >= F.lit(threshold))
-            .select("items", F.lit(k).alias("k"), "support"))
+            .where(F.col("support") >= F.lit(threshold)))
+
+
+def _as_itemsets(level: DataFrame, k: int) -> DataFrame:
+    return level.select(F.array(*_cols(k)).alias("items"), F.lit(k).alias("k"), "support")
 
 
 def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int = DEFAULT_MAX_SIZE, *,
                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                      prune: bool = False,
                       workspace: Workspace | None = None) -> FrequentItemsets:
     """Mine all sets of at most ``max_size`` items with support >= threshold.
 
@@ -105,6 +123,15 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     the effective threshold is at least 1. Levels stop at the first empty
     one; ``max_size`` is clamped to the largest basket, which cannot change
     the result.
+
+    Inside the loop a k-set travels as k flat columns ``i1..ik`` (fixed per
+    level), so joins, aggregates and semi-joins hash primitive keys inside
+    whole-stage codegen; arrays are built only for the returned table.
+
+    ``prune=True`` adds the subset semi-joins before counting. They cost a
+    hash probe per bounding subset and extension, more than the partial
+    aggregate they relieve, so they pay only when infrequent extensions
+    would otherwise swamp the per-task aggregation maps.
     """
     if int(max_size) < 1:
         raise ValueError(f"max_size must be >= 1, got {max_size!r}")
@@ -136,33 +163,39 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     if n == 0:
         return result
 
-    level1 = (tx.groupBy("item").agg(F.sum("m").cast(T.LongType()).alias("support"))
-              .where(F.col("support") >= F.lit(effective))
-              .select(F.array("item").alias("items"), F.lit(1).alias("k"), "support"))
+    level1 = (tx.groupBy(F.col("item").alias("i1"))
+              .agg(F.sum("m").cast(T.LongType()).alias("support"))
+              .where(F.col("support") >= F.lit(effective)))
     prev = ws.materialize(level1, "level-1")
     n_prev = prev.count()
     result.level_counts.append(n_prev)
-    levels = [prev]
+    levels = [_as_itemsets(prev, 1)]
 
     if n_prev > 0 and k_max >= 2:
-        frequent_items = prev.select(F.col("items")[0].alias("item"))
-        txf = _semi(tx, frequent_items, "item", n_prev <= broadcast_rows)
-        occ = txf.select("tid", F.array("item").alias("items"), F.col("m").alias("w"))
+        frequent_items = prev.select(F.col("i1").alias("item"))
+        txf = _semi(tx, frequent_items, ["item"], n_prev <= broadcast_rows)
+        occ = txf.select("tid", F.col("item").alias("i1"), F.col("m").alias("w"))
         for k in range(2, k_max + 1):
-            ext = _extend(occ, txf)
-            if k >= 3 and n_prev <= broadcast_rows:
+            ext = _extend(occ, txf, k)
+            if prune and k >= 3 and n_prev <= broadcast_rows:
                 ext = _prune(ext, prev, k, weighted)
             last = k == k_max
             if not last:
-                ext = ws.materialize(ext, f"occurrences-{k}")
+                # counted once and filtered once: keep the extensions for both
+                # passes; a lost block is recomputed from the written level k-1
+                ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
             level = ws.materialize(_count_level(ext, k, effective), f"level-{k}")
             n_level = level.count()
             result.level_counts.append(n_level)
+            if n_level > 0 and not last:
+                occ = ws.materialize(
+                    _semi(ext, level.select(*_cols(k)), _cols(k), n_level <= broadcast_rows),
+                    f"occurrences-{k}")
+            if not last:
+                ext.unpersist()
             if n_level == 0:
                 break
-            levels.append(level)
-            if not last:
-                occ = _semi(ext, level.select("items"), "items", n_level <= broadcast_rows)
+            levels.append(_as_itemsets(level, k))
             prev, n_prev = level, n_level
 
     itemsets = levels[0]

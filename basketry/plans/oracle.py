@@ -208,4 +208,9 @@ FROM masks""",
         "rules_confident": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "rules_ordered": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "rules_bag": f"WITH {b3.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
+        "rule_report_lines": f"""
+WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
+SELECT array_to_string(ant, ' ') || chr(9) || array_to_string(cons, ' ') || chr(9)
+       || CAST(conf AS VARCHAR) AS line
+FROM kept""",
     }
