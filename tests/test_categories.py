@@ -1,0 +1,58 @@
+"""Category counts (job 1): fan-out, duplicates, brute force (T4)."""
+
+from __future__ import annotations
+
+import random
+
+import brute
+from conftest import SF0001, entities, measurements
+
+from basketry.operators import category_counts, category_report_lines
+from basketry.plans import queries as Q
+from basketry.plans import tables as fx
+
+
+def test_fan_out_counts_measurement_token_pairs(spark):
+    m = measurements(spark, [("p1", 1, 2e6), ("p1", 2, 2e6), ("p1", 3, 2e6), ("p1", 4, 1.0)])
+    e = entities(spark, [("p1", "lymphoma lymphoma")])
+    assert {r.category: r.n for r in category_counts(m, e).collect()} == {"lymphoma": 6}
+
+
+def test_duplicate_entity_rows_multiply(spark):
+    m = measurements(spark, [("p1", 1, 2e6), ("p2", 1, 2e6)])
+    e = entities(spark, [("p1", "breast-cancer"), ("p1", "breast-cancer leukemia"),
+                         ("p2", "Leukemia flu")])
+    got = {r.category: r.n for r in category_counts(m, e).collect()}
+    assert got == {"breast-cancer": 2, "leukemia": 1, "Leukemia": 1}
+
+
+def test_report_lines_ordered(spark):
+    m = measurements(spark, [("p1", 1, 2e6), ("p2", 1, 2e6), ("p2", 2, 2e6)])
+    e = entities(spark, [("p1", "lymphoma skin-cancer"), ("p2", "lymphoma")])
+    lines = [r.line for r in category_report_lines(category_counts(m, e)).collect()]
+    assert lines == ["lymphoma\t3", "skin-cancer\t1"]
+
+
+def test_random_against_brute_force(spark):
+    rng = random.Random(9)
+    words = ["lung-cancer", "Lymphoma", "leukemia", "flu", "cancerous", "LEUKEMIA", ""]
+    mrows = [(f"p{rng.randint(0, 15)}", rng.randint(1, 5), rng.choice([1e6, 1.3e6, 1250000.04]))
+             for _ in range(120)]
+    erows = [(f"p{rng.randint(0, 15)}", " ".join(rng.choice(words) for _ in range(3)))
+             for _ in range(30)]
+    got = {r.category: r.n for r in category_counts(
+        measurements(spark, mrows), entities(spark, erows)).collect()}
+    want = brute.category_counts([(t, v) for t, _, v in mrows], erows, 1250000.0, "cancer",
+                                 ("leukemia", "lymphoma"))
+    assert got == want
+
+
+def test_fixture_counts_sf0001(spark):
+    got = {r.category: r.n for r in Q.category_counts_q(spark, SF0001).collect()}
+    assert got == {"gear": 526, "cold": 487, "widget": 458, "old": 439, "bolt": 377}
+    li = spark.read.parquet(f"{SF0001}/lineitem.parquet").collect()
+    parts = spark.read.parquet(f"{SF0001}/part.parquet").collect()
+    want = brute.category_counts([(r.l_partkey, r.l_extendedprice) for r in li],
+                                 [(r.p_partkey, r.p_name) for r in parts],
+                                 fx.FA_CUTOFF, fx.FA_SUBSTRING, fx.FA_NAMES)
+    assert got == want

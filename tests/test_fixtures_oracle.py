@@ -1,0 +1,82 @@
+"""Registered queries against DuckDB oracles, FP-Growth and the id-list model."""
+
+from __future__ import annotations
+
+import brute
+import duckdb
+import pytest
+from conftest import SF001, SF0001
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from basketry.plans import queries as Q
+from basketry.plans import tables as fx
+
+TABLES = ["customer", "lineitem", "orders", "part"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
+    return con
+
+
+def _norm(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_matches_oracle(spark, duck, name):
+    df = entry.queries()[name](spark, SF0001)
+    res = duck.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert sorted(df.columns) == sorted(ocols)
+    got = _norm(df.select(*ocols).collect())
+    assert got == _norm(res.fetchall())
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["antecedent", "consequent", "support", "antecedent_support",
+                          "confidence"]
+    assert df.count() > 0
+
+
+def test_level_counts_sf001(spark):
+    tx = Q._fb_tx(spark, SF001, True)
+    res = Q.frequent_itemsets(tx, fx.FB_MIN_SUPPORT, fx.FB_MAX_SIZE)
+    assert (res.n_transactions, res.threshold) == (610, 122)
+    assert res.level_counts == [25, 300, 648, 0]
+
+
+def test_fpgrowth_agrees_distinct_sf001(spark):
+    tx = Q._fb_tx(spark, SF001, True)
+    res = Q.frequent_itemsets(tx, fx.FB_MIN_SUPPORT, fx.FB_MAX_SIZE)
+    baskets = tx.groupBy("tid").agg(F.collect_list("item").alias("items"))
+    n, th = res.n_transactions, res.threshold
+    model = FPGrowth(itemsCol="items", minSupport=(th - 0.5) / n, minConfidence=1.0) \
+        .fit(baskets)
+    fp = {tuple(sorted(r["items"])): r["freq"] for r in model.freqItemsets.collect()
+          if len(r["items"]) <= fx.FB_MAX_SIZE}
+    ours = {tuple(r["items"]): r["support"] for r in res.itemsets.collect()}
+    assert ours == fp
+
+
+def test_bag_mode_matches_idlist_model_sf0001(spark):
+    m = fx.fb_measurements(spark, SF0001)
+    e = fx.fb_entities(spark, SF0001)
+    strong = m.where(F.col("value").cast("float") >= F.lit(fx.FB_CUTOFF).cast("float"))
+    ents = e.where(F.arrays_overlap("categories", F.array(*[F.lit(c) for c in fx.FB_CATEGORIES])))
+    pairs = [(r.tid, r.item) for r in strong.join(ents, "tid").select("tid", "item").collect()]
+    want, n, th = brute.mine_idlists(pairs, fx.FB_MIN_SUPPORT, fx.FB_BAG_MAX_SIZE)
+    res = Q.frequent_itemsets(Q._fb_tx(spark, SF0001, False), fx.FB_MIN_SUPPORT,
+                              fx.FB_BAG_MAX_SIZE)
+    assert (res.n_transactions, res.threshold) == (n, th)
+    assert {tuple(r["items"]): r["support"] for r in res.itemsets.collect()} == want

@@ -1,0 +1,76 @@
+"""Strong-value and category predicates (traps T1, T2, T3, T5)."""
+
+from __future__ import annotations
+
+from conftest import entities, measurements
+from pyspark.sql import functions as F
+
+from basketry.functions import category_token, has_any_token, strong, strong_filter
+from basketry.operators import category_tokens
+
+CUT = 1250000.0
+VALUES = [1250000.0, 1250000.04, 1250000.2, float("nan")]
+
+
+def _kept(spark, value_type, inclusive):
+    rows = [(f"p{i}", 1, v) for i, v in enumerate(VALUES)]
+    df = measurements(spark, rows, value_type)
+    return sorted(r.tid for r in strong_filter(df, "value", CUT, inclusive).collect())
+
+
+def test_strict_vs_inclusive_as_float_double_column(spark):
+    # 1250000.04 rounds to 1250000.0f: not > but >=; NaN never strong
+    assert _kept(spark, "double", False) == ["p2"]
+    assert _kept(spark, "double", True) == ["p0", "p1", "p2"]
+
+
+def test_strict_vs_inclusive_float_column(spark):
+    assert _kept(spark, "float", False) == ["p2"]
+    assert _kept(spark, "float", True) == ["p0", "p1", "p2"]
+
+
+def test_double_comparison_would_differ(spark):
+    # the trap: compared as double, 1250000.04 is above the cutoff
+    df = measurements(spark, [("p", 1, 1250000.04)])
+    assert df.where(F.col("value") > CUT).count() == 1
+    assert df.where(strong("value", CUT, False)).count() == 0
+
+
+def test_scan_bound_reaches_parquet(spark, ws):
+    df = measurements(spark, [(f"p{i}", 1, float(v)) for i, v in enumerate(range(0, 100))])
+    path = ws.location("values")
+    df.write.parquet(path)
+    plan = strong_filter(spark.read.parquet(path), "value", 50.0, False) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(value," in plan
+
+
+def test_scan_bound_is_implied_near_cutoff(spark):
+    # values just below the cutoff that still round up to it as floats
+    vals = [CUT - 0.06, CUT - 0.07, CUT - 0.0625, 0.0, -1e-50]
+    df = measurements(spark, [(f"p{i}", 1, v) for i, v in enumerate(vals)])
+    exact = df.where(strong("value", CUT, True)).count()
+    assert strong_filter(df, "value", CUT, True).count() == exact
+    zero = df.where(strong("value", 0.0, True)).count()
+    assert strong_filter(df, "value", 0.0, True).count() == zero
+
+
+def test_category_case_rules(spark):
+    ents = entities(spark, [("p1", "skin-cancer Leukemia leukemia Breast-Cancer")])
+    job1 = sorted(r.category for r in category_tokens(ents).collect())
+    assert job1 == ["Leukemia", "leukemia", "skin-cancer"]
+    tokens = ents.select(F.explode("categories").alias("t"))
+    job2 = [r.t for r in tokens.where(has_any_token(F.array("t"))).collect()]
+    assert job2 == ["leukemia"]
+
+
+def test_category_token_custom(spark):
+    df = spark.createDataFrame([("cold",), ("WIDGET",), ("gear",), ("plate",)], "t string")
+    kept = sorted(r.t for r in df.where(category_token("t", "ol", ("WIDGET", "GEAR"))).collect())
+    assert kept == ["WIDGET", "cold", "gear"]
+
+
+def test_has_any_token_empty_list_and_null(spark):
+    df = spark.createDataFrame([(["a"],), (None,)], "c array<string>")
+    assert df.where(has_any_token("c", [])).count() == 0
+    assert df.where(has_any_token("c", ["a"])).count() == 1
