@@ -3,10 +3,15 @@
 ``transactions`` returns ``(tid, item, m)`` with one row per distinct
 (tid, item): ``m`` is the multiplicity the reference's bag semantics give
 the pair (strong measurement rows x matching entity rows), or 1 in
-distinct mode. Strong measurements are aggregated per (tid, item) before
-the join on ``tid``: the first shuffle is keyed by (tid, item), so even an
-entity holding a third of all rows is spread over many tasks, and after it
-the entity has at most one row per distinct item.
+distinct mode.
+
+Qualifying entities are reduced to ``(tid, n_ent)``. Within the broadcast
+bound they are joined map-side, so measurements of other entities are
+dropped during the scan and the only shuffle is the (tid, item)
+aggregate. Beyond it, strong measurements are first aggregated per
+(tid, item), a shuffle keyed by both columns that spreads even an entity
+holding a third of all rows, and then joined on ``tid``, where each
+entity has at most one row per distinct item.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from basketry.functions.predicates import (
     has_any_token,
     strong_filter,
 )
+from basketry.session import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 
 def qualifying_entities(entities: DataFrame,
@@ -34,13 +40,18 @@ def qualifying_entities(entities: DataFrame,
 def transactions(measurements: DataFrame, entities: DataFrame, *,
                  cutoff: float = DEFAULT_CUTOFF, inclusive: bool = True,
                  categories: Iterable[str] = DEFAULT_CATEGORY_LIST,
-                 distinct: bool = True) -> DataFrame:
+                 distinct: bool = True,
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``(tid, item, m)`` for strong measurements of qualifying entities."""
     strong = strong_filter(measurements.select("tid", "item", "value"),
                            "value", cutoff, inclusive)
-    pairs = strong.groupBy("tid", "item").agg(F.count(F.lit(1)).alias("n_meas"))
-    ents = (qualifying_entities(entities, categories)
+    ents = (qualifying_entities(entities, tuple(categories))
             .groupBy("tid").agg(F.count(F.lit(1)).alias("n_ent")))
+    if fits_broadcast(ents, broadcast_rows):
+        joined = strong.join(F.broadcast(ents), "tid", "inner")
+        m = F.lit(1) if distinct else F.sum("n_ent")
+        return joined.groupBy("tid", "item").agg(m.cast("bigint").alias("m"))
+    pairs = strong.groupBy("tid", "item").agg(F.count(F.lit(1)).alias("n_meas"))
     joined = pairs.join(ents, "tid", "inner")
     if distinct:
         m = F.lit(1).cast("bigint")

@@ -3,12 +3,16 @@
 The count is over (strong measurement x matching token) pairs of the
 measurement-entity join on ``tid``: an entity with three strong
 measurements adds 3 to each of its tokens, a token listed twice adds twice,
-and duplicate entity rows multiply. Both sides are aggregated to counts
-before the join, so no raw row pair is ever built:
+and duplicate entity rows multiply:
 
     n(category) = sum over tid of strong(tid) * tokens(tid, category)
 
-A hot ``tid`` collapses to one row before the join shuffle.
+The token side ``(tid, category, n_token)`` comes from the entity table.
+When its row count is within the broadcast bound it is joined map-side:
+the measurement table is scanned once and never shuffled, each task
+emits one partial sum per category. Otherwise strong measurements are
+first aggregated per ``tid`` (a hot ``tid`` collapses to one row per
+task) and joined by shuffle.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from basketry.functions.predicates import (
     category_token,
     strong_filter,
 )
+from basketry.session import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 
 def strong_measurements(measurements: DataFrame, *, cutoff: float = DEFAULT_CUTOFF,
@@ -54,13 +59,18 @@ def strong_entity_pairs(measurements: DataFrame, entities: DataFrame, *,
 def category_counts(measurements: DataFrame, entities: DataFrame, *,
                     cutoff: float = DEFAULT_CUTOFF, inclusive: bool = False,
                     substring: str = DEFAULT_CATEGORY_SUBSTRING,
-                    names: Iterable[str] = DEFAULT_CATEGORY_NAMES) -> DataFrame:
+                    names: Iterable[str] = DEFAULT_CATEGORY_NAMES,
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``(category, n)``: unordered; see :func:`order_category_counts`."""
-    per_tid = (strong_measurements(measurements.select("tid", "value"),
-                                   cutoff=cutoff, inclusive=inclusive)
-               .groupBy("tid").agg(F.count(F.lit(1)).alias("n_strong")))
-    per_token = (category_tokens(entities, substring=substring, names=names)
+    strong = strong_measurements(measurements.select("tid", "value"),
+                                 cutoff=cutoff, inclusive=inclusive)
+    per_token = (category_tokens(entities, substring=substring, names=tuple(names))
                  .groupBy("tid", "category").agg(F.count(F.lit(1)).alias("n_token")))
+    if fits_broadcast(per_token, broadcast_rows):
+        return (strong.join(F.broadcast(per_token), "tid", "inner")
+                .groupBy("category")
+                .agg(F.sum("n_token").cast("bigint").alias("n")))
+    per_tid = strong.groupBy("tid").agg(F.count(F.lit(1)).alias("n_strong"))
     return (per_tid.join(per_token, "tid", "inner")
             .groupBy("category")
             .agg(F.sum(F.col("n_strong") * F.col("n_token")).cast("bigint").alias("n")))

@@ -44,11 +44,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.arrays import support_threshold
-from basketry.session import Workspace
+from basketry.session import DEFAULT_BROADCAST_ROWS, Workspace
 
 DEFAULT_MIN_SUPPORT = 0.3   # fixed: reference default minimum support
 DEFAULT_MAX_SIZE = 5        # fixed: reference default largest itemset size
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 @dataclass

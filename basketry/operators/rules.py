@@ -23,6 +23,7 @@ from basketry.functions.arrays import (
     proper_subset_masks,
     subset_by_mask,
 )
+from basketry.session import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 DEFAULT_MIN_CONFIDENCE = 0.6   # fixed: reference default minimum confidence
 MAX_ENUMERABLE_SIZE = 62       # bitmasks are 64-bit longs
@@ -46,16 +47,22 @@ def proper_subsets(itemsets: DataFrame) -> DataFrame:
 
 
 def association_rules(itemsets: DataFrame,
-                      min_confidence: float | None = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
+                      min_confidence: float | None = DEFAULT_MIN_CONFIDENCE, *,
+                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``(antecedent, consequent, support, antecedent_support, confidence)``.
 
     ``min_confidence=None`` keeps every rule; otherwise ``confidence >=
-    float(min_confidence)`` with both sides 32-bit floats.
+    float(min_confidence)`` with both sides 32-bit floats. The set table is
+    broadcast for the lookup when its row count is within
+    ``broadcast_rows``; otherwise the subsets are shuffle-joined on the
+    antecedent (AQE splits a hot antecedent such as a single common item).
     """
     subsets = proper_subsets(itemsets).select(
         F.col("items").alias("full"), F.col("support"), F.col("subset").alias("antecedent"))
     lookup = itemsets.select(F.col("items").alias("antecedent"),
                              F.col("support").alias("antecedent_support"))
+    if fits_broadcast(lookup, broadcast_rows):
+        lookup = F.broadcast(lookup)
     rules = subsets.join(lookup, "antecedent", "inner").select(
         "antecedent",
         F.array_except("full", "antecedent").alias("consequent"),

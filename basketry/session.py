@@ -14,6 +14,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Largest row count a side may have to be broadcast by an explicit hint.
+# Every hint in the library sits behind a count of that side against this
+# bound; larger sides take the shuffle path.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, broadcast_rows: int | None) -> bool:
+    """Count ``df`` (one job) and compare with the broadcast bound."""
+    if not broadcast_rows or broadcast_rows <= 0:
+        return False
+    return df.limit(broadcast_rows + 1).count() <= broadcast_rows
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "basketry") -> SparkSession:

@@ -48,3 +48,4 @@ def read_itemset_report(spark: SparkSession, path: str, *,
         parse_items("set_text", ITEM_SEPARATOR, item_type).alias("items"),
         F.col("support"),
     ).select("items", F.size("items").alias("k"), "support")
+

@@ -56,3 +56,11 @@ def test_fixture_counts_sf0001(spark):
                                  [(r.p_partkey, r.p_name) for r in parts],
                                  fx.FA_CUTOFF, fx.FA_SUBSTRING, fx.FA_NAMES)
     assert got == want
+
+
+def test_shuffle_path_equals_broadcast_path(spark):
+    m, e = fx.fa_measurements(spark, SF0001), fx.fa_entities(spark, SF0001)
+    kw = dict(cutoff=fx.FA_CUTOFF, substring=fx.FA_SUBSTRING, names=fx.FA_NAMES)
+    small = {r.category: r.n for r in category_counts(m, e, **kw).collect()}
+    big = {r.category: r.n for r in category_counts(m, e, broadcast_rows=0, **kw).collect()}
+    assert small == big

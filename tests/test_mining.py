@@ -126,3 +126,15 @@ def test_transactions_multiplicity(spark):
     assert bag == [("p1", 1, 4), ("p1", 2, 2)]
     dist = sorted(tuple(r) for r in transactions(m, e, distinct=True).collect())
     assert dist == [("p1", 1, 1), ("p1", 2, 1)]
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_transactions_shuffle_path_equals_broadcast_path(spark, distinct):
+    from conftest import SF0001
+
+    from basketry.plans import tables as fx
+    m, e = fx.fb_measurements(spark, SF0001), fx.fb_entities(spark, SF0001)
+    kw = dict(cutoff=fx.FB_CUTOFF, categories=fx.FB_CATEGORIES, distinct=distinct)
+    a = sorted(tuple(r) for r in transactions(m, e, **kw).collect())
+    b = sorted(tuple(r) for r in transactions(m, e, broadcast_rows=0, **kw).collect())
+    assert a == b and len(a) > 0

@@ -95,3 +95,13 @@ def test_single_file_sink_keeps_order(spark, ws):
     assert len(files) == 1
     supports = [int(r.value.split("\t")[0]) for r in spark.read.text(path).collect()]
     assert supports == sorted(supports, reverse=True)
+
+
+def test_rules_shuffle_lookup_equals_broadcast(spark):
+    rng = random.Random(8)
+    rows = [(f"t{t}", i, 1) for t in range(30)
+            for i in rng.sample(range(1, 9), rng.randint(2, 8))]
+    sets = frequent_itemsets(tx_frame(spark, rows), 0.25, 5).itemsets
+    a = _rule_dict(association_rules(sets, None))
+    b = _rule_dict(association_rules(sets, None, broadcast_rows=0))
+    assert a == b and len(a) > 0
