@@ -2,6 +2,7 @@
 
 from basketry.operators.baskets import (
     basket_sizes,
+    baskets,
     qualifying_entities,
     support_stats,
     transactions,
@@ -24,7 +25,7 @@ from basketry.operators.rules import (
 )
 
 __all__ = [
-    "FrequentItemsets", "association_rules", "basket_sizes", "category_counts",
+    "FrequentItemsets", "association_rules", "basket_sizes", "baskets", "category_counts",
     "category_report_lines", "category_tokens", "frequent_itemsets",
     "itemset_report_lines", "order_category_counts", "order_itemsets", "order_rules",
     "proper_subsets", "qualifying_entities", "rule_report_lines",

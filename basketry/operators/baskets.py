@@ -60,6 +60,16 @@ def transactions(measurements: DataFrame, entities: DataFrame, *,
     return joined.select("tid", "item", m.alias("m"))
 
 
+def baskets(tx: DataFrame) -> DataFrame:
+    """``(tid, items)``: each transaction's distinct items, ascending.
+
+    A per-transaction list for users; the miner itself never builds one.
+    Its length is bounded by the item universe, not by the data size,
+    because ``tx`` already holds one row per (tid, item).
+    """
+    return tx.groupBy("tid").agg(F.array_sort(F.collect_list("item")).alias("items"))
+
+
 def basket_sizes(tx: DataFrame) -> DataFrame:
     """``(tid, n_items, basket_size)``: distinct items and bag length."""
     return tx.groupBy("tid").agg(

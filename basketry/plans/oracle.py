@@ -150,6 +150,8 @@ SELECT l_partkey AS tid, l_extendedprice AS value FROM lineitem
 WHERE {_strong('l_extendedprice', fx.FA_CUTOFF, True)}""",
         "text_scan_header": TEXT_ROWS,
         "text_roundtrip_writer": TEXT_ROWS,
+        "entity_text_scan": "SELECT CAST(c_custkey AS VARCHAR) AS tid, c_mktsegment AS segment "
+                            "FROM customer",
         "entity_any_token": f"""
 SELECT c_custkey AS tid, c_mktsegment AS segment FROM customer
 WHERE list_has_any(string_split(c_mktsegment, ' '), {_lit_list(fx.FB_CATEGORIES)})""",
@@ -164,6 +166,9 @@ WITH {FA_COUNTS.strip()}
 SELECT category || chr(9) || CAST(n AS VARCHAR) AS line FROM fa_counts""",
         "transactions_distinct": f"WITH {tx_only(True).strip()} SELECT tid, item, m FROM tx",
         "transactions_bag": f"WITH {tx_only(False).strip()} SELECT tid, item, m FROM tx",
+        "baskets": f"""
+WITH {tx_only(True).strip()}
+SELECT tid, array_to_string(list(item ORDER BY item), ';') AS items FROM tx GROUP BY tid""",
         "basket_sizes": f"""
 WITH {tx_only(False).strip()}
 SELECT tid, CAST(count(*) AS BIGINT) AS n_items, CAST(sum(m) AS BIGINT) AS basket_size
@@ -208,6 +213,15 @@ FROM masks""",
         "rules_confident": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "rules_ordered": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "rules_bag": f"WITH {b3.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
+        "category_job_text": f"""
+WITH {FA_COUNTS.strip()}
+SELECT category || chr(9) || CAST(n AS VARCHAR) AS line FROM fa_counts""",
+        "itemset_job_text": f"WITH {b3.strip()} {REPORT_LINES}",
+        "rule_job_text": f"""
+WITH {b3.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
+SELECT array_to_string(ant, ' ') || chr(9) || array_to_string(cons, ' ') || chr(9)
+       || CAST(conf AS VARCHAR) AS line
+FROM kept""",
         "rule_report_lines": f"""
 WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
 SELECT array_to_string(ant, ' ') || chr(9) || array_to_string(cons, ' ') || chr(9)

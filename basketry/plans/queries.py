@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from basketry.functions.arrays import items_text
 from basketry.operators.baskets import (
     basket_sizes,
+    baskets,
     qualifying_entities,
     support_stats,
     transactions,
@@ -38,9 +39,15 @@ from basketry.operators.rules import (
     rule_report_lines,
 )
 from basketry.plans import tables as fx
+from basketry.plans.jobs import category_count_job, itemset_job, rule_job
 from basketry.session import Workspace
 from basketry.sources.reports import read_itemset_report, write_lines
-from basketry.sources.text import read_measurements_text, write_measurements_text
+from basketry.sources.text import (
+    read_entities_text,
+    read_measurements_text,
+    write_entities_text,
+    write_measurements_text,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +116,58 @@ def text_roundtrip_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("tid", "item", F.col("value").cast(T.DoubleType()).alias("value"))
 
 
+def entity_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-B entities written as 5-field text (attribute in field 4), scanned back."""
+    path = Workspace(spark).location("entities-text")
+    write_entities_text(fx.fb_entities(spark, sf_dir), path)
+    back = read_entities_text(spark, path)
+    return back.select("tid", F.array_join("categories", " ").alias("segment"))
+
+
+def _text_inputs(spark: SparkSession, measurements: DataFrame,
+                 entities: DataFrame) -> tuple[Workspace, str, str]:
+    ws = Workspace(spark)
+    geo, meta = ws.location("measurements-text"), ws.location("entities-text")
+    write_measurements_text(measurements, geo)
+    write_entities_text(entities, meta)
+    return ws, geo, meta
+
+
+def category_job_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 1 end to end over text inputs derived from F-A; the report read back."""
+    m = fx.fa_measurements(spark, sf_dir).select(
+        "tid", F.lit(0).alias("item"), "value")
+    ws, geo, meta = _text_inputs(spark, m, fx.fa_entities(spark, sf_dir))
+    out = ws.location("category-report")
+    category_count_job(spark, geo, meta, out, cutoff=fx.FA_CUTOFF,
+                       substring=fx.FA_SUBSTRING, names=fx.FA_NAMES)
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
+def _itemset_job_text(spark: SparkSession, sf_dir: str) -> tuple[Workspace, str]:
+    ws, geo, meta = _text_inputs(spark, fx.fb_measurements(spark, sf_dir),
+                                 fx.fb_entities(spark, sf_dir))
+    out = ws.location("itemset-report")
+    itemset_job(spark, geo, meta, out, min_support=fx.FB_MIN_SUPPORT,
+                max_size=fx.FB_BAG_MAX_SIZE, cutoff=fx.FB_CUTOFF,
+                categories=fx.FB_CATEGORIES, distinct=False)
+    return ws, out
+
+
+def itemset_job_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 2 end to end (bag counting, as the reference) over derived text."""
+    _, out = _itemset_job_text(spark, sf_dir)
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
+def rule_job_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job 3 end to end: rules from the job-2 report file."""
+    ws, report = _itemset_job_text(spark, sf_dir)
+    out = ws.location("rule-report")
+    rule_job(spark, report, out, min_confidence=fx.FB_MIN_CONFIDENCE)
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
 def entity_any_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     ents = qualifying_entities(fx.fb_entities(spark, sf_dir), fx.FB_CATEGORIES)
     return ents.select("tid", F.array_join("categories", " ").alias("segment"))
@@ -128,6 +187,11 @@ def transactions_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fb_tx(spark, sf_dir, False)
 
 
+def baskets_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets(_fb_tx(spark, sf_dir, True)).select(
+        "tid", items_text("items").alias("items"))
+
+
 def basket_sizes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basket_sizes(_fb_tx(spark, sf_dir, False))
 
@@ -241,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "strong_filter_ge": strong_filter_ge,
     "text_scan_header": text_scan_header,
     "text_roundtrip_writer": text_roundtrip_writer,
+    "entity_text_scan": entity_text_scan,
     "entity_any_token": entity_any_token,
     "category_tokens": category_tokens_q,
     "strong_join_entities": strong_join_entities,
@@ -248,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "category_report_lines": category_report_lines_q,
     "transactions_distinct": transactions_distinct,
     "transactions_bag": transactions_bag,
+    "baskets": baskets_q,
     "basket_sizes": basket_sizes_q,
     "support_stats": support_stats_q,
     "frequent_items": frequent_items,
@@ -265,4 +331,7 @@ QUERIES: dict[str, Query] = {
     "rules_ordered": rules_ordered,
     "rules_bag": rules_bag,
     "rule_report_lines": rule_report_lines_q,
+    "category_job_text": category_job_text,
+    "itemset_job_text": itemset_job_text,
+    "rule_job_text": rule_job_text,
 }

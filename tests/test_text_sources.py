@@ -79,3 +79,24 @@ def test_entities_writer_roundtrip(spark, ws):
     write_entities_text(e, path)
     back = sorted((r.tid, tuple(r.categories)) for r in read_entities_text(spark, path).collect())
     assert back == [("p1", ("leukemia", "x")), ("p2", ("lymphoma",))]
+
+
+def test_short_entity_header_is_fine(spark, ws):
+    # the header has fewer than 5 fields; it is dropped before any parsing
+    geo, meta = ws.location("geo"), ws.location("meta")
+    _write(spark, geo, ["a,b,c", "p1,1,2000000"])
+    _write(spark, meta, ["id,diseases", "p1,a,b,c,leukemia"])
+    e = read_entities_text(spark, meta)
+    counts = {r.category: r.n for r in category_counts(read_measurements_text(spark, geo),
+                                                       e).collect()}
+    assert counts == {"leukemia": 1}
+
+
+def test_leading_zero_items_are_one_item(spark, ws):
+    path = ws.location("geo")
+    _write(spark, path, ["h,h,h", "p1,01,5", "p1,1,6", "p2,10,7"])
+    items = sorted(r.item for r in read_measurements_text(spark, path).collect())
+    assert items == [1, 1, 10]
+    text_items = sorted(r.item for r in read_measurements_text(
+        spark, path, item_type=T.StringType()).collect())
+    assert text_items == ["01", "1", "10"]
