@@ -44,11 +44,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.arrays import support_threshold
-from basketry.session import DEFAULT_BROADCAST_ROWS, Workspace
+from basketry.session import DEFAULT_BROADCAST_ROWS, Workspace, fits_broadcast
 
 DEFAULT_MIN_SUPPORT = 0.3   # fixed: reference default minimum support
 DEFAULT_MAX_SIZE = 5        # fixed: reference default largest itemset size
 SPARSE_LEVEL = 0.5          # prune when a level holds at most this share of sets
+DEFAULT_HOT_BASKET = 2000   # distinct items above which a transaction is salted
 
 
 @dataclass
@@ -74,11 +75,31 @@ def _semi(df: DataFrame, keys: DataFrame, on: list[str], small: bool) -> DataFra
     return df.join(right, on, "left_semi")
 
 
-def _extend(occ: DataFrame, txf: DataFrame, k: int) -> DataFrame:
-    """Append each later item of the same transaction to each (k-1)-set."""
+def _extend(occ: DataFrame, txf: DataFrame, k: int, hot: DataFrame | None = None,
+            hot_small: bool = True) -> DataFrame:
+    """Append each later item of the same transaction to each (k-1)-set.
+
+    Transactions listed in ``hot`` ``(tid, n_salts)`` have their sets
+    spread over ``n_salts`` join keys by a hash of the set, and their items
+    copied to every salt: the join output of a huge basket is produced by
+    many tasks instead of one.
+    """
+    keys = ["tid"]
+    txf = txf.select("tid", "item")
+    if hot is not None:
+        h = F.broadcast(hot) if hot_small else hot
+        spread = F.pmod(F.xxhash64(*_cols(k - 1)), F.col("n_salts").cast(T.LongType()))
+        occ = occ.join(h, "tid", "left").select(
+            *occ.columns,
+            F.coalesce(spread.cast(T.IntegerType()), F.lit(0)).alias("salt"))
+        copies = F.sequence(F.lit(0), F.coalesce(F.col("n_salts"), F.lit(1)) - F.lit(1))
+        txf = txf.join(h, "tid", "left").select("tid", "item", F.explode(copies).alias("salt"))
+        keys.append("salt")
     o = occ.alias("o")
-    t = txf.select("tid", "item").alias("t")
-    cond = (F.col("o.tid") == F.col("t.tid")) & (F.col("t.item") > F.col(f"o.i{k - 1}"))
+    t = txf.alias("t")
+    cond = F.col("t.item") > F.col(f"o.i{k - 1}")
+    for key in keys:
+        cond = cond & (F.col(f"o.{key}") == F.col(f"t.{key}"))
     return o.join(t, cond, "inner").select(
         F.col("o.tid").alias("tid"),
         *[F.col(f"o.{c}").alias(c) for c in _cols(k - 1)],
@@ -127,6 +148,7 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int = DEFAULT_MAX_SIZE, *,
                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                       prune: bool | None = False,
+                      hot_basket: int | None = DEFAULT_HOT_BASKET,
                       workspace: Workspace | None = None) -> FrequentItemsets:
     """Mine all sets of at most ``max_size`` items with support >= threshold.
 
@@ -147,6 +169,13 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     per-task aggregation maps; ``prune=None`` then decides per level
     (prune when level k-1 holds at most half of all possible (k-1)-sets
     over the frequent items), ``True`` forces it.
+
+    A transaction with more than ``hot_basket`` distinct items makes a
+    join output that grows with the square of its basket, while its input
+    is small enough to escape AQE's size-based skew split. Such
+    transactions are salted: their sets are spread over
+    ``ceil(items / hot_basket)`` join keys and their items copied to each.
+    The result does not change; ``hot_basket=None`` turns it off.
     """
     if int(max_size) < 1:
         raise ValueError(f"max_size must be >= 1, got {max_size!r}")
@@ -156,13 +185,21 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
 
     tx = ws.materialize(
         tx.select("tid", "item", F.col("m").cast(T.LongType()).alias("m")), "transactions")
-    stats = (tx.groupBy("tid").agg(F.sum("m").alias("size"), F.max("m").alias("w"))
-             .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"),
-                  F.max("w").alias("w"))
+    per_tid = tx.groupBy("tid").agg(F.sum("m").alias("size"), F.max("m").alias("w"),
+                                    F.count(F.lit(1)).alias("n_items"))
+    stats = (per_tid.agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"),
+                         F.max("w").alias("w"), F.max("n_items").alias("widest"))
              .first())
     n = int(stats["n"] or 0)
     max_basket = int(stats["size"] or 0)
     weighted = int(stats["w"] or 0) > 1
+    hot, hot_small = None, True
+    if hot_basket and int(stats["widest"] or 0) > hot_basket:
+        hot = ws.materialize(
+            per_tid.where(F.col("n_items") > F.lit(hot_basket)).select(
+                "tid", F.ceil(F.col("n_items") / F.lit(hot_basket)).cast(T.IntegerType())
+                .alias("n_salts")), "hot-transactions")
+        hot_small = fits_broadcast(hot, broadcast_rows)
     threshold = support_threshold(n, min_support)
     effective = max(1, threshold)
     k_max = min(int(max_size), max_basket)
@@ -192,7 +229,7 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         txf = _semi(tx, frequent_items, ["item"], n_prev <= broadcast_rows)
         occ = txf.select("tid", F.col("item").alias("i1"), F.col("m").alias("w"))
         for k in range(2, k_max + 1):
-            ext = _extend(occ, txf, k)
+            ext = _extend(occ, txf, k, hot, hot_small)
             if k >= 3 and n_prev <= broadcast_rows and _worth_pruning(
                     prune, n_prev, math.comb(n_items, k - 1)):
                 ext = _prune(ext, prev, k, weighted)

@@ -138,3 +138,15 @@ def test_transactions_shuffle_path_equals_broadcast_path(spark, distinct):
     a = sorted(tuple(r) for r in transactions(m, e, **kw).collect())
     b = sorted(tuple(r) for r in transactions(m, e, broadcast_rows=0, **kw).collect())
     assert a == b and len(a) > 0
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_salting_hot_transactions_keeps_result(spark, distinct):
+    # one transaction holds most rows; salt everything above 3 items
+    pairs = _random_pairs(13, n_tid=12, n_items=9)
+    pairs += [("hot", i) for i in range(1, 10) for _ in range(2)]
+    tx = _tx_from_pairs(spark, pairs, distinct)
+    base = _as_dict(frequent_itemsets(tx, 0.3, 5, hot_basket=None))
+    salted = frequent_itemsets(tx, 0.3, 5, hot_basket=3)
+    assert _as_dict(salted) == base
+    assert _as_dict(frequent_itemsets(tx, 0.3, 5, hot_basket=3, broadcast_rows=0)) == base
