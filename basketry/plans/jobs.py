@@ -1,8 +1,12 @@
 """The three end-to-end jobs: text inputs in, text reports out.
 
 Each job takes explicit paths and keyword parameters (defaults are the
-reference's), validates them, and writes its report with the reference's
-layout. Only scalars reach the driver.
+reference's), validates them, and writes its report in the reference's
+line format. Reports are written as globally sorted part files in
+parallel; read in name order they hold the report's total order.
+``single_file=True`` funnels the sorted rows into one part file, as the
+reference does, at the price of one writing task. Only scalars reach the
+driver.
 """
 
 from __future__ import annotations
@@ -60,7 +64,7 @@ def itemset_job(spark: SparkSession, measurements_path: str, entities_path: str,
                 output_path: str, *, min_support: float = DEFAULT_MIN_SUPPORT,
                 max_size: int = DEFAULT_MAX_SIZE, cutoff: float = DEFAULT_CUTOFF,
                 categories: Iterable[str] = DEFAULT_CATEGORY_LIST,
-                distinct: bool = False) -> ItemsetJobResult:
+                distinct: bool = False, single_file: bool = False) -> ItemsetJobResult:
     """Job 2: frequent sets of strong items (``>= cutoff``) of qualifying entities.
 
     ``distinct=False`` counts duplicates like the reference; ``True`` treats
@@ -71,14 +75,15 @@ def itemset_job(spark: SparkSession, measurements_path: str, entities_path: str,
     tx = transactions(m, e, cutoff=cutoff, inclusive=True,
                       categories=tuple(categories), distinct=distinct)
     mined = frequent_itemsets(tx, min_support, max_size)
-    write_lines(itemset_report_lines(mined.itemsets), output_path, single_file=True)
+    write_lines(itemset_report_lines(mined.itemsets), output_path, single_file=single_file)
     return ItemsetJobResult(mined, output_path)
 
 
 def rule_job(spark: SparkSession, report_path: str, output_path: str, *,
-             min_confidence: float = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
+             min_confidence: float = DEFAULT_MIN_CONFIDENCE,
+             single_file: bool = False) -> DataFrame:
     """Job 3: rules with confidence >= ``min_confidence`` from a job-2 report."""
     itemsets = read_itemset_report(spark, report_path)
     rules = association_rules(itemsets, min_confidence)
-    write_lines(rule_report_lines(rules), output_path, single_file=True)
+    write_lines(rule_report_lines(rules), output_path, single_file=single_file)
     return rules

@@ -11,6 +11,18 @@ from basketry.plans import tables as fx
 from basketry.sources import write_entities_text, write_measurements_text
 
 
+def _lines(path):
+    """Report lines in file-name order (the sinks' total order)."""
+    import glob
+    import os
+    local = path.replace("file:", "")
+    out = []
+    for f in sorted(glob.glob(os.path.join(local, "part-*"))):
+        with open(f) as fh:
+            out.extend(fh.read().splitlines())
+    return out
+
+
 def _inputs(spark, ws):
     geo, meta = ws.location("GEO"), ws.location("meta")
     write_measurements_text(fx.fb_measurements(spark, SF0001), geo)
@@ -23,21 +35,21 @@ def test_three_jobs_chain(spark, ws):
     out1, out2, out3 = ws.location("one"), ws.location("two"), ws.location("three")
     category_count_job(spark, geo, meta, out1, cutoff=fx.FB_CUTOFF,
                        substring="ING", names=("household",))
-    lines1 = [r.value for r in spark.read.text(out1).collect()]
+    lines1 = _lines(out1)
     cats = dict((x.split("\t")[0], int(x.split("\t")[1])) for x in lines1)
     assert set(cats) == {"BUILDING", "HOUSEHOLD"}
 
     mined = itemset_job(spark, geo, meta, out2, min_support=fx.FB_MIN_SUPPORT,
                         max_size=fx.FB_BAG_MAX_SIZE, cutoff=fx.FB_CUTOFF,
                         categories=fx.FB_CATEGORIES, distinct=False).mining
-    report = [r.value for r in spark.read.text(out2).collect()]
+    report = _lines(out2)
     supports = [int(x.split("\t")[0]) for x in report]
     assert supports == sorted(supports, reverse=True) and len(set(supports)) == len(supports)
     listed = sum(len(x.split("\t")) - 1 for x in report)
     assert listed == mined.itemsets.count()
 
     rules = rule_job(spark, out2, out3, min_confidence=fx.FB_MIN_CONFIDENCE)
-    lines3 = [r.value for r in spark.read.text(out3).collect()]
+    lines3 = _lines(out3)
     assert len(lines3) == rules.count() > 0
     confs = [float(x.split("\t")[2]) for x in lines3]
     assert confs == sorted(confs, reverse=True)
