@@ -66,10 +66,15 @@ def float_ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
     Spark widens float division to double; dividing the two float values
     in double and rounding once to float gives the correctly rounded float
-    quotient (double has more than twice float's precision).
+    quotient (double has more than twice float's precision). Each operand
+    must first be rounded to float: counts above 2^24 change. Catalyst
+    treats long -> float -> double as a widening chain and folds it into
+    long -> double, dropping that rounding, so the float value is pinned
+    with a float-typed ``* 1.0f`` the optimizer keeps.
     """
-    a = _col(numerator).cast(T.FloatType()).cast(T.DoubleType())
-    b = _col(denominator).cast(T.FloatType()).cast(T.DoubleType())
+    one = F.lit(1.0).cast(T.FloatType())
+    a = _col(numerator).cast(T.FloatType()) * one
+    b = _col(denominator).cast(T.FloatType()) * one
     return (a / b).cast(T.FloatType())
 
 

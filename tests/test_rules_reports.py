@@ -105,3 +105,13 @@ def test_rules_shuffle_lookup_equals_broadcast(spark):
     a = _rule_dict(association_rules(sets, None))
     b = _rule_dict(association_rules(sets, None, broadcast_rows=0))
     assert a == b and len(a) > 0
+
+
+def test_confidence_rounds_large_supports_to_float(spark):
+    import numpy as np
+
+    from basketry.functions import float_ratio
+    rows = [(16777217, 1), (33554435, 7), (123456789, 98765), (5, 3)]
+    df = spark.createDataFrame(rows, "s bigint, r bigint")
+    got = [r.c for r in df.select(float_ratio("s", "r").cast("double").alias("c")).collect()]
+    assert got == [float(np.float32(s) / np.float32(r)) for s, r in rows]
