@@ -85,7 +85,7 @@ def read_entities_text(spark: SparkSession, path: str, *, tid_col: int = 0,
 
 
 def write_measurements_text(measurements: DataFrame, path: str, *,
-                            header: str = "patient_id,gene_id,expression_value",
+                            header: str = "tid,item,value",
                             mode: str = "errorifexists") -> None:
     """Write ``(tid, item, value)`` as comma-separated lines plus a header.
 
@@ -100,7 +100,7 @@ def write_measurements_text(measurements: DataFrame, path: str, *,
 
 
 def write_entities_text(entities: DataFrame, path: str, *,
-                        header: str = "id,age,gender,postcode,diseases",
+                        header: str = "tid,a,b,c,categories",
                         mode: str = "errorifexists") -> None:
     """Write ``(tid, categories)`` as 5-field lines, attribute in field 4."""
     spark = entities.sparkSession

@@ -24,7 +24,7 @@ def _lines(path):
 
 
 def _inputs(spark, ws):
-    geo, meta = ws.location("GEO"), ws.location("meta")
+    geo, meta = ws.location("measurements"), ws.location("meta")
     write_measurements_text(fx.fb_measurements(spark, SF0001), geo)
     write_entities_text(fx.fb_entities(spark, SF0001), meta)
     return geo, meta

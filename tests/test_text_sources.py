@@ -21,30 +21,30 @@ def _write(spark, path, lines):
 
 
 def test_header_copies_dropped_quotes_kept(spark, ws):
-    path = ws.location("geo")
-    _write(spark, path, ["patient_id,gene_id,expression_value",
+    path = ws.location("measurements")
+    _write(spark, path, ["tid,item,value",
                          '"p1",1,2000000',
-                         "PATIENT_ID,GENE_ID,EXPRESSION_VALUE",
+                         "TID,ITEM,VALUE",
                          "p2,2,3"])
     rows = sorted(tuple(r) for r in read_measurements_text(spark, path).collect())
     assert rows == [('"p1"', 1, 2000000.0), ("p2", 2, 3.0)]
 
 
 def test_empty_fifth_field_has_no_category(spark, ws):
-    geo, meta = ws.location("geo"), ws.location("meta")
-    _write(spark, geo, ["a,b,c", "p1,1,2000000", "p2,1,2000000"])
+    m_path, meta = ws.location("measurements"), ws.location("meta")
+    _write(spark, m_path, ["a,b,c", "p1,1,2000000", "p2,1,2000000"])
     _write(spark, meta, ["id,x,y,z,diseases", "p1,a,b,c,", "p2,a,b,c,leukemia"])
     ents = read_entities_text(spark, meta)
     counts = {r.category: r.n for r in category_counts(
-        read_measurements_text(spark, geo), ents).collect()}
+        read_measurements_text(spark, m_path), ents).collect()}
     assert counts == {"leukemia": 1}
 
 
 def test_header_only_files_give_empty_frames(spark, ws):
-    geo, meta = ws.location("geo"), ws.location("meta")
-    _write(spark, geo, ["patient_id,gene_id,expression_value"])
+    m_path, meta = ws.location("measurements"), ws.location("meta")
+    _write(spark, m_path, ["tid,item,value"])
     _write(spark, meta, ["id,age,gender,postcode,diseases"])
-    m = read_measurements_text(spark, geo)
+    m = read_measurements_text(spark, m_path)
     e = read_entities_text(spark, meta)
     assert m.count() == 0 and e.count() == 0
     assert m.schema["value"].dataType == T.FloatType()
@@ -52,7 +52,7 @@ def test_header_only_files_give_empty_frames(spark, ws):
 
 
 def test_malformed_value_raises(spark, ws):
-    path = ws.location("geo")
+    path = ws.location("measurements")
     _write(spark, path, ["h,h,h", "p1,1,abc"])
     with pytest.raises(PySparkException):
         read_measurements_text(spark, path).collect()
@@ -61,9 +61,9 @@ def test_malformed_value_raises(spark, ws):
 def test_writer_roundtrip_multi_file(spark, ws):
     m = spark.createDataFrame([(f"p{i}", i % 7, float(i) * 1000.5) for i in range(200)],
                               "tid string, item int, value double").repartition(4)
-    path = ws.location("geo")
+    path = ws.location("measurements")
     write_measurements_text(m, path)
-    assert first_line(spark, path) == "patient_id,gene_id,expression_value"
+    assert first_line(spark, path) == "tid,item,value"
     back = read_measurements_text(spark, path)
     assert back.count() == 200
     got = sorted((r.tid, r.item, r.value) for r in back.collect())
@@ -83,17 +83,17 @@ def test_entities_writer_roundtrip(spark, ws):
 
 def test_short_entity_header_is_fine(spark, ws):
     # the header has fewer than 5 fields; it is dropped before any parsing
-    geo, meta = ws.location("geo"), ws.location("meta")
-    _write(spark, geo, ["a,b,c", "p1,1,2000000"])
+    m_path, meta = ws.location("measurements"), ws.location("meta")
+    _write(spark, m_path, ["a,b,c", "p1,1,2000000"])
     _write(spark, meta, ["id,diseases", "p1,a,b,c,leukemia"])
     e = read_entities_text(spark, meta)
-    counts = {r.category: r.n for r in category_counts(read_measurements_text(spark, geo),
+    counts = {r.category: r.n for r in category_counts(read_measurements_text(spark, m_path),
                                                        e).collect()}
     assert counts == {"leukemia": 1}
 
 
 def test_leading_zero_items_are_one_item(spark, ws):
-    path = ws.location("geo")
+    path = ws.location("measurements")
     _write(spark, path, ["h,h,h", "p1,01,5", "p1,1,6", "p2,10,7"])
     items = sorted(r.item for r in read_measurements_text(spark, path).collect())
     assert items == [1, 1, 10]
