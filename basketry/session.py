@@ -91,3 +91,15 @@ class Workspace:
         target = self.location(name)
         df.write.mode("errorifexists").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def drop(self) -> None:
+        """Delete the run folder (call once its results are consumed).
+
+        DataFrames returned by the run read these files lazily, so they
+        become unusable afterwards. Uses the Hadoop file system of the
+        session, so it works for any shared store the cluster names.
+        """
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path, True)

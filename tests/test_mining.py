@@ -150,3 +150,14 @@ def test_salting_hot_transactions_keeps_result(spark, distinct):
     salted = frequent_itemsets(tx, 0.3, 5, hot_basket=3)
     assert _as_dict(salted) == base
     assert _as_dict(frequent_itemsets(tx, 0.3, 5, hot_basket=3, broadcast_rows=0)) == base
+
+
+def test_workspace_drop(spark):
+    import os
+
+    res = frequent_itemsets(_tx_from_pairs(spark, [("a", 1), ("b", 1)], True), 0.5, 2)
+    assert res.itemsets.count() == 1
+    local = res.workspace.path.replace("file:", "")
+    assert os.path.isdir(local)
+    res.workspace.drop()
+    assert not os.path.exists(local)
