@@ -115,3 +115,18 @@ def test_confidence_rounds_large_supports_to_float(spark):
     df = spark.createDataFrame(rows, "s bigint, r bigint")
     got = [r.c for r in df.select(float_ratio("s", "r").cast("double").alias("c")).collect()]
     assert got == [float(np.float32(s) / np.float32(r)) for s, r in rows]
+
+
+def test_parallel_sink_part_files_hold_total_order(spark, ws):
+    import glob
+    import os
+    sets = _sets(spark, [([i], (i * 37) % 101 + 1) for i in range(1, 200)])
+    path = ws.location("lines")
+    write_lines(itemset_report_lines(sets.repartition(9)), path, single_file=False)
+    local = path.replace("file:", "")
+    lines = []
+    for f in sorted(glob.glob(os.path.join(local, "part-*"))):
+        with open(f) as fh:
+            lines.extend(fh.read().splitlines())
+    supports = [int(x.split("\t")[0]) for x in lines]
+    assert supports == sorted(supports, reverse=True) and len(supports) == len(set(supports))
