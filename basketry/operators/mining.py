@@ -17,18 +17,24 @@ support(S) = sum over transactions holding S of m(tid, first(S)). With
 Exactness does not depend on candidate generation: a set is counted from
 the transactions holding it, only frequent items extend, and only frequent
 (k-1)-prefixes are extended. The reference's candidate rule (two frequent
-(k-1)-sets sharing their first k-2 items) adds nothing to that: the
-second set keeps the first item, so its support bounds the new set's even
-in bag mode, and the threshold test rejects what the rule would. Pruning is a semi-join of the extensions against level
-k-1 on each (k-1)-subset known to bound the support: every subset in
-distinct mode, only subsets keeping the first item in bag mode (dropping
-the first item changes the weights, so bag support is not anti-monotone
-there). The pruning sets are broadcast only when the level's row count,
-known from the loop, is under ``broadcast_rows``; above it the step is
-skipped and the aggregate alone decides.
-
-No pair of sets or of transactions is ever enumerated from a group; the
-only driver traffic is one small stats row and one count per level. Every
+(k-1)-sets sharing their first k-2 items) adds nothing to that: the second
+set keeps the first item, so its support bounds the new set's even in bag
+mode, and the threshold test rejects what the rule would.
+
+Optional pruning is a semi-join of the extensions against level k-1 on
+each (k-1)-subset known to bound the support: every subset in distinct
+mode, only subsets keeping the first item in bag mode (dropping the first
+item changes the weights, so bag support is not anti-monotone there). The
+pruning sets are broadcast only when the level's row count, known from the
+loop, is under ``broadcast_rows``; above it the step is skipped and the
+aggregate alone decides.
+
+Transactions with very large baskets are salted in the level join (see
+``hot_basket``): their join output grows with the square of the basket
+while their input stays small, so size-based skew handling misses them.
+
+Candidate pairs of sets are never enumerated, and no group is collected.
+The only driver traffic is one small stats row and one count per level. Every
 level is written to the run's workspace, so plans stay short and a lost
 executor costs a re-read, not a replay of earlier levels.
 """

@@ -102,6 +102,7 @@ def test_pruning_and_partitioning_do_not_change_result(spark, distinct):
     tx = _tx_from_pairs(spark, pairs, distinct)
     base = _as_dict(frequent_itemsets(tx, 0.3, 5))
     assert _as_dict(frequent_itemsets(tx, 0.3, 5, prune=True)) == base
+    assert _as_dict(frequent_itemsets(tx, 0.3, 5, prune=None)) == base
     assert _as_dict(frequent_itemsets(tx.repartition(5), 0.3, 5, broadcast_rows=0)) == base
 
 
