@@ -34,8 +34,23 @@ FB_BAG_MAX_SIZE = 3
 FB_MIN_CONFIDENCE = 0.6
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The Parquet table ``name`` under ``sf_dir``, resolved once per session.
+
+    Like a catalog table, the relation (file listing and footer schema) is
+    resolved on first use and reused; no data is cached. Resolving costs
+    a few hundred milliseconds of driver time per table and call otherwise.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
+    return df
 
 
 def fa_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
