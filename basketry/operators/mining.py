@@ -189,8 +189,13 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     spark = tx.sparkSession
     ws = workspace or Workspace(spark)
 
+    # one row per (tid, item): free when tx comes from ``transactions`` (its
+    # output is already clustered on those keys), and it makes duplicate or
+    # null-keyed input safe
     tx = ws.materialize(
-        tx.select("tid", "item", F.col("m").cast(T.LongType()).alias("m")), "transactions")
+        tx.where(F.col("tid").isNotNull() & F.col("item").isNotNull())
+        .groupBy("tid", "item").agg(F.sum("m").cast(T.LongType()).alias("m")),
+        "transactions")
     per_tid = tx.groupBy("tid").agg(F.sum("m").alias("size"), F.max("m").alias("w"),
                                     F.count(F.lit(1)).alias("n_items"))
     stats = (per_tid.agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"),

@@ -162,3 +162,12 @@ def test_workspace_drop(spark):
     assert os.path.isdir(local)
     res.workspace.drop()
     assert not os.path.exists(local)
+
+
+def test_duplicate_and_null_keyed_input_rows(spark):
+    rows = [("a", 1, 1), ("a", 1, 1), ("a", 2, 1), ("b", 1, 1), ("b", 2, 1),
+            (None, 1, 1), ("c", None, 1)]
+    res = frequent_itemsets(tx_frame(spark, rows), 0.5, 3)
+    # duplicate (a, 1) rows add up like a bag weight of 2; null keys are ignored
+    assert res.n_transactions == 2
+    assert _as_dict(res) == {(1,): 3, (2,): 2, (1, 2): 3}
