@@ -34,9 +34,10 @@ Transactions with very large baskets are salted in the level join (see
 while their input stays small, so size-based skew handling misses them.
 
 Candidate pairs of sets are never enumerated, and no group is collected.
-The only driver traffic is one small stats row and one count per level. Every
-level is written to the run's workspace, so plans stay short and a lost
-executor costs a re-read, not a replay of earlier levels.
+The only driver traffic is one small stats row and one count per level. The
+occurrences of every level are written to the run's workspace (the small
+frequent-set tables are cached), so plans stay short and a lost executor
+costs at most one level's join, not a replay of earlier levels.
 """
 
 from __future__ import annotations
@@ -69,6 +70,18 @@ class FrequentItemsets:
     weighted: bool                 # some weight > 1 (bag counting differs)
     level_counts: list[int] = field(default_factory=list)
     workspace: Workspace | None = None
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Free the cached levels and delete the run's written tables.
+
+        ``itemsets`` is unusable afterwards.
+        """
+        for df in self.cached:
+            df.unpersist()
+        self.cached.clear()
+        if self.workspace is not None:
+            self.workspace.drop()
 
 
 def _cols(k: int) -> list[str]:
@@ -146,6 +159,18 @@ def _count_level(ext: DataFrame, k: int, threshold: int) -> DataFrame:
             .where(F.col("support") >= F.lit(threshold)))
 
 
+def _keep(level: DataFrame, result: FrequentItemsets) -> DataFrame:
+    """Cache a (small) level table; its count materializes it.
+
+    Its lineage stops at the written tables of the previous level, so a
+    lost block costs one level's join, and one job per level is saved
+    compared with writing and re-reading it.
+    """
+    level = level.persist(StorageLevel.MEMORY_AND_DISK)
+    result.cached.append(level)
+    return level
+
+
 def _as_itemsets(level: DataFrame, k: int) -> DataFrame:
     return level.select(F.array(*_cols(k)).alias("items"), F.lit(k).alias("k"), "support")
 
@@ -229,7 +254,7 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     level1 = (tx.groupBy(F.col("item").alias("i1"))
               .agg(F.sum("m").cast(T.LongType()).alias("support"))
               .where(F.col("support") >= F.lit(effective)))
-    prev = ws.materialize(level1, "level-1")
+    prev = _keep(level1, result)
     n_prev = prev.count()
     result.level_counts.append(n_prev)
     levels = [_as_itemsets(prev, 1)]
@@ -249,7 +274,7 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                 # counted once and filtered once: keep the extensions for both
                 # passes; a lost block is recomputed from the written level k-1
                 ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
-            level = ws.materialize(_count_level(ext, k, effective), f"level-{k}")
+            level = _keep(_count_level(ext, k, effective), result)
             n_level = level.count()
             result.level_counts.append(n_level)
             if n_level > 0 and not last:
