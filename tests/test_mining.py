@@ -171,3 +171,13 @@ def test_duplicate_and_null_keyed_input_rows(spark):
     # duplicate (a, 1) rows add up like a bag weight of 2; null keys are ignored
     assert res.n_transactions == 2
     assert _as_dict(res) == {(1,): 3, (2,): 2, (1, 2): 3}
+
+
+def test_release_frees_levels_and_folder(spark):
+    import os
+
+    res = frequent_itemsets(_tx_from_pairs(spark, [("a", 1), ("a", 2), ("b", 1)], True), 0.5, 2)
+    assert res.itemsets.count() == 2 and res.cached
+    local = res.workspace.path.replace("file:", "")
+    res.release()
+    assert not res.cached and not os.path.exists(local)
