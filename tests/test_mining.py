@@ -177,7 +177,7 @@ def test_release_frees_levels_and_folder(spark):
     import os
 
     res = frequent_itemsets(_tx_from_pairs(spark, [("a", 1), ("a", 2), ("b", 1)], True), 0.5, 2)
-    assert res.itemsets.count() == 2 and res.cached
+    assert res.itemsets.count() == 3 and res.cached  # {1}, {2}, {1,2} at threshold 1
     local = res.workspace.path.replace("file:", "")
     res.release()
     assert not res.cached and not os.path.exists(local)
