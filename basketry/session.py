@@ -1,6 +1,6 @@
 """Session helpers and the shared scratch folder used to cut lineage.
 
-Intermediate tables (transactions, mining levels, text round trips) are
+Intermediate tables (transactions, per-level occurrences, text round trips) are
 written as Parquet under the folder the cluster names in
 ``spark.checkpoint.dir``. A machine-local fallback is created only when the
 session runs in local mode and no checkpoint folder is configured (tests,
