@@ -181,3 +181,15 @@ def test_release_frees_levels_and_folder(spark):
     local = res.workspace.path.replace("file:", "")
     res.release()
     assert not res.cached and not os.path.exists(local)
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_lost_cached_levels_recompute_from_written_tables(spark, distinct):
+    # dropping every cached block stands in for lost executors: the levels
+    # must come back from the written occurrences and transactions
+    pairs = _random_pairs(21, n_tid=20, n_items=7)
+    res = frequent_itemsets(_tx_from_pairs(spark, pairs, distinct), 0.3, 5)
+    before = _as_dict(res)
+    for df in res.cached:
+        df.unpersist(blocking=True)
+    assert _as_dict(res) == before
