@@ -1,0 +1,56 @@
+"""The thin ``opN_<name>`` queries over the test tables, and their SQL.
+
+Each applies one operator with its production parameters to the whole table
+and derives the columns its contract names.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basketry.llm import common
+from basketry.llm.exact_dedup import exact_dedup
+from basketry.llm.packing import pack
+from basketry.llm.token_counts import token_counts
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even hashes of the id make up the snapshot, the others the new batch."""
+    old = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    return exact_dedup(table(spark, sf_dir, "documents"), old).drop("in_snapshot")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_exact_dedup": op4_exact_dedup,
+    "op9_token_counts": op9_token_counts,
+    "op10_packing": op10_packing,
+}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": f"""
+        with d as (select doc_id, sha256({_LOWER.format("coalesce(text, '')")}) as text_sha256
+                   from documents)
+        select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
+               doc_id = max(doc_id) over w as kept, text_sha256
+        from d window w as (partition by text_sha256)""",
+}
