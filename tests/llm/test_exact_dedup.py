@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 from basketry.llm.exact_dedup import build_filter, exact_dedup, probe
 
-OLD = F.col("doc_id") % 2 == 0
-
-
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 100, 5000, 120_000])
 def test_filter_has_no_false_negative(n):
     rng = np.random.default_rng(n)
@@ -34,7 +31,7 @@ def brute(rows):
 def run(spark, rows, **kw):
     df = spark.createDataFrame([(i, t, "a", "b") for i, t in rows],
                                "doc_id bigint, text string, digest string, `keep_id` string")
-    got = exact_dedup(df, OLD, **kw).drop("in_snapshot").collect()
+    got = exact_dedup(df, F.col("doc_id") % 2 == 0, **kw).drop("in_snapshot").collect()
     return sorted(tuple(r) for r in got)
 
 
