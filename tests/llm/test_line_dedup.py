@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import numpy as np
+
+from basketry.llm import line_dedup as module
+from basketry.llm.line_dedup import line_dedup, margin
+
+
+def brute(rows, min_sites):
+    """rows: (doc_id, text, source)."""
+    sites, first = {}, {}
+    for i, t, s in rows:
+        for pos, line in enumerate(t.split("\n") if t is not None else []):
+            if key := line.strip(" \t\r"):
+                sites.setdefault(key, set())
+                if s is not None:
+                    sites[key].add(s)
+                first[key] = min(first.get(key, (i, pos)), (i, pos))
+    out = []
+    for i, t, s in rows:
+        if t is None:
+            out.append((i, 0, 0, None))
+            continue
+        lines = t.split("\n")
+        kept = [x for pos, x in enumerate(lines)
+                if not (k := x.strip(" \t\r")) or len(sites[k]) < min_sites or first[k] == (i, pos)]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def corpus(seed=1):
+    rng = np.random.default_rng(seed)
+    shared = [f"shared line {k}" for k in range(40)]
+    rows = []
+    for i in range(200):
+        n = int(rng.integers(1, 8))
+        lines = [f"own {i} {j}" if rng.random() < 0.5 else
+                 ["", " ", "\t"][int(rng.integers(0, 3))] + shared[int(rng.integers(0, 40) ** 1.0)] for j in range(n)]
+        if i % 9 == 0:
+            lines += ["", "hot line\r", "  ", "hot line "]
+        rows.append((i, "\n".join(lines), None if i % 50 == 0 else f"s{int(rng.integers(0, 12))}"))
+    return rows + [(900, None, "s1"), (901, "", "s2"), (902, "\n\n", "s3"), (903, "hot line\n" * 3000, "s4")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, s, "k", 7) for i, t, s in rows],
+                                 "doc_id bigint, text string, source string, `h1` string, gone int")
+
+
+def test_equals_brute_force(spark):
+    rows = corpus()
+    for min_sites in (2, 5, 10, 12):
+        got = line_dedup(frame(spark, rows), min_sites=min_sites, counts=True)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, min_sites)
+
+
+def test_estimates_alone_decide_far_from_the_threshold(spark, monkeypatch):
+    rows = [(i, f"everywhere\nown {i}", f"site {i}") for i in range(300)]
+    monkeypatch.setattr(module, "margin", lambda n: 0)
+    got = line_dedup(frame(spark, rows), min_sites=10, counts=True)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 10)
+
+
+def test_margin_covers_five_standard_errors():
+    assert margin(2) == 1 and margin(10) == 1 and margin(1000) == 82
+
+
+def test_other_columns_pass_through(spark):
+    rows = corpus()
+    df = frame(spark, rows)
+    got = line_dedup(df, min_sites=5)
+    assert got.columns == df.columns
+    text = {i: t for i, _, _, t in brute(rows, 5)}
+    assert {(r.doc_id, r.text, r.source, r.h1, r.gone) for r in got.collect()} == {
+        (i, text[i], s, "k", 7) for i, _, s in rows}
+
+
+def test_nothing_and_repeated_rows(spark):
+    assert line_dedup(frame(spark, []), min_sites=2).count() == 0
+    rows = [(1, "a\nb", "x"), (1, "a\nb", "x"), (2, "a\nc", "y"), (3, "a", "z")]
+    got = line_dedup(frame(spark, rows), min_sites=2)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, "a\nb"), (1, "a\nb"), (2, "c"), (3, "")]
