@@ -12,24 +12,79 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import common
+from basketry.llm.common import crc_mod
+from basketry.llm.decontamination import contamination
 from basketry.llm.exact_dedup import exact_dedup
+from basketry.llm.language_id import language_id, prototypes
+from basketry.llm.line_dedup import MIN_SITES, line_dedup
+from basketry.llm.lm_scoring import lm_scores
 from basketry.llm.packing import pack
+from basketry.llm.quality import quality_scores, train
+from basketry.llm.simhash import near_dedup
 from basketry.llm.token_counts import token_counts
+from basketry.llm.url_filter import MAX_BAD_RATE, MAX_RHO, MIN_RHO, NO_RHO, Z, url_filter
 
 VOCABULARY = "byte_bpe_50k.json"
+#: (host, path, verdict)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned text as a digest, with the lines it had and lost."""
+    found = line_dedup(table(spark, sf_dir, "documents"), counts=True)
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_removed",
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even hashes of the id make up the snapshot, the others the new batch."""
     old = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
     return exact_dedup(table(spark, sf_dir, "documents"), old).drop("in_snapshot")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 1)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return (quality_scores(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "score", "predicted"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is bad if the label of its id says low quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
+    outcomes = (pages.select("page_id", "url")
+                .join(labels.select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad")), "page_id"))
+    return url_filter(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = prototypes(docs.where(~held_out))
+    return language_id(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -39,18 +94,104 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_exact_dedup": op4_exact_dedup,
-    "op9_token_counts": op9_token_counts,
-    "op10_packing": op10_packing,
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_decontamination, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
+        op6_quality, op7_url_filter, op8_language_id, op9_token_counts, op10_packing)
 }
 
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# ---- SQL ------------------------------------------------------------------------
+
+def _lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    lower = _lower(f"coalesce({text}, '')")
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _level(name: str) -> str:
+    """Prior strength of a level, from its table ``(n, bad)``."""
+    return f"""
+        {name}_k as (select case when n > 0 then (1 - rho) / rho else {(1 - NO_RHO) / NO_RHO!r} end as k from (
+            select n, case when below > 0 then least({MAX_RHO}, greatest({MIN_RHO},
+                       (rr - bad * bad / n - mu * (1 - mu) * (k - 1)) / below)) else {NO_RHO} end as rho
+            from (select *, bad / n as mu, bad / n * (1 - bad / n) * (n - nn / n - (k - 1)) as below
+                  from (select sum(n)::double as n, sum(bad)::double as bad, count(*)::double as k,
+                               sum(n::double * n) as nn, sum(bad::double * bad / n) as rr from {name}))))"""
+
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+        with d as (select row_number() over () as r, doc_id, {_words("text")} as w from documents),
+        b as (select item_id, {_words("text")} as w from benchmark),
+        bw as (select distinct item_id, n, array_to_string(w[s:s + n - 1], ' ') as g
+               from (select item_id, w, least(10, len(w)) as n,
+                            unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s
+                     from b where len(w) > 0)),
+        dw as (select r, s, n, array_to_string(w[s:s + n - 1], ' ') as g
+               from (select r, w, n, unnest(range(1, len(w) - n + 2)) as s
+                     from d, (select distinct n from bw) where len(w) >= n)),
+        hits as (select r, s, n, item_id from dw join bw using (n, g)),
+        inside as (select r, count(distinct p) as n_hit
+                   from (select r, unnest(range(s, s + n)) as p from (select distinct r, s, n from hits))
+                   group by r),
+        listed as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+                   from (select distinct r, item_id::varchar as item from hits) group by r)
+        select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit,
+               coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+               n_hit is not null as contaminated
+        from d left join inside using (r) left join listed using (r)""",
+    "op3_line_dedup": f"""
+        with l as (select doc_id, source, unnest(string_split(text, chr(10))) as line,
+                          generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
+        k as (select *, trim(line, ' ' || chr(9) || chr(13)) as key from l),
+        bad as (select key, min((doc_id, pos)) as first from k where key <> ''
+                group by key having count(distinct source) >= {MIN_SITES}),
+        j as (select doc_id, pos, line, first is not null and (doc_id, pos) <> first as gone
+              from k left join bad using (key)),
+        c as (select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
+                     string_agg(line, chr(10) order by pos) filter (not gone) as text
+              from j group by doc_id)
+        select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+               sha256(coalesce(c.text, '')) as text_sha256
+        from documents left join c using (doc_id)""",
     "op4_exact_dedup": f"""
-        with d as (select doc_id, sha256({_LOWER.format("coalesce(text, '')")}) as text_sha256
+        with d as (select doc_id, sha256({_lower("coalesce(text, '')")}) as text_sha256
                    from documents)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
                doc_id = max(doc_id) over w as kept, text_sha256
         from d window w as (partition by text_sha256)""",
+    "op7_url_filter": f"""
+        with r as (select page_id, case when position('://' in coalesce(url, '')) > 0
+                          then substr(url, position('://' in url) + 3) else '' end as rest from pages),
+        p as (select page_id, {_lower("regexp_extract(rest, '^([^/?#]*)', 1)")} as host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from r),
+        o as (select host, count(*) as n,
+                     count(*) filter (coalesce(quality = 0, false) or coalesce(toxic = 1, false)) as bad
+              from p join labels on page_id = doc_id group by host),
+        h as (select *, array_to_string(string_split(host, '.')[-2:], '.') as domain,
+                     string_split(host, '.')[-1] as suffix from o),
+        s as (select suffix, sum(n) as n, sum(bad) as bad from h group by suffix),
+        dm as (select domain, sum(n) as n, sum(bad) as bad from h group by domain),
+        {_level("s")}, {_level("dm")}, {_level("h")},
+        a as (select coalesce(sum(bad) / sum(n), 0) as overall from h),
+        every as (select host, array_to_string(string_split(host, '.')[-2:], '.') as domain,
+                         string_split(host, '.')[-1] as suffix from (select distinct host from p)),
+        m as (select every.host, coalesce(h.n, 0) as n, h_k.k as k,
+                     (h_k.k * ((dm_k.k * ((s_k.k * overall + coalesce(s.bad, 0)) / (s_k.k + coalesce(s.n, 0)))
+                                + coalesce(dm.bad, 0)) / (dm_k.k + coalesce(dm.n, 0)))
+                      + coalesce(h.bad, 0)) / (h_k.k + coalesce(h.n, 0)) as rate
+              from every left join s on every.suffix = s.suffix left join dm on every.domain = dm.domain
+                   left join h on every.host = h.host, s_k, dm_k, h_k, a),
+        v as (select host, case when rate - {Z} * sqrt(rate * (1 - rate) / (k + n + 1)) > {MAX_BAD_RATE}
+                           then 'block' else 'allow' end as own from m),
+        rules as (select * from (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) t(rh, rp, says)),
+        f as (select page_id, rh || rp as rule, says from p join rules
+              on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp)
+              qualify row_number() over (partition by page_id order by len(rh || rp) desc) = 1)
+        select page_id, host, path, rule, coalesce(says, own) as verdict
+        from p left join f using (page_id) left join v using (host)""",
 }
