@@ -2,24 +2,86 @@
 
 ``run`` applies them in order; every stage's rows are written as Parquet in
 the session's shared checkpoint folder and read again as the next one's docs.
+
+1. quality classifier: rows that score below the threshold go.
+2. line dedup: repeated boilerplate lines are taken out of the texts.
+3. SimHash near-dedup: of each class the document with the smallest id stays.
+4. benchmark decontamination: documents that share a window with an item go.
+5. packing: the remaining documents as pieces of training sequences.
+
+Rows: every stage handles what its operator does (nulls, empty texts, repeated
+rows, empty tables, other columns); a row whose id is null is judged by its
+text alone and, in a class with any id, is not the one that stays.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm.common import Scratch
+from basketry.llm.common import Scratch, crc_mod
+from basketry.llm.decontamination import contamination
+from basketry.llm.line_dedup import line_dedup
 from basketry.llm.packing import pack
+from basketry.llm.quality import quality_filter, train
+from basketry.llm.simhash import near_dedup
+
+#: SQL cannot state the classifier, SimHash linking or packing; tests hold the
+#: stages against brute force instead.
+ORACLE_SQL = None
+
+
+def _without(docs: DataFrame, dropped: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` but the rows whose id is in ``dropped (doc_id)``.
+
+    The ids are written first, so Spark knows their size when it plans the join.
+    """
+    gone = scratch.keep(dropped.select(F.col("doc_id").alias("gone")).distinct(), "dropped")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the labels of the training rows, drops what scores low."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_mod("doc_id", 5) != 0)
+    return quality_filter(docs, train(docs, labels))
 
-ORACLE_SQL = None   # SimHash linking and packing have no SQL form
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes boilerplate lines out; ``n_chars``, if there, follows the text."""
+    cleaned = line_dedup(docs)
+    if "n_chars" in cleaned.columns:
+        kind = docs.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(kind))
+    return cleaned.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each class."""
+    scratch = Scratch(spark)
+    classes = near_dedup(docs, scratch=scratch)
+    return _without(docs, classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), scratch)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that share a window of words with a benchmark item."""
+    scratch = Scratch(spark)
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), scratch=scratch)
+    return _without(docs, found.where("contaminated"), scratch)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +89,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
