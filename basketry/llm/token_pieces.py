@@ -8,22 +8,45 @@ seen before in this worker are encoded in one batch by the library, the rest
 come from a table of bounded size. Long texts thereby never reach the encoder
 whole. Parts that touch other white space (double spaces, a space beside a
 line break, a space at either end) are joined with their neighbours first.
+
+Most new parts are one word, or a word with ASCII punctuation after it. The
+border between letters and punctuation is a pre-token border too, so those go
+to the library's BPE model directly as one pre-token (its bytes written in the
+model's alphabet), which saves the tokenizer's bookkeeping around it; their
+punctuation and all other parts take the full path.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable
-from itertools import chain
-
-import numpy as np
+from struct import pack
 
-MAX_KEPT = 400_000      # parts a worker remembers; the table is emptied beyond
+MAX_KEPT = 600_000      # parts a worker remembers; the table is emptied beyond
 MAX_KEPT_CHARS = 64     # longer parts are encoded each time
 
+# ASCII punctuation without the apostrophe, which may begin a contraction
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LATIN = 0x250           # letters below this have long been letters in every Unicode table
+
 _TABLES: dict = {}
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """Code point -> how the byte-level model writes its UTF-8 bytes.
+
+    Printable ASCII and Latin-1 bytes stand for themselves, the other bytes
+    for the code points from 256 on, in order.
+    """
+    itself = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    letter = [chr(b if b in itself else next(other)) for b in range(256)]
+    return {cp: "".join(letter[b] for b in chr(cp).encode()) for cp in range(LATIN)}
+
+
+_ALPHABET = _byte_alphabet()
+
+
 def _load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -34,19 +57,17 @@ def _load(path: str):
     return t
 
 
-def _count(e) -> int:
-    return len(e.ids)
-
-
-def _id_bytes(e) -> bytes:
-    return np.array(e.ids, dtype="<u4").tobytes()
+def _id_bytes(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
 
 
 class Pieces:
-    """Encodes texts of one vocabulary; ``value`` maps an encoding to what is kept."""
+    """Encodes texts of one vocabulary; ``value`` maps ids to what is kept."""
 
     def __init__(self, path: str, value: Callable, join: Callable):
         self.tokenizer = _load(path)
+        self.model = self.tokenizer.model
+        self.tails: dict[str, list[int]] = {"": []}
         self.value, self.join = value, join
         self.inner: dict[str, object] = {}   # part -> value of " " + part
         self.first: dict[str, object] = {}   # part at the start of a text
@@ -54,18 +75,32 @@ class Pieces:
     def _learn(self, table: dict, parts: Iterable[str], prefix: str) -> dict:
         """Values of unseen parts; None for parts that must be joined first."""
         extra, good = {}, []
+        lead = prefix.translate(_ALPHABET)
         for p in parts:
             if not p or p[0].isspace() or p[-1].isspace():
                 table[p] = None
+                continue
+            word = p.rstrip(TAIL)
+            if len(p) <= MAX_KEPT_CHARS and word.isalpha() and (word.isascii() or max(word) < chr(LATIN)):
+                ids = [t.id for t in self.model.tokenize(lead + word.translate(_ALPHABET))]
+                table[p] = self.value(ids + self._tail(p[len(word):]))
             else:
                 good.append(p)
         for at in range(0, len(good), 20_000):
             block = good[at:at + 20_000]
             for p, e in zip(block, self.tokenizer.encode_batch_fast(
                     [prefix + p for p in block], add_special_tokens=False)):
-                (table if len(p) <= MAX_KEPT_CHARS else extra)[p] = self.value(e)
+                (table if len(p) <= MAX_KEPT_CHARS else extra)[p] = self.value(e.ids)
         return extra
 
+    def _tail(self, tail: str) -> list[int]:
+        """Ids of punctuation that follows a letter."""
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {"": []}
+            self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+        return self.tails[tail]
+
     def _joined(self, parts: list[str]) -> list[str]:
         """Encodable strings: parts whose boundary is unsafe are put together."""
         out, last = [parts[0]], parts[0]
@@ -84,31 +119,45 @@ class Pieces:
         if len(self.first) > MAX_KEPT:
             self.first.clear()
         split = [t.split(" ") for t in batch]
-        heads = {s[0] for s in split} - self.first.keys()
-        tails = set(chain.from_iterable(s[1:] for s in split)) - self.inner.keys()
-        first_extra = self._learn(self.first, heads, "")
-        extra = self._learn(self.inner, tails, " ")
-        inner, first = self.inner, self.first
+        out: list = [None] * len(split)
+        later = []
+        first, inner = self.first, self.inner
+        new_first, new_inner = set(), set()
+        for i, s in enumerate(split):
+            try:
+                out[i] = self._whole(s, first, inner)
+            except KeyError:           # parts not seen before
+                later.append(i)
+                new_inner.update([p for p in s[1:] if p not in inner])
+                if s[0] not in first:
+                    new_first.add(s[0])
+        extra = self._learn(inner, new_inner, " ")
         if extra:
             inner = {**inner, **extra}
-        if first_extra:
-            first = {**first, **first_extra}
-        out = []
-        for s in split:
-            values = [first[s[0]], *map(inner.__getitem__, s[1:])]
-            if None in values:
-                whole = self._joined(s) if s != [""] else []
-                values = [self.value(e) for e in self.tokenizer.encode_batch_fast(
-                    whole, add_special_tokens=False)]
-            out.append(self.join(values))
+        extra = self._learn(first, new_first, "")
+        if extra:
+            first = {**first, **extra}
+        for i in later:
+            out[i] = self._whole(split[i], first, inner)
         return out
 
+    def _whole(self, s: list[str], first: dict, inner: dict):
+        parts = iter(s)
+        values = [first[next(parts)]]
+        values += map(inner.__getitem__, parts)
+        try:
+            return self.join(values)
+        except TypeError:              # a part that must be joined first
+            whole = self._joined(s) if s != [""] else []
+            return self.join([self.value(e.ids) for e in self.tokenizer.encode_batch_fast(
+                whole, add_special_tokens=False)])
+
 
 def counter(path: str) -> Pieces:
     """Token counts per text."""
     key = ("count", path)
     if key not in _TABLES:
-        _TABLES[key] = Pieces(path, _count, sum)
+        _TABLES[key] = Pieces(path, len, sum)
     return _TABLES[key]
 
 

@@ -39,7 +39,7 @@ def test_pieces_give_the_ids_of_the_whole(text):
 
 def test_pieces_table_is_bounded(monkeypatch):
     monkeypatch.setattr(token_pieces, "MAX_KEPT", 3)
-    p = token_pieces.Pieces(PATH, token_pieces._count, sum)
+    p = token_pieces.Pieces(PATH, len, sum)
     for t in ["a b c d e f", "g h", "", "i j k"]:
         assert p.encode([t, t]) == [len(ids(t))] * 2
     assert len(p.inner) <= 4
