@@ -1,43 +1,44 @@
 """Level-wise frequent-itemset mining on DataFrames.
 
-Set-oriented counting (SETM, Houtsma & Swami 1995) with Apriori subset
-pruning (Agrawal & Srikant 1994), expressed as joins and aggregations:
+Set-oriented counting (SETM, Houtsma & Swami 1995) with Apriori candidates
+(Agrawal & Srikant 1994), over equivalence classes of sets that share a prefix:
 
 * ``tx(tid, item, m)``  one row per distinct (tid, item), ``m`` its weight.
-* ``occ_k(tid, i1..ik, w)``  each transaction's frequent k-sets, ``w`` the
-  weight of the set's first (smallest) item in that transaction.
-* level k:  ``occ_{k-1} JOIN tx ON tid AND item > i{k-1}``, then
-  ``GROUP BY i1..ik HAVING sum(w) >= threshold``.
+* a *class* row ``(tid, i1..i{k-2}, w, tail)``: the transaction holds the prefix
+  and every item of ``tail``, and each prefix + item is a frequent (k-1)-set;
+  ``w`` is the weight of the set's first (smallest) item in the transaction.
+* level k: each ``y`` of ``tail`` with the items ``x`` after it gives the
+  candidates prefix + y + x, both of whose (k-1)-sets sharing the prefix are
+  frequent; ``GROUP BY i1..ik HAVING sum(w) >= threshold`` counts them.
+* the classes of level k keep, per (tid, prefix + y), the ``x`` whose k-set is
+  frequent: a join with the frequent sets grouped by their prefix.
+
+So a candidate is only counted if the sets it joins are frequent, candidates
+are never written (only classes, one row per transaction and prefix), and the
+transactions themselves are read once: no level joins them again.
 
 The weight rule reproduces the reference's bag counting exactly: there the
 id list of a set keeps the duplicates of its first item's id list, so
 support(S) = sum over transactions holding S of m(tid, first(S)). With
-``m = 1`` everywhere this is the usual distinct support.
-
-Exactness does not depend on candidate generation: a set is counted from
-the transactions holding it, only frequent items extend, and only frequent
-(k-1)-prefixes are extended. The reference's candidate rule (two frequent
-(k-1)-sets sharing their first k-2 items) adds nothing to that: the second
-set keeps the first item, so its support bounds the new set's even in bag
-mode, and the threshold test rejects what the rule would.
-
-Optional pruning is a semi-join of the extensions against level k-1 on
-each (k-1)-subset known to bound the support: every subset in distinct
-mode, only subsets keeping the first item in bag mode (dropping the first
-item changes the weights, so bag support is not anti-monotone there). The
-pruning sets are broadcast only when the level's row count, known from the
-loop, is under ``broadcast_rows``; above it the step is skipped and the
-aggregate alone decides.
-
-Transactions with very large baskets are salted in the level join (see
-``hot_basket``): their join output grows with the square of the basket
-while their input stays small, so size-based skew handling misses them.
-
-Candidate pairs of sets are never enumerated, and no group is collected.
+``m = 1`` everywhere this is the usual distinct support. Both sets of a
+candidate's pair keep its first item, so their supports bound the candidate's
+in bag mode too.
+
+``prune=True`` also tests the other (k-1)-subsets known to bound the support:
+all of them in distinct mode, those that keep the first item in bag mode
+(dropping it changes the weights, so bag support is not anti-monotone there).
+The tests are semi-joins with the level below; Spark picks their strategy.
+
+Work follows a class's output, not its input: a tail of t items yields
+t (t - 1) / 2 candidates, so a class whose tail would yield more than
+``rows_per_task`` is split into that many parts, each taking every n-th ``y``,
+and classes are dealt over the shuffle partitions by (tid, prefix, part). A huge
+transaction thereby becomes many bounded units at every level.
+
 The only driver traffic is one small stats row and one count per level. The
-occurrences of every level are written to the run's workspace (the small
+classes of every level are written to the run's workspace (the small
 frequent-set tables are cached), so plans stay short and a lost executor
-costs at most one level's join, not a replay of earlier levels.
+costs at most one level's work, not a replay of earlier levels.
 """
 
 from __future__ import annotations
@@ -51,12 +52,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.arrays import support_threshold
-from basketry.session import DEFAULT_BROADCAST_ROWS, Workspace, fits_broadcast
+from basketry.session import Workspace
 
 DEFAULT_MIN_SUPPORT = 0.3   # fixed: reference default minimum support
 DEFAULT_MAX_SIZE = 5        # fixed: reference default largest itemset size
-SPARSE_LEVEL = 0.5          # prune when a level holds at most this share of sets
-DEFAULT_HOT_BASKET = 2000   # distinct items above which a transaction is salted
+SPARSE_LEVEL = 0.5          # ``prune=None`` prunes when a level holds at most this share of sets
+DEFAULT_ROWS_PER_TASK = 1_000_000   # candidates one class row may yield before it is split
 
 
 @dataclass
@@ -89,56 +90,51 @@ def _cols(k: int) -> list[str]:
     return [f"i{j}" for j in range(1, k + 1)]
 
 
-def _semi(df: DataFrame, keys: DataFrame, on: list[str], small: bool) -> DataFrame:
-    right = F.broadcast(keys) if small else keys
-    return df.join(right, on, "left_semi")
-
-
-def _extend(occ: DataFrame, txf: DataFrame, k: int, hot: DataFrame | None = None,
-            hot_small: bool = True) -> DataFrame:
-    """Append each later item of the same transaction to each (k-1)-set.
+def _split(classes: DataFrame, k: int, rows_per_task: int) -> DataFrame:
+    """Deal classes out by their work.
 
-    Transactions listed in ``hot`` ``(tid, n_salts)`` have their sets
-    spread over ``n_salts`` join keys by a hash of the set, and their items
-    copied to every salt: the join output of a huge basket is produced by
-    many tasks instead of one.
+    Adds ``part`` and ``parts``: a class is copied into as many parts as its
+    candidates need, and the rows are spread by (tid, prefix, part).
     """
-    keys = ["tid"]
-    txf = txf.select("tid", "item")
-    if hot is not None:
-        h = F.broadcast(hot) if hot_small else hot
-        spread = F.pmod(F.xxhash64(*_cols(k - 1)), F.col("n_salts").cast(T.LongType()))
-        occ = occ.join(h, "tid", "left").select(
-            *occ.columns,
-            F.coalesce(spread.cast(T.IntegerType()), F.lit(0)).alias("salt"))
-        copies = F.sequence(F.lit(0), F.coalesce(F.col("n_salts"), F.lit(1)) - F.lit(1))
-        txf = txf.join(h, "tid", "left").select("tid", "item", F.explode(copies).alias("salt"))
-        keys.append("salt")
-    o = occ.alias("o")
-    t = txf.alias("t")
-    cond = F.col("t.item") > F.col(f"o.i{k - 1}")
-    for key in keys:
-        cond = cond & (F.col(f"o.{key}") == F.col(f"t.{key}"))
-    return o.join(t, cond, "inner").select(
-        F.col("o.tid").alias("tid"),
-        *[F.col(f"o.{c}").alias(c) for c in _cols(k - 1)],
-        F.col("t.item").alias(f"i{k}"),
-        F.col("o.w").alias("w"),
-    )
-
-
-def _prune(ext: DataFrame, prev: DataFrame, k: int, weighted: bool) -> DataFrame:
-    """Keep extensions whose bounding (k-1)-subsets are all in ``prev``."""
-    keys = F.broadcast(prev.select(*[F.col(c).alias(f"p{c}") for c in _cols(k - 1)]))
-    first = 1 if weighted else 0
-    for j in range(first, k - 1):   # j = k-1 drops the new item: the prefix itself
+    n = F.size("tail").cast(T.LongType())
+    work = n * (n - 1) / 2
+    parts = F.least(F.ceil(work / F.lit(float(rows_per_task))), n - 1).cast(T.IntegerType())
+    keys = ["tid", *_cols(k - 2), "part"]
+    width = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (classes.where(F.size("tail") >= 2).withColumn("parts", parts)
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .repartition(width, *keys))
+
+
+def _steps(classes: DataFrame, k: int) -> DataFrame:
+    """``(tid, i1..i{k-1}, w, tail)``: each y of a class with the items after it."""
+    at = F.explode(F.sequence(F.col("part"), F.size("tail") - 2, F.col("parts"))).alias("at")
+    rows = classes.select("*", at)
+    # on the first level the weight is that of y itself, later that of i1
+    w = F.get("weights", F.col("at")) if k == 2 else F.col("w")
+    return rows.select("tid", *_cols(k - 2), F.get("tail", F.col("at")).alias(f"i{k - 1}"),
+                       w.alias("w"), F.slice("tail", F.col("at") + 2, F.size("tail")).alias("tail"))
+
+
+def _keep_frequent(steps: DataFrame, level: DataFrame, k: int) -> DataFrame:
+    """Classes of level k: tails reduced to the items whose k-set is frequent."""
+    prefix = _cols(k - 1)
+    frequent = level.groupBy(*prefix).agg(F.collect_set(f"i{k}").alias("next"))
+    return (steps.join(frequent, prefix)
+            .select("tid", *prefix, "w", F.array_intersect("tail", "next").alias("tail")))
+
+
+def _prune(candidates: DataFrame, prev: DataFrame, k: int, weighted: bool) -> DataFrame:
+    """Keep candidates whose other bounding (k-1)-subsets are all in ``prev``.
+
+    The two subsets without the last or the last but one item are frequent by
+    construction.
+    """
+    for j in range(1 if weighted else 0, k - 2):
         kept = [c for pos, c in enumerate(_cols(k)) if pos != j]
-        cond = None
-        for c, p in zip(kept, _cols(k - 1)):
-            eq = F.col(c) == F.col(f"p{p}")
-            cond = eq if cond is None else cond & eq
-        ext = ext.join(keys, cond, "left_semi")
-    return ext
+        keys = prev.select(*[F.col(p).alias(c) for p, c in zip(_cols(k - 1), kept)])
+        candidates = candidates.join(keys, kept, "left_semi")
+    return candidates
 
 
 def _worth_pruning(prune: bool | None, n_prev: int, n_possible: int) -> bool:
@@ -153,8 +149,13 @@ def _worth_pruning(prune: bool | None, n_prev: int, n_possible: int) -> bool:
     return n_prev <= SPARSE_LEVEL * n_possible
 
 
-def _count_level(ext: DataFrame, k: int, threshold: int) -> DataFrame:
-    return (ext.groupBy(*_cols(k))
+def _candidates(steps: DataFrame, k: int) -> DataFrame:
+    """``(i1..ik, w)``, one row per candidate set and transaction holding it."""
+    return steps.select(*_cols(k - 1), "w", F.explode("tail").alias(f"i{k}"))
+
+
+def _count_level(candidates: DataFrame, k: int, threshold: int) -> DataFrame:
+    return (candidates.groupBy(*_cols(k))
             .agg(F.sum("w").cast(T.LongType()).alias("support"))
             .where(F.col("support") >= F.lit(threshold)))
 
@@ -162,8 +163,8 @@ def _count_level(ext: DataFrame, k: int, threshold: int) -> DataFrame:
 def _keep(level: DataFrame, result: FrequentItemsets) -> DataFrame:
     """Cache a (small) level table; its count materializes it.
 
-    Its lineage stops at the written tables of the previous level, so a
-    lost block costs one level's join, and one job per level is saved
+    Its lineage stops at the written classes of the previous level, so a
+    lost block costs one level's counting, and one job per level is saved
     compared with writing and re-reading it.
     """
     level = level.persist(StorageLevel.MEMORY_AND_DISK)
@@ -177,9 +178,8 @@ def _as_itemsets(level: DataFrame, k: int) -> DataFrame:
 
 def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int = DEFAULT_MAX_SIZE, *,
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                       prune: bool | None = False,
-                      hot_basket: int | None = DEFAULT_HOT_BASKET,
+                      rows_per_task: int = DEFAULT_ROWS_PER_TASK,
                       workspace: Workspace | None = None) -> FrequentItemsets:
     """Mine all sets of at most ``max_size`` items with support >= threshold.
 
@@ -189,24 +189,14 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     one; ``max_size`` is clamped to the largest basket, which cannot change
     the result.
 
-    Inside the loop a k-set travels as k flat columns ``i1..ik`` (fixed per
-    level), so joins, aggregates and semi-joins hash primitive keys inside
-    whole-stage codegen; arrays are built only for the returned table.
-
-    Subset pruning costs a broadcast hash probe per bounding subset and
-    extension, more than the partial aggregate it relieves (measured: it
-    cut a level's extensions by 60% and still ran 1.5x slower), so it is
-    off by default. It pays when infrequent extensions would swamp the
-    per-task aggregation maps; ``prune=None`` then decides per level
-    (prune when level k-1 holds at most half of all possible (k-1)-sets
-    over the frequent items), ``True`` forces it.
-
-    A transaction with more than ``hot_basket`` distinct items makes a
-    join output that grows with the square of its basket, while its input
-    is small enough to escape AQE's size-based skew split. Such
-    transactions are salted: their sets are spread over
-    ``ceil(items / hot_basket)`` join keys and their items copied to each.
-    The result does not change; ``hot_basket=None`` turns it off.
+    Inside the loop the prefix of a class travels as flat columns ``i1..``
+    (fixed per level), so joins and aggregates hash primitive keys inside
+    whole-stage codegen; set arrays are built only for the returned table.
+
+    ``prune`` adds the subset tests described above: ``True`` always,
+    ``False`` never, ``None`` per level, when level k-1 holds at most half of
+    all possible (k-1)-sets over the frequent items. ``rows_per_task`` bounds
+    the candidates of one unit of work. Neither changes the result.
     """
     if int(max_size) < 1:
         raise ValueError(f"max_size must be >= 1, got {max_size!r}")
@@ -221,21 +211,12 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         tx.where(F.col("tid").isNotNull() & F.col("item").isNotNull())
         .groupBy("tid", "item").agg(F.sum("m").cast(T.LongType()).alias("m")),
         "transactions")
-    per_tid = tx.groupBy("tid").agg(F.sum("m").alias("size"), F.max("m").alias("w"),
-                                    F.count(F.lit(1)).alias("n_items"))
+    per_tid = tx.groupBy("tid").agg(F.sum("m").alias("size"), F.max("m").alias("w"))
     stats = (per_tid.agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"),
-                         F.max("w").alias("w"), F.max("n_items").alias("widest"))
-             .first())
+                         F.max("w").alias("w")).first())
     n = int(stats["n"] or 0)
     max_basket = int(stats["size"] or 0)
     weighted = int(stats["w"] or 0) > 1
-    hot, hot_small = None, True
-    if hot_basket and int(stats["widest"] or 0) > hot_basket:
-        hot = ws.materialize(
-            per_tid.where(F.col("n_items") > F.lit(hot_basket)).select(
-                "tid", F.ceil(F.col("n_items") / F.lit(hot_basket)).cast(T.IntegerType())
-                .alias("n_salts")), "hot-transactions")
-        hot_small = fits_broadcast(hot, broadcast_rows)
     threshold = support_threshold(n, min_support)
     effective = max(1, threshold)
     k_max = min(int(max_size), max_basket)
@@ -261,31 +242,25 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
 
     if n_prev > 0 and k_max >= 2:
         n_items = n_prev
-        frequent_items = prev.select(F.col("i1").alias("item"))
-        txf = _semi(tx, frequent_items, ["item"], n_prev <= broadcast_rows)
-        occ = txf.select("tid", F.col("item").alias("i1"), F.col("m").alias("w"))
+        # a transaction's frequent items: as long as the item universe at most
+        pairs = F.array_sort(F.collect_list(F.struct("item", "m")))
+        classes = (tx.join(prev.select(F.col("i1").alias("item")), "item", "left_semi")
+                   .groupBy("tid").agg(pairs.alias("pairs"))
+                   .select("tid", F.col("pairs")["item"].alias("tail"),
+                           F.col("pairs")["m"].alias("weights")))
         for k in range(2, k_max + 1):
-            ext = _extend(occ, txf, k, hot, hot_small)
-            if k >= 3 and n_prev <= broadcast_rows and _worth_pruning(
-                    prune, n_prev, math.comb(n_items, k - 1)):
-                ext = _prune(ext, prev, k, weighted)
-            last = k == k_max
-            if not last:
-                # counted once and filtered once: keep the extensions for both
-                # passes; a lost block is recomputed from the written level k-1
-                ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
-            level = _keep(_count_level(ext, k, effective), result)
+            classes = ws.materialize(_split(classes, k, rows_per_task), f"classes-{k - 1}")
+            steps = _steps(classes, k)
+            candidates = _candidates(steps, k)
+            if k >= 3 and _worth_pruning(prune, n_prev, math.comb(n_items, k - 1)):
+                candidates = _prune(candidates, prev, k, weighted)
+            level = _keep(_count_level(candidates, k, effective), result)
             n_level = level.count()
             result.level_counts.append(n_level)
-            if n_level > 0 and not last:
-                occ = ws.materialize(
-                    _semi(ext, level.select(*_cols(k)), _cols(k), n_level <= broadcast_rows),
-                    f"occurrences-{k}")
-            if not last:
-                ext.unpersist()
             if n_level == 0:
                 break
             levels.append(_as_itemsets(level, k))
+            classes = _keep_frequent(steps, level, k)
             prev, n_prev = level, n_level
 
     itemsets = levels[0]

@@ -1,51 +1,39 @@
 """Plain-Python models of the three jobs, for tests only.
 
-``mine_idlists`` follows the reference's vertical scheme literally: every
-set carries the list of transaction ids holding it, duplicates included;
-level k joins two sorted (k-1)-sets with equal first k-2 items and keeps
-the left id list's entries that also occur in the right one. Supports are
-list lengths.
+``mine_idlists`` counts by definition: a set is a result if every one of its
+items is frequent alone and its support, the sum over the transactions that
+hold all of it of the multiplicity of its smallest item, reaches the
+threshold; a set of two or more items also needs a transaction that holds it.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 
 
 def mine_idlists(pairs, min_support, max_size):
     """pairs: bag of (tid, item) after the join. -> {tuple(items): support}."""
-    baskets = defaultdict(list)
-    ids = defaultdict(list)
+    baskets = defaultdict(Counter)
     for tid, item in pairs:
-        baskets[tid].append(item)
-        ids[item].append(tid)
+        baskets[tid][item] += 1
     n = len(baskets)
-    th = int(float(n) * float(min_support))
-    if n == 0:
-        return {}, n, th
-    k_user = min(max_size, max(len(b) for b in baskets.values()))
-    level = sorted(((item,), lst) for item, lst in ids.items() if len(lst) >= th)
-    out = {s: len(lst) for s, lst in level}
-    size = 2
-    while size <= k_user and level:
-        nxt = []
-        for a in range(len(level)):
-            sa, la = level[a]
-            for b in range(a + 1, len(level)):
-                sb, lb = level[b]
-                if sa[:-1] != sb[:-1]:
-                    continue
-                members = set(lb)
-                kept = [t for t in la if t in members]
-                if kept and len(kept) >= th:
-                    nxt.append((sa + (sb[-1],), kept))
-        nxt.sort()
-        out.update({s: len(lst) for s, lst in nxt})
-        level = nxt
-        size += 1
-    return out, n, th
+    threshold = int(float(n) * float(min_support))
+    alone = Counter(item for _, item in pairs)
+    items = sorted(i for i, c in alone.items() if c >= threshold)
+    largest = max((sum(b.values()) for b in baskets.values()), default=0)
+    out = {}
+    for size in range(1, min(max_size, largest) + 1):
+        for s in combinations(items, size):
+            # a set counts only if those it is built from do
+            if size > 1 and not (s[:-1] in out and s[:-2] + s[-1:] in out):
+                continue
+            held = [b[s[0]] for b in baskets.values() if all(i in b for i in s)]
+            if held and sum(held) >= threshold:
+                out[s] = sum(held)
+    return out, n, threshold
 
 
 def rules(freq, min_conf=None):

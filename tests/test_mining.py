@@ -7,9 +7,11 @@ import random
 import brute
 import pytest
 from conftest import tx_frame
+from pyspark.sql import functions as F
 
 from basketry.functions import support_threshold
 from basketry.operators import frequent_itemsets, order_itemsets, transactions
+from basketry.operators.mining import _split, _steps
 
 
 def _as_dict(result):
@@ -28,8 +30,10 @@ def test_threshold_is_truncated_double_product():
     assert support_threshold(100, 0.29) == 28
     assert support_threshold(610, 0.2) == 122
     assert support_threshold(3, 0.3) == 0
-    with pytest.raises(ValueError):
-        support_threshold(10, 1.5)
+    assert support_threshold(10, 1.5) == 15
+    for bad in (-0.1, float("nan")):
+        with pytest.raises(ValueError):
+            support_threshold(10, bad)
 
 
 def test_zero_threshold_keeps_cooccurring_pairs_only(spark):
@@ -103,7 +107,7 @@ def test_pruning_and_partitioning_do_not_change_result(spark, distinct):
     base = _as_dict(frequent_itemsets(tx, 0.3, 5))
     assert _as_dict(frequent_itemsets(tx, 0.3, 5, prune=True)) == base
     assert _as_dict(frequent_itemsets(tx, 0.3, 5, prune=None)) == base
-    assert _as_dict(frequent_itemsets(tx.repartition(5), 0.3, 5, broadcast_rows=0)) == base
+    assert _as_dict(frequent_itemsets(tx.repartition(5), 0.3, 5, rows_per_task=1)) == base
 
 
 def test_distinct_support_is_anti_monotone(spark):
@@ -142,15 +146,34 @@ def test_transactions_shuffle_path_equals_broadcast_path(spark, distinct):
 
 
 @pytest.mark.parametrize("distinct", [True, False])
-def test_salting_hot_transactions_keeps_result(spark, distinct):
-    # one transaction holds most rows; salt everything above 3 items
+def test_splitting_hot_transactions_keeps_result(spark, distinct):
+    # one transaction holds most rows; split whatever yields more than 3 candidates
     pairs = _random_pairs(13, n_tid=12, n_items=9)
     pairs += [("hot", i) for i in range(1, 10) for _ in range(2)]
     tx = _tx_from_pairs(spark, pairs, distinct)
-    base = _as_dict(frequent_itemsets(tx, 0.3, 5, hot_basket=None))
-    salted = frequent_itemsets(tx, 0.3, 5, hot_basket=3)
-    assert _as_dict(salted) == base
-    assert _as_dict(frequent_itemsets(tx, 0.3, 5, hot_basket=3, broadcast_rows=0)) == base
+    base = _as_dict(frequent_itemsets(tx, 0.3, 5))
+    assert _as_dict(frequent_itemsets(tx, 0.3, 5, rows_per_task=3)) == base
+
+
+def test_work_of_a_huge_transaction_is_split_by_its_output(spark):
+    # one transaction of 120 items, alone: all its candidates come from one tid
+    tx = tx_frame(spark, [("hot", i, 1) for i in range(120)])
+    target = 500
+    classes = (tx.groupBy("tid").agg(F.array_sort(F.collect_list("item")).alias("tail"),
+                                     F.collect_list("m").alias("weights")))
+    for k in (2, 3, 4):
+        dealt = _split(classes, k, target)
+        sized = (dealt.withColumn("task", F.spark_partition_id())
+                 .withColumn("at", F.explode(F.sequence(F.col("part"), F.size("tail") - 2, F.col("parts"))))
+                 .groupBy("task", *[f"i{j}" for j in range(1, k - 1)], "part")
+                 .agg(F.sum(F.size("tail") - F.col("at") - 1).alias("n")).collect())
+        by_task = {}
+        for r in sized:
+            by_task[r.task] = by_task.get(r.task, 0) + r.n
+        assert sum(by_task.values()) == [0, 0, 7140, 280840, 8214570][k]
+        assert max(r.n for r in sized) <= 1.2 * target
+        assert len(by_task) >= 6 and max(by_task.values()) <= 3 * sum(by_task.values()) / 8
+        classes = _steps(dealt, k)
 
 
 def test_workspace_drop(spark):

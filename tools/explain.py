@@ -14,8 +14,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from basketry.operators import association_rules, category_counts  # noqa: E402
-from basketry.operators.mining import _count_level, _extend  # noqa: E402
+from basketry.operators.mining import _candidates, _count_level, _split, _steps  # noqa: E402
 from basketry.plans import queries as Q  # noqa: E402
 from basketry.plans import tables as fx  # noqa: E402
 from basketry.session import Workspace, local_session  # noqa: E402
@@ -52,9 +54,12 @@ def main(argv: list[str]) -> None:
     show("transactions (F-B, bag)", Q._fb_tx(spark, sf, False), full)
     ws = Workspace(spark)
     tx = ws.materialize(Q._fb_tx(spark, sf, True), "tx")
-    occ = tx.select("tid", tx.item.alias("i1"), tx.m.alias("w"))
-    show("mining level 2: extension join + partial aggregate",
-         _count_level(_extend(occ, tx, 2), 2, 1), full)
+    pairs = F.array_sort(F.collect_list(F.struct("item", "m")))
+    classes = tx.groupBy("tid").agg(pairs.alias("p")).select(
+        "tid", F.col("p")["item"].alias("tail"), F.col("p")["m"].alias("weights"))
+    dealt = ws.materialize(_split(classes, 2, 1_000_000), "classes")
+    show("mining level 2: candidates of the dealt classes + partial aggregate",
+         _count_level(_candidates(_steps(dealt, 2), 2), 2, 1), full)
     mined = Q._mine(spark, sf, fx.FB_MAX_SIZE, True)
     show("rules", association_rules(mined.itemsets, fx.FB_MIN_CONFIDENCE), full)
     spark.stop()
