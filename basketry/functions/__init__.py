@@ -4,12 +4,10 @@ from basketry.functions.arrays import (
     ITEM_SEPARATOR,
     RULE_ITEM_SEPARATOR,
     SET_SEPARATOR,
-    drop_position,
     float_at_least,
     float_ratio,
     items_text,
     parse_items,
-    proper_subset_masks,
     subset_by_mask,
     support_threshold,
 )
@@ -28,7 +26,7 @@ from basketry.functions.predicates import (
 __all__ = [
     "DEFAULT_CATEGORY_LIST", "DEFAULT_CATEGORY_NAMES", "DEFAULT_CATEGORY_SUBSTRING",
     "DEFAULT_CUTOFF", "ITEM_SEPARATOR", "RULE_ITEM_SEPARATOR", "SET_SEPARATOR",
-    "category_token", "drop_position", "float_at_least", "float_ratio",
-    "has_any_token", "items_text", "parse_items", "proper_subset_masks",
+    "category_token", "float_at_least", "float_ratio",
+    "has_any_token", "items_text", "parse_items",
     "scan_bound", "strong", "strong_filter", "subset_by_mask", "support_threshold",
 ]

@@ -40,11 +40,6 @@ def _regex_literal(sep: str) -> str:
     return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in sep)
 
 
-def drop_position(items: Column | str, position: int) -> Column:
-    """The set without its element at 0-based ``position``."""
-    return F.filter(_col(items), lambda _x, i: i != F.lit(position))
-
-
 def subset_by_mask(items: Column | str, mask: Column | str) -> Column:
     """Elements whose bit is set in ``mask`` (bit i selects element i)."""
     m = _col(mask)
@@ -54,13 +49,6 @@ def subset_by_mask(items: Column | str, mask: Column | str) -> Column:
                     .bitwiseAND(F.lit(1)) == F.lit(1))
 
 
-def proper_subset_masks(k: Column | str) -> Column:
-    """Masks 1 .. 2^k-2: every non-empty proper subset, in bitmask order."""
-    # powers of two are exact in double up to 2^62
-    full = F.pow(F.lit(2.0), _col(k).cast(T.DoubleType())).cast(T.LongType())
-    return F.sequence(F.lit(1).cast(T.LongType()), full - F.lit(2).cast(T.LongType()))
-
-
 def float_ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """``float(a) / float(b)`` rounded to a 32-bit float.
 
@@ -86,8 +74,10 @@ def float_at_least(value: Column | str, bound: float) -> Column:
 def support_threshold(n_transactions: int, min_support: float) -> int:
     """Minimum support count: the IEEE double product, truncated.
 
-    ``100 * 0.29`` is ``28.999999999999996`` in double, so 28, not 29.
+    ``100 * 0.29`` is ``28.999999999999996`` in double, so 28, not 29. A
+    share above 1 is meaningful with bag counting, where supports count
+    duplicates and may exceed the number of transactions.
     """
-    if not (0.0 <= min_support <= 1.0) or math.isnan(min_support):
-        raise ValueError(f"min_support must be in [0, 1], got {min_support!r}")
+    if math.isnan(min_support) or min_support < 0.0:
+        raise ValueError(f"min_support must be 0 or more, got {min_support!r}")
     return int(float(n_transactions) * float(min_support))

@@ -5,13 +5,15 @@
 the pair (strong measurement rows x matching entity rows), or 1 in
 distinct mode.
 
-Qualifying entities are reduced to ``(tid, n_ent)``. Within the broadcast
-bound they are joined map-side, so measurements of other entities are
-dropped during the scan and the only shuffle is the (tid, item)
-aggregate. Beyond it, strong measurements are first aggregated per
-(tid, item), a shuffle keyed by both columns that spreads even an entity
-holding a third of all rows, and then joined on ``tid``, where each
-entity has at most one row per distinct item.
+Qualifying entities are reduced to ``(tid, n_ent)`` and written once. Within
+the broadcast bounds they are joined map-side, so measurements of other
+entities are dropped during the scan and the only shuffle is the (tid, item)
+aggregate. Beyond them, strong measurements first meet a bitmap of the
+qualifying tids' hashes (``FILTER_BITS`` bits whatever the number of entities,
+so always small enough to broadcast), which drops most rows of other entities
+before any shuffle. What passes is aggregated per (tid, item), a shuffle keyed
+by both columns that spreads even an entity holding a third of all rows, and
+then joined on ``tid``, where each entity has at most one row per item.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.arrays import support_threshold
+from basketry.functions.membership import maybe_in
 from basketry.functions.predicates import (
     DEFAULT_CATEGORY_LIST,
     DEFAULT_CUTOFF,
     has_any_token,
     strong_filter,
 )
-from basketry.session import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from basketry.session import DEFAULT_BROADCAST_ROWS, small_side
 
 
 def qualifying_entities(entities: DataFrame,
@@ -47,11 +50,12 @@ def transactions(measurements: DataFrame, entities: DataFrame, *,
                            "value", cutoff, inclusive)
     ents = (qualifying_entities(entities, tuple(categories))
             .groupBy("tid").agg(F.count(F.lit(1)).alias("n_ent")))
-    if fits_broadcast(ents, broadcast_rows):
+    ents, fits = small_side(ents, "entities", broadcast_rows)
+    if fits:
         joined = strong.join(F.broadcast(ents), "tid", "inner")
         m = F.lit(1) if distinct else F.sum("n_ent")
         return joined.groupBy("tid", "item").agg(m.cast("bigint").alias("m"))
-    pairs = strong.groupBy("tid", "item").agg(F.count(F.lit(1)).alias("n_meas"))
+    pairs = maybe_in(strong, ents, "tid").groupBy("tid", "item").agg(F.count(F.lit(1)).alias("n_meas"))
     joined = pairs.join(ents, "tid", "inner")
     if distinct:
         m = F.lit(1).cast("bigint")

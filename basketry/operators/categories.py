@@ -8,7 +8,8 @@ and duplicate entity rows multiply:
     n(category) = sum over tid of strong(tid) * tokens(tid, category)
 
 The token side ``(tid, category, n_token)`` comes from the entity table.
-When its row count is within the broadcast bound it is joined map-side:
+It is written once; when its rows and bytes are within the broadcast bounds
+it is joined map-side:
 the measurement table is scanned once and never shuffled, each task
 emits one partial sum per category. Otherwise strong measurements are
 first aggregated per ``tid`` (a hot ``tid`` collapses to one row per
@@ -29,7 +30,7 @@ from basketry.functions.predicates import (
     category_token,
     strong_filter,
 )
-from basketry.session import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from basketry.session import DEFAULT_BROADCAST_ROWS, small_side
 
 
 def strong_measurements(measurements: DataFrame, *, cutoff: float = DEFAULT_CUTOFF,
@@ -66,7 +67,8 @@ def category_counts(measurements: DataFrame, entities: DataFrame, *,
                                  cutoff=cutoff, inclusive=inclusive)
     per_token = (category_tokens(entities, substring=substring, names=tuple(names))
                  .groupBy("tid", "category").agg(F.count(F.lit(1)).alias("n_token")))
-    if fits_broadcast(per_token, broadcast_rows):
+    per_token, fits = small_side(per_token, "category-tokens", broadcast_rows)
+    if fits:
         return (strong.join(F.broadcast(per_token), "tid", "inner")
                 .groupBy("category")
                 .agg(F.sum("n_token").cast("bigint").alias("n")))

@@ -3,9 +3,11 @@
 For every frequent set S with two or more items and every non-empty proper
 subset R of S that is itself in the table, emit R -> S\\R with
 confidence = float(support(S)) / float(support(R)) as a 32-bit float. The
-subsets come from one ``explode`` of bitmasks 1 .. 2^k-2 per set, and the
-lookup is one equi-join on the canonical (ascending) subset array, so the
-work is proportional to the rules produced. A subset missing from the
+subsets come from bitmasks 1 .. 2^k-2 per set, exploded ``CHUNK_BITS`` bits at a
+time so that no array grows with 2^k. The lookup is one equi-join on the sorted
+subset, since sets are equal in any order: a report may list the items of its
+sets as it likes, and rules print them in the order of S. Spark picks the
+join's strategy from the table's measured size. A subset missing from the
 table yields no rule (possible only with bag counting).
 """
 
@@ -20,50 +22,47 @@ from basketry.functions.arrays import (
     float_at_least,
     float_ratio,
     items_text,
-    proper_subset_masks,
     subset_by_mask,
 )
-from basketry.session import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 DEFAULT_MIN_CONFIDENCE = 0.6   # fixed: reference default minimum confidence
 MAX_ENUMERABLE_SIZE = 62       # bitmasks are 64-bit longs
+CHUNK_BITS = 15
 
 
 def proper_subsets(itemsets: DataFrame) -> DataFrame:
     """``(items, support, mask, subset)``: every non-empty proper subset.
 
-    Subsets are listed per set in bitmask order (bit i selects item i).
+    Bit i of ``mask`` selects item i.
     """
     sets = itemsets.where(F.col("k") >= 2)
     too_big = F.col("k") > F.lit(MAX_ENUMERABLE_SIZE)
-    sets = sets.select(
-        "items", "support",
-        F.when(too_big, F.raise_error(F.lit("itemset too large to enumerate subsets")))
-        .otherwise(F.col("k")).alias("k"))
-    return (sets
-            .select("items", "support", F.explode(proper_subset_masks("k")).alias("mask"))
-            .select("items", "support", "mask",
-                    subset_by_mask("items", "mask").alias("subset")))
+    k = F.when(too_big, F.raise_error(F.lit("itemset too large to enumerate subsets"))).otherwise(F.col("k"))
+    sets = sets.select("items", "support", k.cast("int").alias("k"), F.lit(0).cast("bigint").alias("mask"))
+    for low in range(0, MAX_ENUMERABLE_SIZE, CHUNK_BITS):
+        bits = F.least(F.greatest(F.col("k") - low, F.lit(0)), F.lit(CHUNK_BITS))
+        values = F.sequence(F.lit(0).cast("bigint"),
+                            F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+        sets = (sets.withColumn("chunk", F.explode(values))
+                .withColumn("mask", F.col("mask").bitwiseOR(F.shiftleft("chunk", low))).drop("chunk"))
+    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("k")) - 1
+    return (sets.where((F.col("mask") > 0) & (F.col("mask") < full))
+            .select("items", "support", "mask", subset_by_mask("items", "mask").alias("subset")))
 
 
 def association_rules(itemsets: DataFrame,
-                      min_confidence: float | None = DEFAULT_MIN_CONFIDENCE, *,
-                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      min_confidence: float | None = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
     """``(antecedent, consequent, support, antecedent_support, confidence)``.
 
     ``min_confidence=None`` keeps every rule; otherwise ``confidence >=
-    float(min_confidence)`` with both sides 32-bit floats. The set table is
-    broadcast for the lookup when its row count is within
-    ``broadcast_rows``; otherwise the subsets are shuffle-joined on the
-    antecedent (AQE splits a hot antecedent such as a single common item).
+    float(min_confidence)`` with both sides 32-bit floats.
     """
     subsets = proper_subsets(itemsets).select(
-        F.col("items").alias("full"), F.col("support"), F.col("subset").alias("antecedent"))
-    lookup = itemsets.select(F.col("items").alias("antecedent"),
+        F.col("items").alias("full"), "support", F.col("subset").alias("antecedent"),
+        F.array_sort("subset").alias("key"))
+    lookup = itemsets.select(F.array_sort("items").alias("key"),
                              F.col("support").alias("antecedent_support"))
-    if fits_broadcast(lookup, broadcast_rows):
-        lookup = F.broadcast(lookup)
-    rules = subsets.join(lookup, "antecedent", "inner").select(
+    rules = subsets.join(lookup, "key", "inner").select(
         "antecedent",
         F.array_except("full", "antecedent").alias("consequent"),
         "support",

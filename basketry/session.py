@@ -9,22 +9,19 @@ single-node runs); on a cluster a missing setting is an error.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest row count a side may have to be broadcast by an explicit hint.
-# Every hint in the library sits behind a count of that side against this
-# bound; larger sides take the shuffle path.
+# Bounds a side must keep to be broadcast by an explicit hint: its rows and
+# the bytes of its values. Both are measured on the side as written; larger
+# sides take the shuffle path.
 DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, broadcast_rows: int | None) -> bool:
-    """Count ``df`` (one job) and compare with the broadcast bound."""
-    if not broadcast_rows or broadcast_rows <= 0:
-        return False
-    return df.limit(broadcast_rows + 1).count() <= broadcast_rows
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -62,7 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             configured = None
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # not local-cluster[...]
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-ckpt-"))
     else:
         raise RuntimeError(
@@ -103,3 +100,23 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         fs.delete(path, True)
+
+
+def small_side(df: DataFrame, name: str, broadcast_rows: int | None,
+               workspace: Workspace | None = None) -> tuple[DataFrame, bool]:
+    """Write a join side once; the written table, and whether it may be broadcast.
+
+    Rows and bytes are taken in one aggregate over the written table (a plain
+    partial aggregate, nothing is limited into one task), and the caller reads
+    that table, so the side is computed once.
+    """
+    side = (workspace or Workspace(df.sparkSession)).materialize(df, name)
+    if not broadcast_rows or broadcast_rows <= 0:
+        return side, False
+    size = F.lit(0)
+    for f in side.schema.fields:
+        fixed = isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))
+        size = size + (F.lit(8) if fixed else F.coalesce(
+            F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + F.lit(8))
+    row = side.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("b")).first()
+    return side, row["n"] <= broadcast_rows and (row["b"] or 0) <= BROADCAST_BYTES
