@@ -14,6 +14,7 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from basketry.functions.predicates import (
     DEFAULT_CATEGORY_LIST,
@@ -26,6 +27,9 @@ from basketry.operators.rules import DEFAULT_MIN_CONFIDENCE
 from basketry.plans.jobs import category_count_job, itemset_job, rule_job
 
 
+_ITEM_TYPES = {"int": T.IntegerType(), "string": T.StringType()}
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="basketry")
     sub = p.add_subparsers(dest="job", required=True)
@@ -49,11 +53,20 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--distinct", action="store_true",
                    help="count each (entity, item) once instead of the bag counting")
 
+    i.add_argument("--item-type", choices=["int", "string"], default="int",
+                   help="how item ids are read and ordered")
+    i.add_argument("--table", help="also write the sets as a table, for rules --from-table")
+
     r = sub.add_parser("rules", help="association rules from an itemsets report")
     r.add_argument("report")
     r.add_argument("output")
     r.add_argument("--min-confidence", type=float, default=DEFAULT_MIN_CONFIDENCE)
 
+    r.add_argument("--item-type", choices=["int", "string"], default="string",
+                   help="how item ids are read from a report")
+    r.add_argument("--from-table", action="store_true",
+                   help="REPORT is a table written by itemsets --table")
+
     for s in (c, i, r):
         s.add_argument("--single-file", action="store_true",
                        help="write the report as one part file")
@@ -71,13 +84,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         res = itemset_job(session, args.measurements, args.entities, args.output,
                           min_support=args.min_support, max_size=args.max_size,
                           cutoff=args.cutoff, categories=tuple(args.categories),
-                          distinct=args.distinct, single_file=args.single_file)
+                          distinct=args.distinct, single_file=args.single_file,
+                          item_type=_ITEM_TYPES[args.item_type], table_path=args.table)
         m = res.mining
         print(f"transactions={m.n_transactions} threshold={m.threshold} "
               f"levels={m.level_counts}")
+        m.release()
     else:
         rule_job(session, args.report, args.output, min_confidence=args.min_confidence,
-                 single_file=args.single_file)
+                 single_file=args.single_file, item_type=_ITEM_TYPES[args.item_type],
+                 from_table=args.from_table)
     return 0
 
 

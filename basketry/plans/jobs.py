@@ -15,6 +15,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from basketry.functions.predicates import (
     DEFAULT_CATEGORY_LIST,
@@ -36,7 +37,12 @@ from basketry.operators.rules import (
     association_rules,
     rule_report_lines,
 )
-from basketry.sources.reports import read_itemset_report, write_lines
+from basketry.sources.reports import (
+    read_itemset_report,
+    read_itemset_table,
+    write_itemset_table,
+    write_lines,
+)
 from basketry.sources.text import read_entities_text, read_measurements_text
 
 
@@ -56,34 +62,51 @@ def category_count_job(spark: SparkSession, measurements_path: str, entities_pat
 
 @dataclass
 class ItemsetJobResult:
+    """What job 2 found. ``mining.release()`` deletes its intermediate tables,
+    after which ``mining.itemsets`` cannot be read; the written outputs stay."""
+
     mining: FrequentItemsets
     report_path: str
+    table_path: str | None = None
 
 
 def itemset_job(spark: SparkSession, measurements_path: str, entities_path: str,
                 output_path: str, *, min_support: float = DEFAULT_MIN_SUPPORT,
                 max_size: int = DEFAULT_MAX_SIZE, cutoff: float = DEFAULT_CUTOFF,
                 categories: Iterable[str] = DEFAULT_CATEGORY_LIST,
-                distinct: bool = False, single_file: bool = False) -> ItemsetJobResult:
+                distinct: bool = False, single_file: bool = False,
+                item_type: T.DataType = T.IntegerType(),
+                table_path: str | None = None) -> ItemsetJobResult:
     """Job 2: frequent sets of strong items (``>= cutoff``) of qualifying entities.
 
     ``distinct=False`` counts duplicates like the reference; ``True`` treats
-    every basket as a set.
+    every basket as a set. Items are integers unless ``item_type`` says
+    otherwise. ``table_path`` also writes the sets as a table, one row each,
+    for :func:`rule_job`: a report line holds all sets of one support, which at
+    scale is more than one task should build.
     """
-    m = read_measurements_text(spark, measurements_path)
+    m = read_measurements_text(spark, measurements_path, item_type=item_type)
     e = read_entities_text(spark, entities_path)
     tx = transactions(m, e, cutoff=cutoff, inclusive=True,
                       categories=tuple(categories), distinct=distinct)
     mined = frequent_itemsets(tx, min_support, max_size)
+    if table_path:
+        write_itemset_table(mined.itemsets, table_path)
     write_lines(itemset_report_lines(mined.itemsets), output_path, single_file=single_file)
-    return ItemsetJobResult(mined, output_path)
+    return ItemsetJobResult(mined, output_path, table_path)
 
 
 def rule_job(spark: SparkSession, report_path: str, output_path: str, *,
              min_confidence: float = DEFAULT_MIN_CONFIDENCE,
-             single_file: bool = False) -> DataFrame:
-    """Job 3: rules with confidence >= ``min_confidence`` from a job-2 report."""
-    itemsets = read_itemset_report(spark, report_path)
+             single_file: bool = False, item_type: T.DataType = T.StringType(),
+             from_table: bool = False) -> DataFrame:
+    """Job 3: rules with confidence >= ``min_confidence`` from a job-2 report.
+
+    Item ids stay text unless ``item_type`` says otherwise. With
+    ``from_table`` the path is a table written by job 2 instead.
+    """
+    itemsets = (read_itemset_table(spark, report_path) if from_table
+                else read_itemset_report(spark, report_path, item_type=item_type))
     rules = association_rules(itemsets, min_confidence)
     write_lines(rule_report_lines(rules), output_path, single_file=single_file)
     return rules

@@ -137,9 +137,16 @@ SELECT CAST(support AS VARCHAR) || chr(9) ||
 FROM freq GROUP BY support"""
 
 
+_REPORT_LINE = """CAST(support AS VARCHAR) || chr(9) ||
+       string_agg(array_to_string(items, ';'), chr(9) ORDER BY k, items)"""
+
+A_PRICE = """(SELECT l_extendedprice FROM lineitem ORDER BY l_extendedprice
+   LIMIT 1 OFFSET (SELECT CAST(ceil(count(*) * 0.5) AS BIGINT) - 1 FROM lineitem))"""
+
+
 def oracle_sql() -> dict[str, str]:
     d5 = _freq(True, fx.FB_MAX_SIZE)
-    b3 = _freq(False, fx.FB_BAG_MAX_SIZE)
+    b5 = _freq(False, fx.FB_MAX_SIZE)
     tx_only = lambda distinct: _fb_tx(distinct)
     return {
         "strong_filter_gt": f"""
@@ -191,7 +198,7 @@ FROM per""",
                             "SELECT array_to_string(items, ';') AS itemset, support "
                             "FROM freq WHERE k = 3",
         "frequent_itemsets": f"WITH {d5.strip()} {SETS_OUT}",
-        "frequent_itemsets_bag": f"WITH {b3.strip()} {SETS_OUT}",
+        "frequent_itemsets_bag": f"WITH {b5.strip()} {SETS_OUT}",
         "itemset_report_lines": f"""
 WITH {d5.strip()}
 SELECT support, CAST(count(*) AS BIGINT) AS n_sets,
@@ -212,13 +219,13 @@ FROM masks""",
         "rules_all": f"WITH {d5.strip()},{_rules(None).strip()} {RULES_OUT}",
         "rules_confident": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "rules_ordered": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
-        "rules_bag": f"WITH {b3.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
+        "rules_bag": f"WITH {b5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "category_job_text": f"""
 WITH {FA_COUNTS.strip()}
 SELECT category || chr(9) || CAST(n AS VARCHAR) AS line FROM fa_counts""",
-        "itemset_job_text": f"WITH {b3.strip()} {REPORT_LINES}",
+        "itemset_job_text": f"WITH {b5.strip()} {REPORT_LINES}",
         "rule_job_text": f"""
-WITH {b3.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
+WITH {b5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
 SELECT array_to_string(ant, ' ') || chr(9) || array_to_string(cons, ' ') || chr(9)
        || CAST(conf AS VARCHAR) AS line
 FROM kept""",
@@ -226,5 +233,42 @@ FROM kept""",
 WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
 SELECT array_to_string(ant, ' ') || chr(9) || array_to_string(cons, ' ') || chr(9)
        || CAST(conf AS VARCHAR) AS line
+FROM kept""",
+        "rules_unsorted_report": f"""
+WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
+SELECT array_to_string(list_reverse(ant), ';') AS antecedent,
+       array_to_string(list_reverse(cons), ';') AS consequent,
+       support, antecedent_support, CAST(conf AS DOUBLE) AS confidence
+FROM kept""",
+        "rules_text_items": f"""
+WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
+SELECT array_to_string(list_sort(list_transform(ant, lambda x: 'Brand#' || x)), ';') AS antecedent,
+       array_to_string(list_sort(list_transform(cons, lambda x: 'Brand#' || x)), ';') AS consequent,
+       support, antecedent_support, CAST(conf AS DOUBLE) AS confidence
+FROM kept""",
+        "rules_from_table": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
+        "strong_filter_gt_tie": f"""
+SELECT l_partkey AS tid, l_extendedprice AS value FROM lineitem
+WHERE CAST(l_extendedprice AS FLOAT) > CAST({A_PRICE} AS FLOAT)""",
+        "strong_filter_ge_tie": f"""
+SELECT l_partkey AS tid, l_extendedprice AS value FROM lineitem
+WHERE CAST(l_extendedprice AS FLOAT) >= CAST({A_PRICE} AS FLOAT)""",
+        "entity_any_of_many_tokens": f"""
+SELECT p_partkey AS tid, p_name AS name FROM part
+WHERE list_has_any(string_split(p_name, ' '), {_lit_list(fx.FA_TOKEN_LIST)})""",
+        "transactions_repeated_entities": f"""
+WITH {_fb_tx(False).strip()}
+SELECT tid, item, m * (CASE WHEN tid % 2 = 1 THEN 2 ELSE 1 END) AS m FROM tx""",
+        "category_counts_ranked": f"""
+WITH {FA_COUNTS.strip()}
+SELECT category, n, row_number() OVER (ORDER BY n DESC, category) AS rank FROM fa_counts""",
+        "itemset_lines_ranked": f"""
+WITH {d5.strip()}, lines AS (SELECT support, {_REPORT_LINE} AS line FROM freq GROUP BY support)
+SELECT line, row_number() OVER (ORDER BY support DESC) AS rank FROM lines""",
+        "rule_lines_ranked": f"""
+WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()}
+SELECT array_to_string(ant, ' ') || chr(9) || array_to_string(cons, ' ') || chr(9)
+       || CAST(conf AS VARCHAR) AS line,
+       row_number() OVER (ORDER BY conf DESC, ant, cons) AS rank
 FROM kept""",
     }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,12 @@ from basketry.operators.rules import (
 from basketry.plans import tables as fx
 from basketry.plans.jobs import category_count_job, itemset_job, rule_job
 from basketry.session import Workspace
-from basketry.sources.reports import read_itemset_report, write_lines
+from basketry.sources.reports import (
+    read_itemset_report,
+    read_itemset_table,
+    write_itemset_table,
+    write_lines,
+)
 from basketry.sources.text import (
     read_entities_text,
     read_measurements_text,
@@ -149,7 +154,7 @@ def _itemset_job_text(spark: SparkSession, sf_dir: str) -> tuple[Workspace, str]
                                  fx.fb_entities(spark, sf_dir))
     out = ws.location("itemset-report")
     itemset_job(spark, geo, meta, out, min_support=fx.FB_MIN_SUPPORT,
-                max_size=fx.FB_BAG_MAX_SIZE, cutoff=fx.FB_CUTOFF,
+                max_size=fx.FB_MAX_SIZE, cutoff=fx.FB_CUTOFF,
                 categories=fx.FB_CATEGORIES, distinct=False)
     return ws, out
 
@@ -233,7 +238,7 @@ def frequent_itemsets_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frequent_itemsets_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sets_out(order_itemsets(_mine(spark, sf_dir, fx.FB_BAG_MAX_SIZE, False).itemsets))
+    return _sets_out(order_itemsets(_mine(spark, sf_dir, fx.FB_MAX_SIZE, False).itemsets))
 
 
 def itemset_report_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +248,7 @@ def itemset_report_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _write_report(spark: SparkSession, sf_dir: str) -> str:
     mined = _mine(spark, sf_dir, fx.FB_MAX_SIZE, True)
     path = mined.workspace.location("itemset-report")
-    write_lines(itemset_report_lines(mined.itemsets), path, single_file=True)
+    write_lines(itemset_report_lines(mined.itemsets), path)
     return path
 
 
@@ -252,7 +257,8 @@ def report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sets_out(read_itemset_report(spark, _write_report(spark, sf_dir)))
+    return _sets_out(read_itemset_report(spark, _write_report(spark, sf_dir),
+                                         item_type=T.IntegerType()))
 
 
 def itemset_max_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,7 +297,7 @@ def rules_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = _mine(spark, sf_dir, fx.FB_BAG_MAX_SIZE, False).itemsets
+    sets = _mine(spark, sf_dir, fx.FB_MAX_SIZE, False).itemsets
     return _rules_out(association_rules(sets, fx.FB_MIN_CONFIDENCE))
 
 
@@ -300,6 +306,86 @@ def rule_report_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_report_lines(association_rules(sets, fx.FB_MIN_CONFIDENCE)).select("line")
 
 
+def rules_unsorted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from a report that lists the items of every set backwards."""
+    mined = _mine(spark, sf_dir, fx.FB_MAX_SIZE, True)
+    path = mined.workspace.location("backwards-report")
+    write_lines(itemset_report_lines(mined.itemsets.withColumn("items", F.reverse("items"))), path)
+    return _rules_out(association_rules(read_itemset_report(spark, path), fx.FB_MIN_CONFIDENCE))
+
+
+def rules_text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items are whole brand names; mined, reported, parsed and ruled as text."""
+    tx = transactions(fx.fb_text_measurements(spark, sf_dir), fx.fb_entities(spark, sf_dir),
+                      cutoff=fx.FB_CUTOFF, inclusive=True, categories=fx.FB_CATEGORIES, distinct=True)
+    mined = frequent_itemsets(tx, fx.FB_MIN_SUPPORT, fx.FB_MAX_SIZE)
+    path = mined.workspace.location("text-report")
+    write_lines(itemset_report_lines(mined.itemsets), path)
+    return _rules_out(association_rules(read_itemset_report(spark, path), fx.FB_MIN_CONFIDENCE))
+
+
+def rules_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from the written table of sets, without any report line."""
+    mined = _mine(spark, sf_dir, fx.FB_MAX_SIZE, True)
+    path = mined.workspace.location("itemset-table")
+    write_itemset_table(mined.itemsets, path)
+    return _rules_out(association_rules(read_itemset_table(spark, path), fx.FB_MIN_CONFIDENCE))
+
+
+# ---- inputs on which near-equal operators differ -----------------------------
+
+def strong_filter_gt_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strong_measurements(fx.fa_measurements(spark, sf_dir),
+                               cutoff=fx.a_price(spark, sf_dir), inclusive=False)
+
+
+def strong_filter_ge_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strong_measurements(fx.fa_measurements(spark, sf_dir),
+                               cutoff=fx.a_price(spark, sf_dir), inclusive=True)
+
+
+def entity_any_of_many_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with any listed token among the several of their name."""
+    ents = qualifying_entities(fx.fa_entities(spark, sf_dir), fx.FA_TOKEN_LIST)
+    return ents.select("tid", F.array_join("categories", " ").alias("name"))
+
+
+def transactions_repeated_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bag transactions when an entity is listed more than once."""
+    return transactions(fx.fb_measurements(spark, sf_dir), fx.fb_repeated_entities(spark, sf_dir),
+                        cutoff=fx.FB_CUTOFF, inclusive=True, categories=fx.FB_CATEGORIES,
+                        distinct=False)
+
+
+def _ranked(ordered: DataFrame) -> DataFrame:
+    """``rank``: the place of a row in an ordered frame, from 1.
+
+    Places count up within the range partitions; each partition adds the sizes
+    of those before it, a table of one row per partition.
+    """
+    at = F.monotonically_increasing_id()
+    ws = Workspace(ordered.sparkSession)
+    rows = ws.materialize(ordered.withColumn("at", at), "ordered").withColumn(
+        "part", F.shiftright("at", 33))
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1).cast("bigint")) + F.col("before") + 1
+    return rows.join(offsets, "part").withColumn("rank", place).drop("at", "part", "before")
+
+
+def category_counts_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked(category_counts_q(spark, sf_dir))
+
+
+def itemset_lines_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked(itemset_report_lines_q(spark, sf_dir)).select("line", "rank")
+
+
+def rule_lines_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked(rule_report_lines_q(spark, sf_dir)).select("line", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "strong_filter_gt": strong_filter_gt,
     "strong_filter_ge": strong_filter_ge,
@@ -334,4 +420,14 @@ QUERIES: dict[str, Query] = {
     "category_job_text": category_job_text,
     "itemset_job_text": itemset_job_text,
     "rule_job_text": rule_job_text,
+    "rules_unsorted_report": rules_unsorted_report,
+    "rules_text_items": rules_text_items,
+    "rules_from_table": rules_from_table,
+    "strong_filter_gt_tie": strong_filter_gt_tie,
+    "strong_filter_ge_tie": strong_filter_ge_tie,
+    "entity_any_of_many_tokens": entity_any_of_many_tokens,
+    "transactions_repeated_entities": transactions_repeated_entities,
+    "category_counts_ranked": category_counts_ranked,
+    "itemset_lines_ranked": itemset_lines_ranked,
+    "rule_lines_ranked": rule_lines_ranked,
 }

@@ -26,31 +26,17 @@ from basketry.sources.tables import as_entities, as_measurements
 FA_CUTOFF = 50000.0
 FA_SUBSTRING = "ol"
 FA_NAMES = ("WIDGET", "GEAR")
+FA_TOKEN_LIST = ("widget", "cold", "WIDGET", "blue")
 FB_CUTOFF = 50000.0
 FB_CATEGORIES = ("BUILDING", "MACHINERY")
 FB_MIN_SUPPORT = 0.2
 FB_MAX_SIZE = 5
-FB_BAG_MAX_SIZE = 3
 FB_MIN_CONFIDENCE = 0.6
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` under ``sf_dir``, resolved once per session.
-
-    Like a catalog table, the relation (file listing and footer schema) is
-    resolved on first use and reused; no data is cached. Resolving costs
-    a few hundred milliseconds of driver time per table and call otherwise.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RELATIONS[key] = df
-    return df
+    """The Parquet table ``name`` under ``sf_dir``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fa_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,3 +61,25 @@ def fb_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fb_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_entities(table(spark, sf_dir, "customer"), tid="c_custkey",
                        attribute="c_mktsegment")
+
+
+def fb_text_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-B with the whole brand name as a text item."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
+              .join(part, li.l_partkey == part.p_partkey, "inner"))
+    return as_measurements(joined, tid="o_custkey", item="p_brand", value="l_extendedprice")
+
+
+def fb_repeated_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-B entities with the rows of odd customers there twice."""
+    ents = fb_entities(spark, sf_dir)
+    return ents.unionByName(ents.where(F.col("tid") % 2 == 1))
+
+
+def a_price(spark: SparkSession, sf_dir: str) -> float:
+    """A price that occurs: the median, so that ``>`` and ``>=`` differ on it."""
+    return table(spark, sf_dir, "lineitem").agg(
+        F.percentile_approx("l_extendedprice", F.lit(0.5), F.lit(1_000_000)).alias("p")).first()["p"]

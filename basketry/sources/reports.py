@@ -15,15 +15,14 @@ from pyspark.sql import types as T
 from basketry.functions.arrays import ITEM_SEPARATOR, SET_SEPARATOR, parse_items
 
 
-def write_lines(lines: DataFrame, path: str, *, single_file: bool = True,
+def write_lines(lines: DataFrame, path: str, *, single_file: bool = False,
                 mode: str = "errorifexists") -> None:
     """Write the string column ``line`` of an ordered frame as text.
 
-    ``single_file`` gives one part file like the reference's sinks; the
-    frame must already be ordered: ``coalesce(1)`` concatenates the
-    range-sorted partitions in order without another shuffle. With
-    ``single_file=False`` the sorted partitions are written in parallel and
-    the part files, read in name order, hold the same total order.
+    The sorted partitions are written in parallel and the part files, read
+    in name order, hold the total order. ``single_file`` gives one part file
+    like the reference's sinks, sorted and written by one task: for reports
+    that fit one.
     """
     out = lines.select(F.col("line").alias("value"))
     if single_file:
@@ -32,11 +31,12 @@ def write_lines(lines: DataFrame, path: str, *, single_file: bool = True,
 
 
 def read_itemset_report(spark: SparkSession, path: str, *,
-                        item_type: T.DataType = T.IntegerType()) -> DataFrame:
+                        item_type: T.DataType = T.StringType()) -> DataFrame:
     """Itemset report text -> ``(items ARRAY, k INT, support BIGINT)``.
 
     Reads every part file under ``path`` (the reference reads only the
-    first). Each line yields one row per set it lists.
+    first). Each line yields one row per set it lists, its items in the order
+    listed. Ids stay text unless ``item_type`` says otherwise.
     """
     fields = spark.read.text(path).select(
         F.split(F.col("value"), SET_SEPARATOR, -1).alias("f"))
@@ -49,3 +49,12 @@ def read_itemset_report(spark: SparkSession, path: str, *,
         F.col("support"),
     ).select("items", F.size("items").alias("k"), "support")
 
+
+def write_itemset_table(itemsets: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """``(items, k, support)`` as Parquet: one row per set, no line to build."""
+    itemsets.select("items", "k", "support").write.mode(mode).parquet(path)
+
+
+def read_itemset_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table written by :func:`write_itemset_table`."""
+    return spark.read.parquet(path).select("items", "k", "support")

@@ -3,13 +3,15 @@
 The first line of a file is its header; every later line equal to it
 ignoring case is dropped too, wherever it sits. Fields are taken by
 position from ``split(line, ',')``; quotes are ordinary characters (no CSV
-unquoting). Casts run with the session's ANSI setting, so a malformed
-number raises instead of turning into null.
+unquoting). A line with too few fields or a malformed number raises, whatever
+the session's ANSI setting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,17 +25,31 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of the first file (in name order) under ``path``.
-
-    Only the file listing and the head of one file are read. A plain
-    ``first()`` on the whole folder would not do: the scan orders file
-    splits by size, so it may start in any file.
+    """First line of the first file (in name order) under ``path`` that has one.
+
+    The name of the first file that is not empty comes from an aggregate over
+    the file listing, which reads no content; then the head of that one file is
+    read. A plain ``first()`` on the whole folder would not do: the scan orders
+    file splits by size, so it may start in any file. Only if the file holds no
+    line although it has bytes (an empty archive) are the lines themselves
+    aggregated.
     """
-    for name in sorted(spark.read.text(path).inputFiles()):
-        row = spark.read.text(name).first()
-        if row is not None:
-            return row[0]
-    return None
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
+    name = files.agg(F.min("path").alias("path")).first()["path"]
+    if name is None:
+        return None
+    row = spark.read.text(_escape_glob(name)).first()
+    if row is not None:
+        return row[0]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value")
+    row = lines.agg(F.min(F.struct("file", "block", "at", "value")).alias("low")).first()["low"]
+    return None if row is None else row["value"]
+
+
+def _escape_glob(path: str) -> str:
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def drop_header(lines: DataFrame, header: str | None) -> DataFrame:
@@ -49,7 +65,15 @@ def read_body(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _fields(lines: DataFrame) -> DataFrame:
-    return lines.select(F.split(F.col("value"), FIELD_SEPARATOR, -1).alias("f"))
+    return lines.select("value", F.split(F.col("value"), FIELD_SEPARATOR, -1).alias("f"))
+
+
+def _field(at: int, as_type: T.DataType | None = None) -> Column:
+    """Field ``at`` of a line; raises if it is missing or cannot be cast."""
+    text = F.get("f", F.lit(at))
+    bad = F.raise_error(F.concat(F.lit(f"field {at} is missing or malformed: "), F.col("value")))
+    found = text if as_type is None or isinstance(as_type, T.StringType) else text.try_cast(as_type)
+    return F.when(found.isNull(), bad).otherwise(found)
 
 
 def read_measurements_text(spark: SparkSession, path: str, *,
@@ -63,9 +87,9 @@ def read_measurements_text(spark: SparkSession, path: str, *,
     """
     f = _fields(read_body(spark, path))
     return f.select(
-        F.col("f")[tid_col].alias("tid"),
-        F.col("f")[item_col].cast(item_type).alias("item"),
-        F.col("f")[value_col].cast(T.FloatType()).alias("value"),
+        _field(tid_col).alias("tid"),
+        _field(item_col, item_type).alias("item"),
+        _field(value_col, T.FloatType()).alias("value"),
     )
 
 
@@ -79,8 +103,8 @@ def read_entities_text(spark: SparkSession, path: str, *, tid_col: int = 0,
     """
     f = _fields(read_body(spark, path))
     return f.select(
-        F.col("f")[tid_col].alias("tid"),
-        F.split(F.col("f")[attr_col], TOKEN_SEPARATOR, -1).alias("categories"),
+        _field(tid_col).alias("tid"),
+        F.split(_field(attr_col), TOKEN_SEPARATOR, -1).alias("categories"),
     )
 
 

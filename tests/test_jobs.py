@@ -40,7 +40,7 @@ def test_three_jobs_chain(spark, ws):
     assert set(cats) == {"BUILDING", "HOUSEHOLD"}
 
     mined = itemset_job(spark, geo, meta, out2, min_support=fx.FB_MIN_SUPPORT,
-                        max_size=fx.FB_BAG_MAX_SIZE, cutoff=fx.FB_CUTOFF,
+                        max_size=3, cutoff=fx.FB_CUTOFF,
                         categories=fx.FB_CATEGORIES, distinct=False).mining
     report = _lines(out2)
     supports = [int(x.split("\t")[0]) for x in report]

@@ -7,6 +7,7 @@ import random
 import brute
 from conftest import tx_frame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.operators import (
     association_rules,
@@ -82,7 +83,7 @@ def test_report_roundtrip_is_identity(spark, ws):
     res = frequent_itemsets(tx_frame(spark, rows), 0.2, 4)
     path = ws.location("report")
     write_lines(itemset_report_lines(res.itemsets), path)
-    back = read_itemset_report(spark, path)
+    back = read_itemset_report(spark, path, item_type=T.IntegerType())
     key = lambda df: sorted((tuple(r["items"]), r["k"], r["support"]) for r in df.collect())
     assert key(back) == key(res.itemsets)
 
@@ -103,10 +104,56 @@ def test_rules_shuffle_lookup_equals_broadcast(spark):
             for i in rng.sample(range(1, 9), rng.randint(2, 8))]
     sets = frequent_itemsets(tx_frame(spark, rows), 0.25, 5).itemsets
     a = _rule_dict(association_rules(sets, None))
-    b = _rule_dict(association_rules(sets, None, broadcast_rows=0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = _rule_dict(association_rules(sets, None))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert a == b and len(a) > 0
 
 
+def test_report_items_in_any_order_give_the_same_rules(spark, ws):
+    lines = ["5\t1\t2\t3", "4\t2;1\t1;3", "3\t3;2\t3;1;2"]
+    path = ws.location("report")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = {(frozenset(r.antecedent), frozenset(r.consequent)): r.confidence
+           for r in association_rules(read_itemset_report(spark, path), None).collect()}
+    sorted_sets = _sets(spark, [([1], 5), ([2], 5), ([3], 5), ([1, 2], 4), ([1, 3], 4),
+                                ([2, 3], 3), ([1, 2, 3], 3)])
+    want = {(frozenset(map(str, r.antecedent)), frozenset(map(str, r.consequent))): r.confidence
+            for r in association_rules(sorted_sets, None).collect()}
+    assert got == want and len(got) == 12
+
+
+def test_text_ids_stay_distinct(spark, ws):
+    # "01" and "1" are two items
+    lines = ["5\t01\t1\tBRCA1", "4\t01;1\tBRCA1;1"]
+    path = ws.location("report")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = {(tuple(r.antecedent), tuple(r.consequent))
+           for r in association_rules(read_itemset_report(spark, path), None).collect()}
+    assert got == {(("01",), ("1",)), (("1",), ("01",)), (("BRCA1",), ("1",)), (("1",), ("BRCA1",))}
+
+
+def test_masks_of_large_sets(spark):
+    sets = _sets(spark, [(list(range(17)), 2)])
+    subs = proper_subsets(sets)
+    assert subs.count() == 2 ** 17 - 2 == subs.select("subset").distinct().count()
+    # 31 items and more need no array of all masks: the plan starts to deliver
+    wide = _sets(spark, [(list(range(40)), 2)])
+    assert len(proper_subsets(wide).limit(5).collect()) == 5
+
+
+def test_itemset_table_roundtrip(spark, ws):
+    from basketry.sources import read_itemset_table, write_itemset_table
+    sets = _sets(spark, [([1], 3), ([2], 2), ([1, 2], 2)])
+    path = ws.location("table")
+    write_itemset_table(sets, path)
+    assert _rule_dict(association_rules(read_itemset_table(spark, path), None)) == \
+        _rule_dict(association_rules(sets, None))
+
+
 def test_confidence_rounds_large_supports_to_float(spark):
     import numpy as np
 

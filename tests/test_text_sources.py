@@ -100,3 +100,40 @@ def test_leading_zero_items_are_one_item(spark, ws):
     text_items = sorted(r.item for r in read_measurements_text(
         spark, path, item_type=T.StringType()).collect())
     assert text_items == ["01", "1", "10"]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("line", ["p2,x,2e6", "p3,7", "p4,8,abc", ""])
+def test_malformed_lines_raise_whatever_the_ansi_setting(spark, ws, ansi, line):
+    path = ws.location("measurements")
+    _write(spark, path, ["h,h,h", "p1,1,5", line])
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            read_measurements_text(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_path_with_spaces_and_globs(spark, ws):
+    path = ws.location("my data/run %41")
+    _write(spark, path, ["h,h,h", "p1,1,5", "H,H,H"])
+    assert [tuple(r) for r in read_measurements_text(spark, path).collect()] == [("p1", 1, 5.0)]
+
+
+def test_many_empty_leading_files(spark, ws):
+    import os
+
+    path = ws.location("many")
+    os.makedirs(path.replace("file:", ""))
+    for i in range(300):
+        open(f"{path.replace('file:', '')}/a{i:04d}.txt", "w").close()
+    with open(f"{path.replace('file:', '')}/b [1].txt", "w") as f:
+        f.write("h,h,h\np1,1,5\n")
+    assert first_line(spark, path) == "h,h,h"
+    assert read_measurements_text(spark, path).count() == 1
+    empty = ws.location("empty")
+    os.makedirs(empty.replace("file:", ""))
+    open(f"{empty.replace('file:', '')}/a.txt", "w").close()
+    assert first_line(spark, empty) is None
