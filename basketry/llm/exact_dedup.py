@@ -7,8 +7,7 @@ binary-fuse filter per bucket of digests. An incoming batch is first grouped
 by digest on its own (its own duplicates meet in a partial aggregation, so a
 text that makes up a third of all rows is one row per task). Its distinct
 digests then meet the filter of their bucket; only those that pass join the
-exact table. Members of a group are last compared byte by byte with the text
-of the group's representative.
+exact table. The texts of every group are last compared byte by byte.
 
 Filters travel to the digests of their bucket, never to the driver and never
 whole to a task. The number of buckets follows the number of digests, which
@@ -29,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.membership import maybe_in
 from basketry.llm.common import Scratch, ascii_lower, documents, ship
 
 BUCKET_DIGESTS = 100_000
@@ -209,7 +209,7 @@ def exact_dedup(docs: DataFrame, in_snapshot, *, bucket_digests: int = BUCKET_DI
     groups = scratch.keep(across.unionByName(within), "groups")
 
     members = scratch.keep(rows.join(groups, "digest"), "members")
-    _check_bytes(documents(docs, id_col, text_col), members, scratch)
+    _check_bytes(documents(docs, id_col, text_col), members)
     single = (rows.join(groups.select("digest"), "digest", "left_anti")
               .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("n"),
                       "digest", "old"))
@@ -219,25 +219,19 @@ def exact_dedup(docs: DataFrame, in_snapshot, *, bucket_digests: int = BUCKET_DI
                     F.col("digest").alias("text_sha256"), F.col("old").alias("in_snapshot")))
 
 
-def _check_bytes(docs: DataFrame, members: DataFrame, scratch: Scratch) -> None:
-    """Compare every member's normalised text with its representative's.
+def _check_bytes(docs: DataFrame, members: DataFrame) -> None:
+    """Compare the normalised texts of every group of two or more rows.
 
-    Only texts of groups with two or more rows are read again. The join is on
-    the digest, with one row per digest on one side, so Spark can split the
-    rows of a hot group. Unequal texts of one SHA-256 stop the run.
+    The texts of one digest are equal if the smallest is the largest, which a
+    partial aggregation finds: each task passes on two texts a digest, however
+    many copies it has. A bitmap of the members' ids keeps most other texts
+    out. Unequal texts of one SHA-256 stop the run.
     """
-    norm = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    texts = docs.select("doc_id", F.coalesce(norm, F.lit("")).alias("text"))
-
-    def read(ids: DataFrame) -> DataFrame:
-        # an id may be repeated with another text; the digest tells them apart
-        return (texts.join(ids, "doc_id").where(F.sha2("text", 256) == F.col("digest"))
-                .select("digest", "text"))
-
-    own = read(members.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-               .select("doc_id", "digest")).withColumnRenamed("text", "a")
-    keep = (read(members.select(F.col("keep_id").alias("doc_id"), "digest").distinct())
-            .dropDuplicates(["digest"]).withColumnRenamed("text", "b"))
-    wrong = own.join(keep, "digest").where("a <> b").limit(1).count()
+    norm = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+                       "abcdefghijklmnopqrstuvwxyz")
+    texts = maybe_in(docs, members, "doc_id").select(norm.alias("norm"))
+    wrong = (texts.groupBy(F.sha2("norm", 256).alias("digest"))
+             .agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
+             .where("low <> high").agg(F.count(F.lit(1)).alias("n")).first()["n"])
     if wrong:
         raise RuntimeError("two different texts share a SHA-256 digest")
