@@ -30,23 +30,34 @@ MAX_ENUMERABLE_SIZE = 62       # bitmasks are 64-bit longs
 CHUNK_BITS = 15
 
 
+def _with_bits(sets: DataFrame, low: int) -> DataFrame:
+    """Each row once per value of the ``CHUNK_BITS`` mask bits from ``low`` on."""
+    bits = F.least(F.greatest(F.col("k") - low, F.lit(0)), F.lit(CHUNK_BITS))
+    one = F.lit(1).cast("bigint")
+    values = F.sequence(F.lit(0).cast("bigint"), F.call_function("shiftleft", one, bits) - 1)
+    return (sets.withColumn("chunk", F.explode(values))
+            .withColumn("mask", F.col("mask").bitwiseOR(F.shiftleft("chunk", low))).drop("chunk"))
+
+
 def proper_subsets(itemsets: DataFrame) -> DataFrame:
     """``(items, support, mask, subset)``: every non-empty proper subset.
 
-    Bit i of ``mask`` selects item i.
+    Bit i of ``mask`` selects item i. Sets beyond ``CHUNK_BITS`` items are dealt
+    out again after each run of bits, so no task holds all masks of one.
     """
     sets = itemsets.where(F.col("k") >= 2)
     too_big = F.col("k") > F.lit(MAX_ENUMERABLE_SIZE)
     k = F.when(too_big, F.raise_error(F.lit("itemset too large to enumerate subsets"))).otherwise(F.col("k"))
     sets = sets.select("items", "support", k.cast("int").alias("k"), F.lit(0).cast("bigint").alias("mask"))
-    for low in range(0, MAX_ENUMERABLE_SIZE, CHUNK_BITS):
-        bits = F.least(F.greatest(F.col("k") - low, F.lit(0)), F.lit(CHUNK_BITS))
-        values = F.sequence(F.lit(0).cast("bigint"),
-                            F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
-        sets = (sets.withColumn("chunk", F.explode(values))
-                .withColumn("mask", F.col("mask").bitwiseOR(F.shiftleft("chunk", low))).drop("chunk"))
+    small = _with_bits(sets.where(F.col("k") <= CHUNK_BITS), 0)
+    large = sets.where(F.col("k") > CHUNK_BITS)
+    width = int(itemsets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for low in reversed(range(0, MAX_ENUMERABLE_SIZE, CHUNK_BITS)):
+        large = _with_bits(large, low)
+        if low:
+            large = large.repartition(width, "items", "mask")
     full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("k")) - 1
-    return (sets.where((F.col("mask") > 0) & (F.col("mask") < full))
+    return (small.unionByName(large).where((F.col("mask") > 0) & (F.col("mask") < full))
             .select("items", "support", "mask", subset_by_mask("items", "mask").alias("subset")))
 
 
