@@ -62,7 +62,7 @@ def test_gray_rank_inverts_the_gray_code():
 
 def random_codes(rng, n):
     """Chains and balls of near codes, next to unrelated ones."""
-    out = {int(x) for x in rng.integers(0, 2**63, n // 2)}
+    out = {int(x) for x in rng.integers(0, 2**63, max(1, n // 2))}
     while len(out) < n:
         c = int(rng.choice(np.array(sorted(out), dtype=np.uint64)))
         for _ in range(int(rng.integers(1, 5))):
