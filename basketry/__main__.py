@@ -25,6 +25,7 @@ from basketry.functions.predicates import (
 from basketry.operators.mining import DEFAULT_MAX_SIZE, DEFAULT_MIN_SUPPORT
 from basketry.operators.rules import DEFAULT_MIN_CONFIDENCE
 from basketry.plans.jobs import category_count_job, itemset_job, rule_job
+from basketry.session import drop_all
 
 
 _ITEM_TYPES = {"int": T.IntegerType(), "string": T.StringType()}
@@ -89,11 +90,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         m = res.mining
         print(f"transactions={m.n_transactions} threshold={m.threshold} "
               f"levels={m.level_counts}")
-        m.release()
     else:
         rule_job(session, args.report, args.output, min_confidence=args.min_confidence,
                  single_file=args.single_file, item_type=_ITEM_TYPES[args.item_type],
                  from_table=args.from_table)
+    drop_all(session)   # outputs are written; intermediate tables go
     return 0
 
 

@@ -76,10 +76,13 @@ class Workspace:
     of files instead of a recomputation of the whole plan.
     """
 
+    made: list[str] = []   # run folders of this process, for :func:`drop_all`
+
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         base = root or checkpoint_root(spark)
         self.path = f"{base.rstrip('/')}/basketry-{uuid.uuid4().hex}"
+        Workspace.made.append(self.path)
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -96,10 +99,21 @@ class Workspace:
         become unusable afterwards. Uses the Hadoop file system of the
         session, so it works for any shared store the cluster names.
         """
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(path, True)
+        _delete(self.spark, self.path)
+        if self.path in Workspace.made:
+            Workspace.made.remove(self.path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path, True)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Delete every run folder made by this process (at the end of a program)."""
+    while Workspace.made:
+        _delete(spark, Workspace.made.pop())
 
 
 def small_side(df: DataFrame, name: str, broadcast_rows: int | None,
