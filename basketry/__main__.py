@@ -25,7 +25,7 @@ from basketry.functions.predicates import (
 from basketry.operators.mining import DEFAULT_MAX_SIZE, DEFAULT_MIN_SUPPORT
 from basketry.operators.rules import DEFAULT_MIN_CONFIDENCE
 from basketry.plans.jobs import category_count_job, itemset_job, rule_job
-from basketry.session import drop_all
+from basketry.session import Workspace, drop_since
 
 
 _ITEM_TYPES = {"int": T.IntegerType(), "string": T.StringType()}
@@ -77,6 +77,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     session = spark or SparkSession.builder.appName(f"basketry-{args.job}").getOrCreate()
+    before = len(Workspace.made)
     if args.job == "category-count":
         category_count_job(session, args.measurements, args.entities, args.output,
                            cutoff=args.cutoff, substring=args.substring,
@@ -94,7 +95,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         rule_job(session, args.report, args.output, min_confidence=args.min_confidence,
                  single_file=args.single_file, item_type=_ITEM_TYPES[args.item_type],
                  from_table=args.from_table)
-    drop_all(session)   # outputs are written; intermediate tables go
+    drop_since(session, before)   # outputs are written; intermediate tables go
     return 0
 
 

@@ -76,7 +76,7 @@ class Workspace:
     of files instead of a recomputation of the whole plan.
     """
 
-    made: list[str] = []   # run folders of this process, for :func:`drop_all`
+    made: list[str] = []   # run folders of this process, for :func:`drop_since`
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -110,9 +110,9 @@ def _delete(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
-def drop_all(spark: SparkSession) -> None:
-    """Delete every run folder made by this process (at the end of a program)."""
-    while Workspace.made:
+def drop_since(spark: SparkSession, before: int) -> None:
+    """Delete the run folders made after the first ``before`` of ``Workspace.made``."""
+    while len(Workspace.made) > before:
         _delete(spark, Workspace.made.pop())
 
 

@@ -7,6 +7,7 @@ from conftest import SF0001
 
 from basketry.__main__ import main
 from basketry.plans import tables as fx
+from basketry.session import Workspace
 from basketry.sources import write_entities_text, write_measurements_text
 
 
@@ -20,7 +21,15 @@ def test_cli_runs_the_three_jobs(spark, ws):
     assert main(["itemsets", m, e, two, "--min-support", "0.2", "--max-size", "3",
                  "--cutoff", "50000", "--categories", "BUILDING", "MACHINERY",
                  "--single-file"], spark) == 0
+    made = list(Workspace.made)
     assert main(["rules", two, three, "--min-confidence", "0.6"], spark) == 0
+    four, five, sets = ws.location("four"), ws.location("five"), ws.location("sets")
+    assert main(["itemsets", m, e, four, "--min-support", "0.2", "--max-size", "3",
+                 "--cutoff", "50000", "--categories", "BUILDING", "MACHINERY",
+                 "--item-type", "string", "--table", sets], spark) == 0
+    assert main(["rules", sets, five, "--from-table"], spark) == 0
+    assert Workspace.made == made     # nothing intermediate is left
+    assert spark.read.text(five).count() > 0
     assert {r.value.split("\t")[0] for r in spark.read.text(one).collect()} == \
         {"BUILDING", "HOUSEHOLD"}
     assert len(spark.read.text(two).inputFiles()) == 1
