@@ -1,24 +1,29 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-The tree's states are contexts of one to ``depth`` words. Strings of words are
-counted level by level over the whole training corpus; a string enters a level
-if its relative frequency reaches ``min_string`` and its prefix is in the level
-before (its suffix then is too). A context becomes a state if a divergence
-test holds: for some next symbol, the count departs from what the next shorter
-state predicts by a deviance of ``min_deviance`` or more. In a state the next
-symbols are smoothed by absolute discounting: what the discount and the symbols
-without a count of their own leave goes to the next shorter state, at last to
-the smoothed word frequencies, so every state's distribution sums to one. A
-token is scored in the state of the longest suffix of the words before it.
-
-How it is spread. The word table grows with the corpus, and every word of every
-document needs its exact training count. Each task condenses runs of documents
-(blocks) to their distinct words; those ask for their totals in one shuffle by
-word, and only totals the block does not know already (words that also occur in
-other blocks) return to it. The tree is bounded by its frequency floors (at
-most ``1 / min_word`` words and ``1 / min_string`` strings a level, whatever
-the corpus), so it is a broadcast of proven size. Very common words are one row
-per block. Blocks and totals are written to the shared folder.
+The tree's states are contexts of one to ``depth`` words. Every string of up to
+``depth + 1`` words that occurs ``min_count`` times or more in the training
+corpus takes part, whatever the corpus' size. A context becomes a state if a
+divergence test holds: for some next symbol, the count departs from what the
+next shorter state predicts by a deviance of ``min_deviance`` or more. In a
+state the next symbols are smoothed by absolute discounting: what the discount
+and the symbols without a count of their own leave goes to the next shorter
+state, at last to the smoothed word frequencies, so every state's distribution
+sums to one. A token is scored in the state of the longest suffix of the words
+before it.
+
+How it is spread. Nothing of the model is held in one place. Documents are
+condensed to blocks (a vocabulary and the texts as numbers in it). Level by
+level each block asks for the corpus counts of its distinct strings, packed by
+range of the key (bucket); a bucket's task adds them up and returns the totals
+that the block does not know already. A string is asked for only if the strings
+it extends reach ``min_count``, which its own count never exceeds. One block
+of those that have a string (its owner) sends the string's deviance to the
+bucket of its context, which decides on the state and tells every block that
+asked for this context what weight it leaves to the shorter one. A block so
+knows the part of the tree its own texts touch, and scores them. Very common
+strings are one entry per block. Blocks, questions and replies are written to
+the shared folder; buckets grow in number with the corpus, not in size. Words
+and strings are told apart by 64-bit hashes.
 
 Rows: null text counts as empty; an empty text has one token, the end; a null
 id is a training row; repeated rows are learned from and scored each; without
@@ -29,26 +34,22 @@ columns are ignored.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Scratch, ascii_lower, columns, ship, signed
+from basketry.llm.common import Scratch, ascii_lower, columns, ship
 
 DEPTH = 3
-MIN_WORD = 1e-5
-MIN_STRING = 1e-6
-MIN_COUNT = 2             # floor of both in small corpora
+MIN_COUNT = 2
 MIN_DEVIANCE = 20.0
 DISCOUNT = 0.5
-BLOCK_TOKENS = 3_000_000
-STRINGS_HELD = 3_000_000  # distinct strings a task holds before it passes them on
-_SHIFT = 20               # word numbers take 20 bits: at most 1 / MIN_WORD of them
+BLOCK_TOKENS = 1_000_000
+STRINGS_HELD = 1_000_000  # strings a bucket is asked for, about
 END = np.uint64(xxhash.xxh3_64_intdigest(b""))
 
 
@@ -64,22 +65,44 @@ def token_hashes(text: str | None) -> np.ndarray:
 def _prepared(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = columns(docs, doc_id=id_col, text=text)
-    return rows.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"),
-                       F.xxhash64("text").alias("version"))
-
+    return rows.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+
+
+# ---- blocks --------------------------------------------------------------------------
+
+def _squeezed(numbers: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Runs of ``sizes`` numbers, each number in as many groups of 7 bits as it needs."""
+    length = 1 + sum((numbers >= 1 << 7 * j).astype(np.int64) for j in range(1, 5))
+    start = np.r_[0, np.cumsum(length)]
+    out = np.zeros(start[-1], np.uint8)
+    for j in range(5):
+        has = length > j
+        more = (length[has] > j + 1).astype(np.uint8) << np.uint8(7)
+        out[start[:-1][has] + j] = (numbers[has] >> 7 * j & 127).astype(np.uint8) | more
+    cut = start[np.r_[0, np.cumsum(sizes)]]
+    return [out[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])]
+
+
+def _expanded(runs: list[bytes]) -> np.ndarray:
+    data = np.frombuffer(b"".join(runs), np.uint8)
+    end = np.flatnonzero(data < 128)
+    start = np.r_[0, end[:-1] + 1]
+    out = np.zeros(len(end), np.int64)
+    for j in range(5):
+        has = end - start >= j
+        out[has] |= (data[start[has] + j].astype(np.int64) & 127) << 7 * j
+    return out
 
-# ---- exact word counts ---------------------------------------------------------------
 
 def blocks(rows: DataFrame) -> DataFrame:
     """Documents condensed by block.
 
-    ``kind`` 0, per document: ``a`` the numbers (gaps between them) of its
-    distinct words within the block, ``b`` how often each occurs. ``kind`` 1,
-    per block: ``a`` the word hashes in order of number, ``b`` their counts in
-    the block's training documents.
+    ``kind`` 0, per document: ``a`` its tokens as numbers of the block's words,
+    common words first. ``kind`` 1, per block: ``a`` the word hashes in order of
+    number, ``b`` their counts in the block's training documents.
     """
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    names = ["kind", "block", "doc_id", "version", "held_out", "n_tokens", "a", "b"]
+    names = ["kind", "block", "doc_id", "held_out", "n_tokens", "a", "b"]
 
     def run(batches):
         block = TaskContext.get().partitionId() << 20
@@ -89,31 +112,25 @@ def blocks(rows: DataFrame) -> DataFrame:
 
         def close():
             count = np.array([len(h) for h in hashes])
-            words, number = np.unique(np.concatenate(hashes), return_inverse=True)
-            doc = np.repeat(np.arange(len(docs)), count)
-            train = ~np.array([d[2] for d in docs])
-            counts = np.bincount(number[train[doc]], minlength=len(words)).astype(np.int32)
-            pair, times = np.unique(doc * len(words) + number, return_counts=True)
-            doc, number = np.divmod(pair, len(words))
-            cut = np.searchsorted(doc, np.arange(len(docs) + 1))
-            a, b = [], []
-            for lo, hi in zip(cut, cut[1:]):
-                a.append(np.diff(number[lo:hi], prepend=0).astype("<i4").tobytes())
-                b.append(times[lo:hi].astype("<i4").tobytes())
+            words, number, seen = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            order = np.argsort(-seen, kind="stable")
+            words, number = words[order], np.argsort(order)[number]
+            train = np.repeat(~np.array([d[1] for d in docs]), count)
+            counts = np.bincount(number[train], minlength=len(words))
             n = len(docs) + 1
             return pa.RecordBatch.from_arrays([
                 pa.array([0] * (n - 1) + [1], pa.int32()), pa.array([block] * n, pa.int64()),
                 pa.array([d[0] for d in docs] + [None], id_arrow),
-                pa.array([d[1] for d in docs] + [None], pa.int64()),
-                pa.array([d[2] for d in docs] + [None], pa.bool_()),
+                pa.array([d[1] for d in docs] + [None], pa.bool_()),
                 pa.array([*count.tolist(), None], pa.int64()),
-                pa.array(a + [words.astype("<u8").tobytes()], pa.binary()),
-                pa.array(b + [counts.astype("<i4").tobytes()], pa.binary())], names)
+                pa.array(_squeezed(number, count)
+                         + [words.astype("<u8").tobytes()], pa.binary()),
+                pa.array([None] * (n - 1) + [counts.astype("<i4").tobytes()], pa.binary())], names)
 
         for batch in batches:
             id_arrow = batch.schema.field(0).type
-            for doc_id, text, held, version in zip(*(c.to_pylist() for c in batch.columns)):
-                docs.append((doc_id, version, held))
+            for doc_id, text, held in zip(*(c.to_pylist() for c in batch.columns)):
+                docs.append((doc_id, held))
                 hashes.append(token_hashes(text))
                 size += len(hashes[-1])
                 if size >= BLOCK_TOKENS:
@@ -122,60 +139,116 @@ def blocks(rows: DataFrame) -> DataFrame:
         if docs:
             yield close()
 
-    return rows.mapInArrow(run, f"kind int, block bigint, doc_id {id_type}, version bigint, "
-                                "held_out boolean, n_tokens bigint, a binary, b binary")
+    return rows.mapInArrow(run, f"kind int, block bigint, doc_id {id_type}, held_out boolean, "
+                                "n_tokens bigint, a binary, b binary")
 
 
-def totals(condensed: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(block, at, h, n, total, first)``: each block's words with their count in
-    the block and in all of the training corpus; ``first`` marks one row a word."""
-    def unpack(batches):
-        for b in batches:
-            for block, words, counts in zip(*(c.to_pylist() for c in b.columns)):
-                h, n = np.frombuffer(words, "<u8"), np.frombuffer(counts, "<i4")
-                for lo in range(0, len(h), 200_000):
-                    hi = min(lo + 200_000, len(h))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(hi - lo, block, np.int64)),
-                         pa.array(np.arange(lo, hi, dtype=np.int32)),
-                         pa.array(signed(h[lo:hi])), pa.array(n[lo:hi])], ["block", "at", "h", "n"])
-
-    asked = (condensed.where("kind = 1").select("block", "a", "b")
-             .mapInArrow(unpack, "block bigint, at int, h bigint, n int"))
-    word = Window.partitionBy("h")
-    return scratch.keep(
-        asked.select("*", F.sum("n").over(word).alias("total"),
-                     (F.row_number().over(word.orderBy("block")) == 1).alias("first")), "totals")
-
-
-def base_scores(condensed: DataFrame, total: DataFrame, n_train: int, n_words: int) -> DataFrame:
-    """``(doc_id, version, held_out, n_tokens, n_known, base_score)`` per row."""
-    replies = total.where("total <> n").select("block", "at", "total")
-    id_type = condensed.schema["doc_id"].dataType.simpleString()
-    norm = math.log10(n_train + 0.5 * (n_words + 1))
+# ---- questions and replies -----------------------------------------------------------
 
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        kind = left.column("kind").to_numpy()
-        docs = left.filter(pa.array(kind == 0))
-        counts = np.frombuffer(left.filter(pa.array(kind == 1)).column("b")[0].as_py(), "<i4").astype(np.int64)
-        counts[right.column("at").to_numpy()] = right.column("total").to_numpy()
-        logs = np.log10(counts + 0.5) - norm
-        base, known = [], []
-        for a, b in zip(docs.column("a"), docs.column("b")):
-            at, n = np.cumsum(np.frombuffer(a.as_py(), "<i4")), np.frombuffer(b.as_py(), "<i4")
-            base.append(float(n @ logs[at]))
-            known.append(int(n[counts[at] > 0].sum()))
-        return pa.Table.from_arrays(
-            [docs.column("doc_id"), docs.column("version"), docs.column("held_out"),
-             docs.column("n_tokens"), pa.array(known, pa.int64()), pa.array(base, pa.float64())],
-            ["doc_id", "version", "held_out", "n_tokens", "n_known", "base_score"])
+#: ``kind`` 0 asks for the totals of ``keys``, with the block's own counts ``n``
+#: and the place ``lo`` of the first key among the block's; ``kind`` 1 has contexts'
+#: counts ``n``, strongest deviances ``top`` and discounted counts ``held``;
+#: ``kind`` 2 asks for the weights of the contexts ``keys``, ``lo`` among the block's strings
+#: of the level that reach ``min_count``.
+QUESTIONS = ("kind int, bucket int, block bigint, lo int, keys binary, n binary, "
+             "top binary, held binary")
+#: ``what`` 0: totals (with marks of owners) of the block's strings at ``at``, 1:
+#: the weights its contexts at ``at`` leave; both ``level`` words long. The row
+#: of block -1 counts a bucket's strings and their occurrences.
+REPLIES = ("block bigint, level int, what int, at binary, value binary, own binary, "
+           "n_strings bigint, n_seen bigint")
+
+
+def _gaps(at: np.ndarray) -> bytes:
+    return np.diff(at, prepend=0).astype("<i4").tobytes()
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind])
+                     for i, (name, kind) in enumerate(fields)})
 
-    return (condensed.groupBy("block").cogroup(replies.groupBy("block"))
-            .applyInArrow(score, f"doc_id {id_type}, version bigint, held_out boolean, "
-                                 "n_tokens bigint, n_known bigint, base_score double"))
 
+def _packed(kind: int, block: int, n_buckets: int, keys: np.ndarray, n: np.ndarray | None,
+            *more: np.ndarray) -> list[tuple]:
+    """Rows of ``QUESTIONS`` for sorted keys, one per bucket that has any."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(keys) else []
+    return [(kind, int(bucket[lo]), block, int(lo), keys[lo:hi].tobytes(),
+             None if n is None else n[lo:hi].tobytes(),
+             *([m[lo:hi].tobytes() for m in more] or [None, None]))
+            for lo, hi in zip(cut, cut[1:])]
 
-# ---- the tree --------------------------------------------------------------------------
+
+def ask_words(condensed: DataFrame, n_buckets: int) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for block, words, counts in zip(*(c.to_pylist() for c in b.columns)):
+                keys = np.frombuffer(words, "<u8")
+                order = np.argsort(keys)
+                rows = _packed(0, block, n_buckets, keys[order], np.frombuffer(counts, "<i4")[order])
+                yield from _table(rows, QUESTIONS).to_batches()
+
+    return condensed.where("kind = 1").select("block", "a", "b").mapInArrow(run, QUESTIONS)
+
+
+def _joined(t: pa.Table, column: str, kind: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_py(), kind) for x in t.column(column))])
+
+
+def _totals(t: pa.Table, level: int) -> list[tuple]:
+    """Replies to the blocks: totals that differ from the block's own count."""
+    n = _joined(t, "n", "<i4")
+    keys, where = np.unique(_joined(t, "keys", "<u8"), return_inverse=True)
+    total = np.bincount(where, weights=n, minlength=len(keys)).astype("<i8")
+    has = np.flatnonzero(n)
+    own = np.zeros(len(n), np.uint8)
+    own[has[np.unique(where[has], return_index=True)[1]]] = 1
+    rows = [(-1, level, 0, b"", b"", b"", int((total > 0).sum()), int(total.sum()))]
+    lo = 0
+    for block, first, asks in zip(*(t.column(c).to_pylist() for c in ("block", "lo", "keys"))):
+        hi = lo + len(asks) // 8
+        of = total[where[lo:hi]]
+        at = np.flatnonzero(of != n[lo:hi])
+        if len(at):
+            rows.append((block, level, 0, _gaps(at + first), of[at].tobytes(),
+                         own[lo:hi][at].tobytes(), None, None))
+        lo = hi
+    return rows
+
+
+def _weights(t: pa.Table, c: pa.Table, level: int, min_deviance: float) -> list[tuple]:
+    """Replies to the blocks: the weight each state leaves to the shorter one."""
+    keys, where = np.unique(_joined(c, "keys", "<u8"), return_inverse=True)
+    of, top = np.ones(len(keys)), np.zeros(len(keys))
+    of[where] = _joined(c, "n", "<i8")
+    np.maximum.at(top, where, _joined(c, "top", "<f8"))
+    held = np.bincount(where, weights=_joined(c, "held", "<f8"), minlength=len(keys))
+    state = top >= min_deviance
+    keys, rest = keys[state], (1 - held / of)[state]
+    rows = []
+    for block, first, asks in zip(*(t.column(c).to_pylist() for c in ("block", "lo", "keys"))):
+        found = _find(keys, np.frombuffer(asks, "<u8"))
+        at = np.flatnonzero(found >= 0)
+        if len(at):
+            rows.append((block, level, 1, _gaps(at + first), rest[found[at]].astype("<f8").tobytes(),
+                         b"", None, None))
+    return rows
+
+
+def answers(sent: DataFrame, level: int, min_deviance: float) -> DataFrame:
+    """Totals of strings of ``level`` words, weights of contexts two words shorter."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("block")
+        kind = t.column("kind").to_numpy()
+        asked, contexts, wanted = (t.filter(pa.array(kind == k)) for k in range(3))
+        return _table(_totals(asked, level) + _weights(wanted, contexts, level - 2, min_deviance), REPLIES)
+
+    return sent.groupBy("bucket").applyInArrow(run, REPLIES)
+
+
+# ---- the part of the tree a block touches ----------------------------------------------
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Index of each key in a sorted table, -1 if absent."""
@@ -186,194 +259,204 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
-@dataclass
-class Tree:
-    """Strings by length. ``keys[0]`` are word hashes; a longer string's key is
-    its prefix's index and its last word's. ``logp`` is the log10 probability of
-    the last word after the longest state that ends the prefix; ``back`` the
-    log10 weight a context leaves to the shorter state, NaN if it is no state."""
-
-    keys: list[np.ndarray]
-    counts: list[np.ndarray]
-    logp: list[np.ndarray]
-    back: list[np.ndarray]
-
-    def positions(self, hashes: np.ndarray, upto: int):
-        """Per length, the index of the string that ends at each token (or -1),
-        and the word indexes."""
-        word = _find(self.keys[0], hashes)
-        end = hashes == END
-        ending = [np.where(end, -1, word)]        # as contexts: never across an end
-        strings = [word]
-        for length in range(2, upto + 1):
-            before = np.r_[-1, ending[-1][:-1]]
-            both = (before >= 0) & (word >= 0)
-            found = np.full(len(word), -1, np.int64)
-            found[both] = _find(self.keys[length - 1], before[both] << _SHIFT | word[both])
-            strings.append(found)
-            ending.append(np.where(end, -1, found))
-        return word, ending, strings
-
-    def gains(self, hashes: np.ndarray) -> np.ndarray:
-        """log10 P(token | state) - log10 P(token), for texts put end to end."""
-        depth = len(self.keys) - 1
-        _, ending, strings = self.positions(hashes, depth + 1)
-        gain = np.zeros(len(hashes))
-        done = np.zeros(len(hashes), bool)
-        for length in range(depth, 0, -1):
-            context = np.r_[-1, ending[length - 1][:-1]]
-            back = np.where(context >= 0, self.back[length - 1][context] if len(self.back[length - 1])
-                            else np.nan, np.nan)
-            state = ~done & ~np.isnan(back)
-            x = strings[length]
-            hit = state & (x >= 0)
-            gain[hit] += self.logp[length][x[hit]] - self.logp[0][strings[0][hit]]
-            miss = state & (x < 0)
-            gain[miss] += back[miss]
-            done |= hit
-        return gain
+def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of strings from the keys of their prefixes and their last words' hashes."""
+    with np.errstate(over="ignore"):
+        k = prefix * np.uint64(0x9E3779B97F4A7C15) + word
+        k ^= k >> np.uint64(32)
+        k *= np.uint64(0xD6E8FEB86659FD93)
+        k ^= k >> np.uint64(29)
+        k *= np.uint64(0x9E3779B97F4A7C15)
+        k ^= k >> np.uint64(32)
+    return k
 
 
-def grow(keys: list[np.ndarray], counts: list[np.ndarray], n_train: int, n_words: int,
-         min_deviance: float = MIN_DEVIANCE, discount: float = DISCOUNT) -> Tree:
-    """States, back-off weights and probabilities from the counted strings."""
-    logp = [np.log10((counts[0] + 0.5) / (n_train + 0.5 * (n_words + 1)))]
-    back: list[np.ndarray] = []
-    suffix: list[np.ndarray] = [np.zeros(len(keys[0]), np.int64)]
-    low = (1 << _SHIFT) - 1
-    for level in range(1, len(keys)):
-        prefix, word = keys[level] >> _SHIFT, keys[level] & low
-        if level == 1:
-            shorter = word
-        else:
-            shorter = _find(keys[level - 1], suffix[level - 1][prefix] << _SHIFT | word)
-        suffix.append(shorter)
-        n = counts[level].astype(np.float64)
-        of = counts[level - 1][prefix].astype(np.float64)
-        below = 10 ** logp[level - 1][shorter]
-        expected = of * below
-        deviance = 2 * (n * np.log(n / expected) - (n - expected))
-        size = len(keys[level - 1])
-        strongest = np.zeros(size)
-        np.maximum.at(strongest, prefix, deviance)
-        state = strongest >= min_deviance
-        held = np.bincount(prefix, weights=n - discount, minlength=size)
-        rest = 1 - held / np.maximum(counts[level - 1], 1)
-        back.append(np.where(state, np.log10(np.maximum(rest, 1e-300)), np.nan))
-        p = (n - discount) / of + rest[prefix] * below
-        logp.append(np.where(state[prefix], np.log10(p), logp[level - 1][shorter]))
-    return Tree(keys, counts, logp, back)
-
-
-def count_strings(rows: DataFrame, tree, length: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the strings of ``length`` words that reach ``floor``."""
-    def run(batches):
-        known: Tree = tree.value
-        held_k, held_n, size = [], [], 0
-
-        def merged():
-            keys, where = np.unique(np.concatenate(held_k), return_inverse=True)
-            return keys, np.bincount(where, weights=np.concatenate(held_n)).astype(np.int64)
-
-        def batch_of(keys, n):
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+class Part:
+    """A block's strings by length, as far as the replies tell.
 
-        for b in batches:
-            text = b.column(0).to_pylist()
-            if not text:
-                continue
-            hashes = np.concatenate([token_hashes(t) for t in text])
-            word, ending, _ = known.positions(hashes, length - 1)
-            before = np.r_[-1, ending[-1][:-1]]
-            both = (before >= 0) & (word >= 0)
-            keys, n = np.unique(before[both] << _SHIFT | word[both], return_counts=True)
-            held_k.append(keys)
-            held_n.append(n.astype(np.int64))
-            size += len(keys)
-            if size > STRINGS_HELD:
-                keys, n = merged()
-                if len(keys) > STRINGS_HELD // 2:
-                    yield batch_of(keys, n)
-                    held_k, held_n, size = [], [], 0
-                else:
-                    held_k, held_n, size = [keys], [n], len(keys)
-        if held_k:
-            yield batch_of(*merged())
-
-    found = (rows.where(~F.col("held_out")).select("text").mapInArrow(run, "key bigint, n bigint")
-             .groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= floor).toArrow())
-    keys, n = found.column("key").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
-
-
-def gains(rows: DataFrame, tree) -> DataFrame:
-    """``(doc_id, version, gain)``: what the states add to a text's base score."""
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+    By level (0: words): ``keys`` sorted, ``own`` counts of the block, ``total``
+    those of the corpus, ``mine`` marks of the strings the block is the owner of,
+    ``at`` the string that ends at each token or -1, ``before`` and ``shorter``
+    each string's prefix and suffix in the level before, ``logp`` the log10
+    probability of the last word after the longest state that ends the prefix,
+    ``rest`` the weight a context leaves to the shorter state, NaN if no state.
+    """
 
-    def run(batches):
-        known: Tree = tree.value
-        for b in batches:
-            text = b.column(2).to_pylist()
-            if not text:
-                continue
-            lo = 0
-            while lo < len(text):
-                hashes, size = [], 0
-                while lo + len(hashes) < len(text) and size < 500_000:
-                    hashes.append(token_hashes(text[lo + len(hashes)]))
-                    size += len(hashes[-1])
-                n = len(hashes)
-                start = np.r_[0, np.cumsum([len(h) for h in hashes])[:-1]]
-                gain = np.add.reduceat(known.gains(np.concatenate(hashes)), start)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, n), b.column(1).slice(lo, n), pa.array(gain)],
-                    ["doc_id", "version", "gain"])
-                lo += n
-
-    return rows.select("doc_id", "version", "text").mapInArrow(
-        run, f"doc_id {id_type}, version bigint, gain double")
+    def __init__(self, block: pa.Table, replies: pa.Table, levels: int, min_count: int,
+                 discount: float, norm: float):
+        kind = block.column("kind").to_numpy()
+        self.docs = block.filter(pa.array(kind == 0))
+        words = block.filter(pa.array(kind == 1))
+        self.block = words.column("block")[0].as_py()
+        self.min_count, self.discount, self.norm = min_count, discount, norm
+        self.size = np.array(self.docs.column("n_tokens").to_pylist())
+        keys = np.frombuffer(words.column("a")[0].as_py(), "<u8")
+        order = np.argsort(keys)
+        keys, own = keys[order], np.frombuffer(words.column("b")[0].as_py(), "<i4")[order]
+        word = np.argsort(order)[_expanded(self.docs.column("a").to_pylist())]
+        self.hashes, self.inside = keys, keys[word] != END
+        self.train = np.repeat(~np.array(self.docs.column("held_out").to_pylist(), bool), self.size)
+        self.replies: dict = {}
+        for level, what, *reply in zip(*(replies.column(c).to_pylist() for c in
+                                         ("level", "what", "at", "value", "own"))):
+            self.replies.setdefault((level, what), []).append(reply)
+        self.keys, self.own, self.total, self.mine, self.at = [], [], [], [], []
+        self.before, self.shorter, self.logp, self.rest = [], [], [], []
+        self._add(keys, own, word, None, None)
+        for _ in range(1, levels):
+            self.extend()
+
+    def _reply(self, level: int, what: int, kind: str):
+        found = self.replies.get((level, what), [])
+        return (np.concatenate([np.zeros(0, np.int64),
+                                *(np.cumsum(np.frombuffer(f[0], "<i4")) for f in found)]),
+                np.frombuffer(b"".join(f[1] for f in found), kind),
+                np.frombuffer(b"".join(f[2] for f in found), np.uint8))
+
+    def _add(self, keys, own, at, before, shorter):
+        level = len(self.keys) + 1
+        total, mine = own.astype(np.int64), own > 0
+        place, value, owner = self._reply(level, 0, "<i8")
+        total[place], mine[place] = value, owner == 1
+        if before is None:
+            logp = np.log10(total + 0.5) - self.norm
+        else:
+            below = 10 ** self.logp[-1][shorter]
+            rest, of = self.rest[-1][before], np.maximum(self.total[-1][before], 1)
+            p = np.where(np.isnan(rest), below, (total - self.discount) / of + rest * below)
+            logp = np.log10(np.maximum(p, 1e-300))
+        rest = np.full(len(keys), np.nan)
+        place, value, _ = self._reply(level, 1, "<f8")
+        rest[np.flatnonzero(total >= self.min_count)[place]] = value
+        for to, x in ((self.keys, keys), (self.own, own), (self.total, total), (self.mine, mine),
+                      (self.at, at), (self.before, before), (self.shorter, shorter),
+                      (self.logp, logp), (self.rest, rest)):
+            to.append(x)
+
+    def frequent(self, level: int) -> np.ndarray:
+        """The string of the level that ends at each token if it reaches ``min_count``, or -1."""
+        at = self.at[level]
+        ok = at >= 0
+        ok[ok] = self.total[level][at[ok]] >= self.min_count
+        return np.where(ok, at, -1)
+
+    def contexts(self, level: int) -> np.ndarray:
+        """The same for the words before each token; none reaches across an end."""
+        return np.r_[-1, np.where(self.inside, self.frequent(level), -1)[:-1]]
+
+    def extend(self) -> None:
+        """The next level: strings whose prefix and suffix reach ``min_count``."""
+        level = len(self.keys) - 1
+        before, shorter = self.contexts(level), self.frequent(level)
+        here = np.flatnonzero((before >= 0) & (shorter >= 0))
+        key = _longer(self.keys[level][before[here]], self.hashes[self.at[0][here]])
+        keys, first, number = np.unique(key, return_index=True, return_inverse=True)
+        own = np.bincount(number[self.train[here]], minlength=len(keys)).astype("<i4")
+        at = np.full(len(self.inside), -1, np.int64)
+        at[here] = number
+        first = here[first]
+        self._add(keys, own, at, before[first], shorter[first])
+
+    def questions(self, n_buckets: int) -> list[tuple]:
+        return _packed(0, self.block, n_buckets, self.keys[-1], self.own[-1])
+
+    def wanted(self, n_buckets: int, level: int) -> list[tuple]:
+        """Asks for the weights of the contexts of a level."""
+        return _packed(2, self.block, n_buckets,
+                       self.keys[level][self.total[level] >= self.min_count], None)
+
+    def deviances(self, n_buckets: int, level: int) -> list[tuple]:
+        """What the strings of a level the block owns say about their contexts."""
+        owned = np.flatnonzero(self.mine[level] & (self.total[level] >= self.min_count))
+        before, n = self.before[level][owned], self.total[level][owned].astype(float)
+        expected = self.total[level - 1][before] * 10 ** self.logp[level - 1][self.shorter[level][owned]]
+        deviance = 2 * (n * np.log(n / expected) - (n - expected))
+        context, where = np.unique(before, return_inverse=True)
+        top = np.zeros(len(context))
+        np.maximum.at(top, where, deviance)
+        held = np.bincount(where, weights=n - self.discount, minlength=len(context))
+        return _packed(1, self.block, n_buckets, self.keys[level - 1][context],
+                       self.total[level - 1][context], top, held)
+
+    def gains(self) -> np.ndarray:
+        """log10 P(token | state) - log10 P(token) of every token."""
+        gain = np.zeros(len(self.inside))
+        done = np.zeros(len(gain), bool)
+        base = self.logp[0][self.at[0]]
+        for level in range(len(self.keys) - 1, 0, -1):
+            context, x = self.contexts(level - 1), self.frequent(level)
+            rest = np.where(context >= 0, self.rest[level - 1][context], np.nan) if len(
+                self.rest[level - 1]) else np.full(len(gain), np.nan)
+            state = ~done & ~np.isnan(rest)
+            hit = state & (x >= 0)
+            gain[hit] += self.logp[level][x[hit]] - base[hit]
+            miss = state & (x < 0)
+            gain[miss] += np.log10(np.maximum(rest[miss], 1e-300))
+            done |= hit
+        return gain
 
 
 # ---- the operator ------------------------------------------------------------------------
 
-def lm_scores(docs: DataFrame, held_out: Column, *, depth: int = DEPTH, min_word: float = MIN_WORD,
-              min_string: float = MIN_STRING, min_deviance: float = MIN_DEVIANCE,
-              discount: float = DISCOUNT, scratch: Scratch | None = None,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, held_out: Column, *, depth: int = DEPTH, min_count: int = MIN_COUNT,
+              min_deviance: float = MIN_DEVIANCE, discount: float = DISCOUNT,
+              scratch: Scratch | None = None, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
 
     ``held_out`` is a boolean Column over ``doc_id``: those rows are scored but
     not learned from. Scores are log10 probabilities of the whole text.
     """
-    if min_word < 2.0 ** -_SHIFT:
-        raise ValueError(f"min_word must be at least 2^-{_SHIFT}")
+    if min_count < 1:
+        raise ValueError("min_count must be at least 1")
     spark = docs.sparkSession
     ship(spark)
     scratch = scratch or Scratch(spark)
     rows = _prepared(docs, held_out, id_col, text_col)
     condensed = scratch.keep(blocks(rows), "blocks", "kind")
-    total = totals(condensed, scratch)
-    size = total.agg(F.sum("n").alias("n"), F.count_if(F.col("first") & (F.col("total") > 0)).alias("v")).first()
+    n_tokens = condensed.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0
+    # small inputs are dealt finer, or a few tasks would do all the work
+    n_buckets = max(1, -(-n_tokens // STRINGS_HELD), min(64, n_tokens // 50_000))
+
+    replies = scratch.keep(answers(ask_words(condensed, n_buckets), 1, min_deviance), "answers-1")
+    size = replies.agg(F.sum("n_seen").alias("n"), F.sum("n_strings").alias("v")).first()
     n_train, n_words = int(size["n"] or 0), int(size["v"] or 0)
+    norm = math.log10(n_train + 0.5 * (n_words + 1))
+
+    def told() -> DataFrame:
+        found = replies.where("block >= 0").select("block", "level", "what", "at", "value", "own")
+        return condensed.groupBy("block").cogroup(found.groupBy("block"))
+
+    def step(level: int):
+        def run(block: pa.Table, known: pa.Table) -> pa.Table:
+            part = Part(block, known, level, min_count, discount, norm)
+            out = []
+            if level > 1:
+                out += part.deviances(n_buckets, level - 1) + part.wanted(n_buckets, level - 2)
+            if level <= depth:
+                part.extend()
+                out += part.questions(n_buckets)
+            return _table(out, QUESTIONS)
+        return run
+
+    for level in range(1, depth + 2):
+        found = answers(told().applyInArrow(step(level), QUESTIONS), level + 1, min_deviance)
+        replies = replies.unionByName(scratch.keep(found, f"answers-{level + 1}"))
 
-    floor = max(MIN_COUNT, math.ceil(min_word * n_train))
-    frequent = (total.where(F.col("first") & (F.col("total") >= floor))
-                .select(F.col("h"), F.col("total")).toArrow())
-    words = frequent.column("h").to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    keys, counts = [words[order]], [frequent.column("total").to_numpy()[order].astype(np.int64)]
-    floor = max(MIN_COUNT, math.ceil(min_string * n_train))
-    for length in range(2, depth + 2):
-        so_far = spark.sparkContext.broadcast(Tree(keys, counts, [], []))
-        k, n = count_strings(rows, so_far, length, floor)
-        keys, counts = [*keys, k], [*counts, n]
-    tree = spark.sparkContext.broadcast(grow(keys, counts, n_train, n_words, min_deviance, discount))
-    base = scratch.keep(base_scores(condensed, total, n_train, n_words), "base")
-    gain = scratch.keep(gains(rows, tree).dropDuplicates(["doc_id", "version"]), "gains")
-    gain = gain.select(F.col("doc_id").alias("gain_id"), F.col("version").alias("gain_version"), "gain")
-    return (base.join(gain, F.col("doc_id").eqNullSafe(F.col("gain_id"))
-                      & (F.col("version") == F.col("gain_version")))
-            .select("doc_id", "held_out", "n_tokens", "n_known",
-                    F.lit(n_train).cast("bigint").alias("train_tokens"), "base_score",
-                    (F.col("base_score") + F.col("gain")).alias("score")))
+    id_type = condensed.schema["doc_id"].dataType.simpleString()
+
+    def score(block: pa.Table, known: pa.Table) -> pa.Table:
+        part = Part(block, known, depth + 1, min_count, discount, norm)
+        start = np.r_[0, np.cumsum(part.size)[:-1]]
+        word = part.at[0]
+        base = np.add.reduceat(part.logp[0][word], start)
+        return pa.Table.from_arrays(
+            [part.docs.column("doc_id"), part.docs.column("held_out"), part.docs.column("n_tokens"),
+             pa.array(np.add.reduceat((part.total[0][word] > 0).astype(np.int64), start)),
+             pa.array(base), pa.array(base + np.add.reduceat(part.gains(), start))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    scored = told().applyInArrow(score, f"doc_id {id_type}, held_out boolean, n_tokens bigint, "
+                                        "n_known bigint, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known",
+                         F.lit(n_train).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -145,3 +145,19 @@ def test_repeated_rows_and_null_ids(spark):
     rows = [(2, "a b c"), (2, "a b c"), (2, "other"), (None, "a b c")]
     got = lm_scores(frame(spark, rows), crc_mod("doc_id", 5) == 1).collect()
     assert sorted((r.doc_id is None, r.n_tokens) for r in got) == [(False, 2), (False, 4), (False, 4), (True, 4)]
+
+
+def test_strings_take_part_whatever_the_size_of_the_corpus(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(vocabulary, 1000))) for i in range(400)]
+    train = [i for i, _ in rows if not held(i)]
+    for i in train[:2]:
+        rows[i] = (i, rows[i][1] + " alpha beta gamma delta")
+    rows.append((next(i for i in range(1000, 2000) if held(i)), "alpha beta gamma delta"))
+    model = Brute([t for i, t in rows if not held(i)], min_word=0, min_string=0)
+    assert 1e-5 * model.n > 2 and {("alpha",), ("gamma",)} <= model.states
+    got = {r.doc_id: r for r in lm_scores(frame(spark, rows), crc_mod("doc_id", 5) == 1).collect()}
+    for i, t in [*rows[:12], rows[-1]]:
+        assert got[i].score == pytest.approx(model.score(t), rel=1e-9)
+    assert got[rows[-1][0]].score > got[rows[-1][0]].base_score + 5
