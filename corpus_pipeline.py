@@ -5,13 +5,14 @@ the session's shared checkpoint folder and read again as the next one's docs.
 
 1. quality classifier: rows that score below the threshold go.
 2. line dedup: repeated boilerplate lines are taken out of the texts.
-3. SimHash near-dedup: of each class the document with the smallest id stays.
+3. SimHash near-dedup: of each class one row, of the smallest id, stays.
 4. benchmark decontamination: documents that share a window with an item go.
 5. packing: the remaining documents as pieces of training sequences.
 
 Rows: every stage handles what its operator does (nulls, empty texts, repeated
-rows, empty tables, other columns); a row whose id is null is judged by its
-text alone and, in a class with any id, is not the one that stays.
+rows, empty tables, other columns). Stages 3 and 4 number the rows and judge and
+drop each by its own text, whatever others share its id; in a class with any
+id, a row without one is not the one that stays.
 """
 
 from __future__ import annotations
@@ -32,13 +33,21 @@ from basketry.llm.simhash import near_dedup
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, dropped: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` but the rows whose id is in ``dropped (doc_id)``.
+def _numbered(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its own per row, written, and that column's name."""
+    name = "row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return scratch.keep(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
-    The ids are written first, so Spark knows their size when it plans the join.
+
+def _without(rows: DataFrame, name: str, dropped: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` but those whose number is in ``dropped (gone)``, without the number.
+
+    The numbers are written first, so Spark knows their size when it plans the join.
     """
-    gone = scratch.keep(dropped.select(F.col("doc_id").alias("gone")).distinct(), "dropped")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    gone = scratch.keep(dropped, "dropped")
+    return rows.join(gone, rows[name] == gone["gone"], "left_anti").drop(name)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,17 +66,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class."""
+    """Keeps one row of each class: the first of the smallest id."""
     scratch = Scratch(spark)
-    classes = near_dedup(docs, scratch=scratch)
-    return _without(docs, classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), scratch)
+    rows, name = _numbered(docs, scratch)
+    ranked = rows.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                                  F.col(name).alias("row")).alias("rank"), "text")
+    classes = near_dedup(ranked, scratch=scratch, id_col="rank")
+    gone = classes.where(F.col("doc_id.row") != F.col("component_id.row"))
+    return _without(rows, name, gone.select(F.col("doc_id.row").alias("gone")), scratch)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that share a window of words with a benchmark item."""
+    """Drops the rows that share a window of words with a benchmark item."""
     scratch = Scratch(spark)
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), scratch=scratch)
-    return _without(docs, found.where("contaminated"), scratch)
+    rows, name = _numbered(docs, scratch)
+    found = contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), scratch=scratch,
+                          id_col=name)
+    return _without(rows, name, found.where("contaminated").select(F.col("doc_id").alias("gone")), scratch)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

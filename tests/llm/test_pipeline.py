@@ -133,6 +133,31 @@ def test_stages_on_an_empty_table(spark, sf):
         assert out.count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_each(spark, sf):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").collect()]
+    rng = np.random.default_rng(5)
+    own = [" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(60)) for _ in range(6)]
+
+    def left(name, rows):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string")
+        out = stage(name)(spark, docs, sf)
+        assert out.schema.names == docs.schema.names
+        return sorted(((r.doc_id, r.text, r.row) for r in out.collect()), key=str)
+
+    leak = own[0] + " " + items[0][1]
+    assert left("benchmark decontamination", [
+        (None, leak, "a"), (None, own[1], "b"), (None, own[2], "c"),
+        (7, leak, "d"), (7, own[3], "e"), (8, own[4], "f")]) == sorted(
+        [(None, own[1], "b"), (None, own[2], "c"), (7, own[3], "e"), (8, own[4], "f")], key=str)
+    got = left("SimHash near-dedup", [
+        (1, own[0], "x"), (None, own[0], "y"), (None, own[1], "b"),   # a null is near an id
+        (2, own[2], "c"), (3, own[2], "z"), (3, own[3], "d"),         # 3 is a copy once only
+        (4, own[4], "e"), (4, own[4], "e"),                           # the smallest id repeated
+        (None, own[5], "f"), (None, own[5], "f")])                    # copies without ids
+    assert got == sorted([(1, own[0], "x"), (None, own[1], "b"), (2, own[2], "c"), (3, own[3], "d"),
+                          (4, own[4], "e"), (None, own[5], "f")], key=str)
+
+
 def test_every_operator_has_a_query():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
