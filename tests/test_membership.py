@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions import membership
 from basketry.functions.membership import maybe_in
+from basketry.operators.baskets import transactions
 
 
 def test_keeps_every_key_and_drops_most_others(spark):
@@ -23,3 +25,14 @@ def test_a_full_bitmap_drops_nothing_wrongly(spark, monkeypatch):
     keys = rows.where("tid % 2 = 0 or tid is null")
     got = {r.tid for r in maybe_in(rows, keys, "tid").collect()}
     assert got >= {None, *range(0, 500, 2)}
+
+
+@pytest.mark.parametrize("left, right", [("int", "bigint"), ("bigint", "smallint"), ("int", "string"),
+                                         ("string", "bigint"), ("int", "double")])
+def test_keys_of_two_types_lose_nothing(spark, left, right):
+    n = spark.range(2000)
+    m = n.select(F.col("id").cast(left).alias("tid"), F.lit(1).alias("item"), F.lit(2e6).alias("value"))
+    e = n.where("id % 2 = 0").select(F.col("id").cast(right).alias("tid"), F.array(F.lit("a")).alias("categories"))
+    small, large = (sorted(map(tuple, transactions(m, e, categories=["a"], broadcast_rows=b).collect()))
+                    for b in (1_000_000, 0))
+    assert len(small) == 1000 and large == small
