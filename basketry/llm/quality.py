@@ -15,7 +15,8 @@ encoded in runs and the attention softmax is accumulated over the runs, so
 memory does not follow the longest text.
 
 Rows: null text counts as empty; an empty text is one empty passage and gets a
-score like any other; repeated rows are scored each; if an id has several
+score like any other; repeated rows are scored each, but only one row of an id
+(the smallest by a hash of its text) is fitted on; if an id has several
 labels the lowest counts, null labels are ignored; without labels every score
 is 0.5, with one label value only every score is near it; an empty table gives
 no rows; other columns are ignored.
@@ -189,8 +190,11 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS, id_co
               .groupBy("doc_id").agg(F.min("y").alias("y"))
               .join(documents(docs, id_col, text_col).select("doc_id").distinct(), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs))
-    # at most fit_docs ids; the scan of the texts keeps only theirs
-    sample = documents(docs, id_col, text_col).join(F.broadcast(marked), "doc_id").select("doc_id", "y", "text")
+    # at most fit_docs ids; the scan of the texts keeps only theirs, one row of each
+    text = F.coalesce("text", F.lit(""))
+    sample = (documents(docs, id_col, text_col).join(F.broadcast(marked), "doc_id").groupBy("doc_id", "y")
+              .agg(F.min(F.struct(F.xxhash64(text).alias("h"), text.alias("text"))).alias("one"))
+              .select("doc_id", "y", "one.text"))
 
     def features(batches):
         for b in batches:

@@ -154,3 +154,18 @@ def test_quality_without_labels(spark):
 def test_quality_never_reads_labels_when_scoring(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string").withColumn("quality", F.lit(0))
     assert quality_scores(docs, None).columns == ["doc_id", "score", "predicted"]
+
+
+def fitted(monkeypatch):
+    """The bags that ``train`` passes to the fit."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, labels: seen.append([len(b) for b in bags]))
+    return seen
+
+
+def test_quality_is_fitted_on_one_row_of_an_id(spark, monkeypatch):
+    seen = fitted(monkeypatch)
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(2, "b"), (3, None), (3, None)],
+                                 "doc_id bigint, text string")
+    train(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int"))
+    assert seen == [[1, 1, 1]]
