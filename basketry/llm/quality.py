@@ -8,9 +8,9 @@ weights the passage encodings, and a logistic output scores their weighted sum.
 Only document labels are given; which passages matter is learned.
 
 The network is fitted on a bounded sample of labelled rows, ``FIT_DOCS``
-documents in the order of a hash of the id, of which at most
-``FIT_PASSAGES`` evenly spaced passages each are used; the driver trains on
-those encodings. Scoring takes every passage of every document: passages are
+documents in the order of a hash of the id, fewer if those before have
+``FIT_PASSAGES`` passages together; the driver trains on the encodings of all
+passages of a document that is in the sample. Scoring takes every passage of every document: passages are
 encoded in runs and the attention softmax is accumulated over the runs, so
 memory does not follow the longest text.
 
@@ -26,15 +26,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import columns, documents, ship
+from basketry.llm.common import Scratch, columns, documents, ship
 
 PASSAGE = 512
 RUN = 512                    # passages encoded at once
 FIT_DOCS = 6000
-FIT_PASSAGES = 64
+FIT_PASSAGES = 200_000       # of all documents fitted on
 HIDDEN, GATE = 32, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 3e-3, 1e-4
 THRESHOLD = 0.3
@@ -178,9 +178,12 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, *, epochs: int = EPOCHS, see
 
 # ---- Spark ------------------------------------------------------------------------
 
-def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS, id_col: str = "doc_id",
-          text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "quality") -> Model | None:
-    """Fit on the first ``fit_docs`` labelled documents by a hash of the id.
+def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS,
+          fit_passages: int = FIT_PASSAGES, id_col: str = "doc_id", text_col: str = "text",
+          label_id_col: str = "doc_id", label_col: str = "quality",
+          scratch: Scratch | None = None) -> Model | None:
+    """Fit on the first ``fit_docs`` labelled documents by a hash of the id, or as
+    many as it takes to have ``fit_passages`` passages; each with all its passages.
 
     ``labels`` must hold training rows only. None if there are none.
     """
@@ -195,6 +198,12 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS, id_co
     sample = (documents(docs, id_col, text_col).join(F.broadcast(marked), "doc_id").groupBy("doc_id", "y")
               .agg(F.min(F.struct(F.xxhash64(text).alias("h"), text.alias("text"))).alias("one"))
               .select("doc_id", "y", "one.text"))
+    sample = (scratch or Scratch(docs.sparkSession)).keep(sample, "fit-sample")
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE))
+    first = (sample.select("doc_id", size.alias("n")).withColumn("before", F.sum("n").over(before))
+             .where(F.coalesce("before", F.lit(0)) < fit_passages).select("doc_id"))
+    sample = sample.join(F.broadcast(first), "doc_id")     # at most fit_docs ids again
 
     def features(batches):
         for b in batches:
@@ -202,10 +211,8 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS, id_co
             for text in b.column(2).to_pylist():
                 data = (text or "").encode("utf-8", "surrogatepass")
                 n = n_passages(data)
-                pick = range(n) if n <= FIT_PASSAGES else np.linspace(0, n - 1, FIT_PASSAGES).astype(int)
-                rows = (encode(data, 0, n) if n <= FIT_PASSAGES
-                        else np.concatenate([encode(data, i, i + 1) for i in pick]))
-                out.append(rows.astype(np.float32).tobytes())
+                out.append(b"".join(encode(data, lo, min(n, lo + RUN)).astype(np.float32).tobytes()
+                                    for lo in range(0, n, RUN)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())],
                                              ["doc_id", "y", "bag"])
 

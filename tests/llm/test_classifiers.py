@@ -169,3 +169,12 @@ def test_quality_is_fitted_on_one_row_of_an_id(spark, monkeypatch):
                                  "doc_id bigint, text string")
     train(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int"))
     assert seen == [[1, 1, 1]]
+
+
+def test_quality_is_fitted_on_every_passage_of_a_document(spark, monkeypatch):
+    seen = fitted(monkeypatch)
+    docs = spark.createDataFrame([(i, "x" * (512 * 600 + 1)) for i in range(4)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id bigint, quality int")
+    train(docs, labels)
+    train(docs, labels, fit_passages=602)
+    assert seen == [[601] * 4, [601] * 2]
