@@ -12,6 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm import centroids
+from basketry.llm.centroids import centroid_clustering
 from basketry.llm.common import crc_mod
 from basketry.llm.decontamination import contamination
 from basketry.llm.exact_dedup import exact_dedup
@@ -93,10 +95,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_decontamination, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
-        op6_quality, op7_url_filter, op8_language_id, op9_token_counts, op10_packing)
+        op6_quality, op7_url_filter, op8_language_id, op9_token_counts, op10_packing,
+        op11_centroid_clustering)
 }
 
 
@@ -122,7 +129,42 @@ def _level(name: str) -> str:
                                sum(n::double * n) as nn, sum(bad::double * bad / n) as rr from {name}))))"""
 
 
+def _clustering() -> str:
+    """Every round spelt out: the nearest centroid per vector, then the floors of the means."""
+    steps = []
+    for r in range(centroids.ROUNDS + 1):
+        steps.append(f"""
+        a{r} as materialized (
+            select r, (min((s, c)))[2] as c, (min((s, c)))[1] as s from (
+                select r, c, sum((x - y) * (x - y))::bigint as s from e join c{r} using (d) group by r, c)
+            group by r)""")
+        if r < centroids.ROUNDS:
+            steps.append(f"""
+        c{r + 1} as materialized (
+            select c, d, coalesce((s - ((s % n) + n) % n) // n, y) as y from c{r} left join (
+                select c, d, sum(x)::bigint as s, count(*) as n from a{r} join e using (r) group by c, d)
+            using (c, d))""")
+    last = centroids.ROUNDS
+    return f"""
+        with kept as materialized (
+            select row_number() over () as r, vec_id, embedding as v from embeddings
+            where len(embedding) = {centroids.DIM} and len([x for x in embedding if isfinite(x)]) = {centroids.DIM}),
+        e as materialized (
+            select r, d, floor({centroids.SCALE} * x::double)::bigint as x
+            from (select r, unnest(v) as x, generate_subscripts(v, 1) as d from kept)),
+        seeds as (select r, row_number() over (order by sha256('{centroids.SEED}:' || coalesce(vec_id::varchar, '')), v)
+                         - 1 as c from kept qualify c < {centroids.K}),
+        c0 as materialized (select c, d, x as y from seeds join e using (r)),{",".join(steps)},
+        own as (select c, sum(s)::bigint as cluster_inertia from a{last} group by c),
+        digest as (select c, sha256(string_agg(y::varchar, ',' order by d)) as centroid_sha256
+                   from c{last} group by c)
+        select vec_id, c::integer as cluster, s as distance, cluster_inertia,
+               (select sum(s)::bigint from a{last}) as inertia, centroid_sha256
+        from kept join a{last} using (r) join own using (c) join digest using (c)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_centroid_clustering": _clustering(),
     "op2_decontamination": f"""
         with d as (select row_number() over () as r, doc_id, {_words("text")} as w from documents),
         b as (select item_id, {_words("text")} as w from benchmark),

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from basketry.llm.centroids import centroid_clustering, nearest
+
+
+def brute(rows, k, rounds, dim):
+    kept = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"2:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centres = [v for _, v in order[:k]]
+
+    def assign():
+        out = []
+        for _, v in kept:
+            out.append(min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centres)))
+        return out
+
+    for _ in range(rounds):
+        at = assign()
+        for c in range(len(centres)):
+            mine = [v for (_, v), (_, n) in zip(kept, at) if n == c]
+            if mine:
+                centres[c] = [sum(x) // len(mine) for x in zip(*mine)]
+    at = assign()
+    total = sum(s for s, _ in at)
+    return sorted(((i, c, s, sum(t for t, n in at if n == c), total,
+                    hashlib.sha256(",".join(map(str, centres[c])).encode()).hexdigest())
+                   for (i, _), (s, c) in zip(kept, at)), key=repr)
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(i, v, 1, 2.0) for i, v in rows],
+                               "vec_id bigint, embedding array<double>, cluster int, `v` double")
+    return sorted((tuple(r) for r in centroid_clustering(df.repartition(3), **kw).collect()), key=repr)
+
+
+def test_against_brute_force(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.normal(size=4) * 2).round(2).tolist()) for i in range(120)]
+    rows += [(5, rows[5][1])] * 30 + [(7, rows[6][1])] + [(None, rows[3][1])] * 2      # repeats, a null id
+    rows += [(200, None), (201, [1.0, 2.0]), (202, [1.0, None, 0.0, 0.0]), (203, [math.nan, 0.0, 0.0, 0.0]),
+             (204, [math.inf, 0.0, 0.0, 0.0]), (205, []), (206, [1.0] * 5)]
+    assert run(spark, rows, k=7, rounds=5, dim=4) == brute(rows, 7, 5, 4)
+
+
+def test_ties_and_equal_seeds(spark):
+    """Equal centroids and equal distances go to the smaller number; empty ones stay."""
+    rows = [(i, [float(i % 2), 0.0]) for i in range(12)] + [(99, [0.5, 0.0])]
+    assert run(spark, rows, k=6, rounds=3, dim=2) == brute(rows, 6, 3, 2)
+
+
+def test_few_or_no_vectors(spark):
+    assert run(spark, [], k=3, rounds=2, dim=2) == []
+    assert run(spark, [(1, None)], k=3, rounds=2, dim=2) == []
+    rows = [(1, [0.1, -0.1]), (2, [0.5, 3.0])]
+    assert run(spark, rows, k=40, rounds=5, dim=2) == brute(rows, 40, 5, 2)
+
+
+def test_wide_values_take_the_sorted_table():
+    """Values spread far beyond the block's size still give exact distances."""
+    rng = np.random.default_rng(2)
+    block = rng.integers(-(1 << 26), 1 << 26, (500, 3)).astype(np.int32)
+    centres = rng.integers(-(1 << 26), 1 << 26, (9, 3))
+    cluster, distance = nearest(block, centres)
+    full = ((block[:, None, :].astype(np.int64) - centres[None]) ** 2).sum(axis=2)
+    assert (cluster == full.argmin(axis=1)).all() and (distance == full.min(axis=1)).all()
+
+
+def test_huge_component_raises(spark):
+    with pytest.raises(PySparkException, match="component beyond"):
+        run(spark, [(1, [1e30, 0.0])], k=1, rounds=1, dim=2)
+
+
+def test_float_input(spark):
+    df = spark.range(40).select(F.col("id").alias("vec_id"), F.array(
+        (F.col("id") / 7).cast("float"), F.lit(-0.3).cast("float")).alias("embedding"))
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    got = sorted((tuple(r) for r in centroid_clustering(df, k=5, rounds=2, dim=2).collect()), key=repr)
+    assert got == brute(rows, 5, 2, 2)
