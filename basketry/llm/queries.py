@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import centroids
+from basketry.llm.alignment import alignment
 from basketry.llm.centroids import centroid_clustering
 from basketry.llm.common import crc_mod
 from basketry.llm.decontamination import contamination
@@ -27,6 +28,7 @@ from basketry.llm.token_counts import token_counts
 from basketry.llm.url_filter import MAX_BAD_RATE, MAX_RHO, MIN_RHO, NO_RHO, Z, url_filter
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 #: (host, path, verdict)
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -99,11 +101,17 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering(table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
+                      public_tokenizers.path(PIECES))
+    return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_decontamination, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
         op6_quality, op7_url_filter, op8_language_id, op9_token_counts, op10_packing,
-        op11_centroid_clustering)
+        op11_centroid_clustering, op13_token_alignment)
 }
 
 
