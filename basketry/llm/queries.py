@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from basketry.llm import centroids
 from basketry.llm.alignment import alignment
 from basketry.llm.centroids import centroid_clustering
+from basketry.llm.chosen_path import PERCENT, chosen_path_dedup
 from basketry.llm.common import crc_mod
 from basketry.llm.decontamination import contamination
 from basketry.llm.exact_dedup import exact_dedup
@@ -101,6 +102,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering(table(spark, sf_dir, "embeddings"))
 
 
+def op12_chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path_dedup(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
                       public_tokenizers.path(PIECES))
@@ -111,7 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_decontamination, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
         op6_quality, op7_url_filter, op8_language_id, op9_token_counts, op10_packing,
-        op11_centroid_clustering, op13_token_alignment)
+        op11_centroid_clustering, op12_chosen_path_dedup, op13_token_alignment)
 }
 
 
@@ -173,6 +178,25 @@ def _clustering() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op11_centroid_clustering": _clustering(),
+    # pairs that share a shingle, counted; a pair under the size bound can't link
+    "op12_chosen_path_dedup": f"""
+        with recursive d as materialized (
+            select row_number() over () as r, doc_id,
+                   regexp_extract_all({_lower("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+        s as materialized (
+            select r, case when len(w) = 0 then [] when len(w) = 1 then w
+                      else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as g
+            from d),
+        e as materialized (select r, len(g) as n, hash(x) as h from (select r, g, unnest(g) as x from s)),
+        links as materialized (
+            select a.r as u, b.r as v from e a join e b on a.h = b.h and a.r <> b.r
+                and 100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)
+            group by a.r, b.r, a.n, b.n having 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+        reach as (select u, v from links union select reach.u, links.v from reach join links on reach.v = links.u),
+        lowest as (select u as r, min(doc_id) as low from reach join d on d.r = reach.v group by u)
+        select d.doc_id, len(g)::bigint as n_shingles, least(d.doc_id, low) as component_id,
+               d.doc_id is not distinct from least(d.doc_id, low) as kept
+        from d join s using (r) left join lowest using (r)""",
     "op2_decontamination": f"""
         with d as (select row_number() over () as r, doc_id, {_words("text")} as w from documents),
         b as (select item_id, {_words("text")} as w from benchmark),
