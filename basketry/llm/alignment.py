@@ -26,25 +26,28 @@ needs memory in proportion to itself.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from struct import pack
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import Scratch, documents, ship
+from basketry.llm.token_pieces import LATIN, TAIL, Pieces
 
 BLOCK_BYTES = 8 << 20
 ENCODE_BYTES = 1 << 19      # text encoded and aligned at once, one document at least
 
 MAX_KEPT = 300_000          # parts a worker remembers; the table is emptied beyond
 MAX_KEPT_CHARS = 64         # longer parts are encoded each time
+MAX_TAILS = 10_000          # runs of punctuation a worker remembers
+WORDS_AT_ONCE = 2000
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 _LOADED: dict = {}
@@ -52,6 +55,10 @@ _LOADED: dict = {}
 
 # ---- tokens and their bytes ----------------------------------------------------------
 
+def _ids(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
+
+
 @dataclass
 class Side:
     """One tokenizer: texts to id arrays, and the bytes of every id."""
@@ -78,23 +85,15 @@ def byte_letters() -> dict[str, int]:
 
 def byte_level(path: str) -> Side:
     """A byte-level BPE of the tokenizers library; encodes space + text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
+    pieces = Pieces(path, list, None)
+    t = pieces.tokenizer
     t.encode_special_tokens = True      # their strings in a text are plain text
     letters = byte_letters()
     spelt = [b""] * t.get_vocab_size()
     for piece, i in t.get_vocab().items():
         spelt[i] = (bytes(letters[c] for c in piece) if all(c in letters for c in piece)
                     else piece.encode())
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
-
-    return _side(encode, spelt)
+    return _side(pieces.with_space, spelt)
 
 
 def sentence_piece(path: str) -> Side:
@@ -134,15 +133,17 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndar
         succ = far
 
 
-def links(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (token of a, token of b) whose bytes overlap, by token of a."""
+def links(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs (token of a, token of b) whose bytes overlap, by token of a,
+    and their number up to and with each token of a."""
     last = np.searchsorted(end_b, end_a)
     # the next token of a begins with the same token of b, or with the one after a common end
     first = np.r_[0, (last + (end_b[last] == end_a))[:-1]]
     n = last - first + 1
+    upto = np.cumsum(n)
     i = np.repeat(np.arange(len(end_a)), n)
-    j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    return i, j
+    j = np.arange(len(i)) + np.repeat(first - (upto - n), n)
+    return i, j, upto
 
 
 class Aligner:
@@ -152,59 +153,167 @@ class Aligner:
     both sides (a new pre-token on the one; no piece of the other holds a space
     after another character, which is checked), so the ids of a text are those
     of its parts between such spaces, each with a space before it. Parts seen
-    before come from a table of bounded size, the others are encoded in one batch.
+    lately come from a table of bounded size, the others are encoded: plain words
+    many at a time, as one text that is cut where the words end. A line break
+    between such characters and the border between a letter and ASCII punctuation
+    are borders of both sides too, so lines and words with punctuation are put
+    together from theirs.
     """
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = byte_level(path_a), sentence_piece(path_b)
-        self.cut = not any(b" " in x.lstrip(b" ") for x in self.b.spelt)
-        self.ids_a: dict[str, bytes | None] = {}    # part -> ids; None: not a part by itself
-        self.ids_b: dict[str, bytes | None] = {}
-        self.odd: set[str] = set()                  # parts whose tokens do not spell them
+        pieces = [x.decode("utf-8", "replace") for x in self.b.spelt]
+        self.cut = not any(" " in x.lstrip(" ") for x in pieces)
+        # what no piece of the second side holds after a letter
+        joined = {y for x in pieces for c, y in zip(x, x[1:]) if c.isalpha()}
+        self.tail = "".join(c for c in TAIL if c not in joined)
+        self.lines = not any("\n" in x and len(x) > 1 for x in pieces)
+        # part -> ids of both sides, or None if it must stay with its neighbours
+        self.kept: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
+        self.tails: dict[str, tuple[bytes, bytes]] = {"": (b"", b"")}
+        self.odd: set[str] = set()      # parts whose tokens do not spell them
+        self.brief: set[str] = set()    # parts that are not kept
         most = max(len(self.a.spelt), len(self.b.spelt))
         # an id with what follows it: next of its side, other side, next group, end
         self.written = [f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(most)]
         self.width = most
 
-    def _learn(self, parts: list[str]) -> None:
-        for side, table in ((self.a, self.ids_a), (self.b, self.ids_b)):
-            for p, ids in zip(parts, side.encode(parts)):
-                table[p] = pack(f"<{len(ids)}I", *ids)
-                if b"".join([side.spelt[i] for i in ids]) != b" " + p.encode("utf-8", "surrogatepass"):
+    def _learn(self, parts: set[str]) -> None:
+        """Entries of parts that are not in the table."""
+        kept, older = self.kept, self.older
+        words, others, made = set(), [], []
+        for p in parts:
+            if p in older:
+                kept[p] = older[p]
+                continue
+            if not p or p[0].isspace() or p[-1].isspace():
+                kept[p] = None
+                continue
+            if "\n" in p and self.lines:
+                lines = p.split("\n")
+                if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                    made.append((p, [lines[0], *["\n" + x for x in lines[1:]]]))
+                    self.brief.add(p)
+                    continue
+            made.append((p, [p]))
+            if len(p) > MAX_KEPT_CHARS:
+                self.brief.add(p)
+        for p, lines in made:
+            for x in lines:
+                word = x.rstrip(self.tail)
+                if len(x) > MAX_KEPT_CHARS:
+                    self.brief.add(x)
+                plain = word[1:] if word[:1] == "\n" else word
+                if not (plain.isalpha() and (plain.isascii() or max(plain) < chr(LATIN))):
+                    word = x
+                    if x not in kept and x not in older:
+                        others.append(x)
+                elif word not in kept and word not in older:
+                    words.add(word)
+                if len(x) > len(word) and x[len(word):] not in self.tails:
+                    self._learn_tail(x[len(word):])
+        self._learn_words(sorted(words, key=lambda w: w[0] == "\n"))
+        self._learn_each(sorted(set(others)))
+        for p, lines in made:
+            a, b = [], []
+            for x in lines:
+                entry, tail = kept.get(x) or older.get(x), ""
+                if entry is None:
+                    word = x.rstrip(self.tail)
+                    entry, tail = kept.get(word) or older[word], x[len(word):]
+                    if word in self.odd:
+                        self.odd.add(p)
+                elif x in self.odd:
                     self.odd.add(p)
-
-    def _parts(self, text: str) -> list[str]:
-        """The parts of a text; those that touch other white space stay together."""
-        if not self.cut:
-            return [text]
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return parts
-        return SAFE.split(text)
+                a += [entry[0], self.tails[tail][0]]
+                b += [entry[1], self.tails[tail][1]]
+            if p not in kept:
+                kept[p] = b"".join(a), b"".join(b)
+
+    def _learn_tail(self, tail: str) -> None:
+        """Ids of punctuation after a letter."""
+        (a, a0), (b, b0) = (side.encode(["a" + tail, "a"]) for side in (self.a, self.b))
+        self.tails[tail] = _ids(a[len(a0):]), _ids(b[len(b0):])
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Plain words, some after a line break, as one text a time."""
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at:at + WORDS_AT_ONCE]
+            text = "".join([w if w[0] == "\n" else " " + w for w in some])
+            # a leading space is the one that both sides add; words after a break come last
+            lead = text[0] == "\n"
+            wanted = (" " * lead + text).encode()
+            ends = np.cumsum([len(w.encode()) + (w[0] != "\n") for w in some]) + lead
+            found = []
+            for side in (self.a, self.b):
+                ids = np.array(side.encode([text if lead else text[1:]])[0], dtype="<u4")
+                upto = np.cumsum(side.sizes[ids])
+                cut = np.searchsorted(upto, ends)
+                good = (len(ids) and b"".join(map(side.spelt.__getitem__, ids.tolist())) == wanted
+                        and (upto[cut] == ends).all() and (not lead or upto[0] == 1))
+                if not good:
+                    break
+                flat, cut = ids.tobytes(), [4 * lead, *(4 * (cut + 1)).tolist()]
+                found.append([flat[x:y] for x, y in zip(cut, cut[1:])])
+            if len(found) < 2:
+                self._learn_each(some)
+            else:
+                self.kept.update(zip(some, zip(*found)))
+
+    def _learn_each(self, parts: list[str]) -> None:
+        """Parts of any kind, one by one; those after a break lose the space added."""
+        a, b = self.a.encode(parts), self.b.encode(parts)
+        for p, x, y in zip(parts, a, b):
+            if p[0] != "\n":
+                self.kept[p] = self._entry(p, x, y)
+            elif self.a.spelt[x[0]] == self.b.spelt[y[0]] == b" ":
+                self.kept[p] = self._entry(p, x, y, drop=1)
+            else:
+                raise ValueError(f"a space and a line break make one token: {p!r}")
+
+    def _entry(self, part: str, a: list[int], b: list[int], drop: int = 0) -> tuple[bytes, bytes]:
+        wanted = b" " + part.encode("utf-8", "surrogatepass")
+        if (b"".join([self.a.spelt[i] for i in a]) != wanted
+                or b"".join([self.b.spelt[i] for i in b]) != wanted):
+            self.odd.add(part)
+        return _ids(a[drop:]), _ids(b[drop:])
 
     def _spells(self, ids: bytes, side: Side, text: str) -> bool:
         joined = b"".join([side.spelt[i] for i in np.frombuffer(ids, "<u4")])
         return joined == b" " + text.encode("utf-8", "surrogatepass")
 
+    def _joined(self, text: str) -> tuple[list[str], list[tuple[bytes, bytes]]]:
+        """Parts of a text with other white space, which stays with its neighbours."""
+        parts = SAFE.split(text) if self.cut else [text]
+        self._learn({p for p in parts if p not in self.kept})
+        loose = [p for p in parts if self.kept[p] is None]
+        found = {p: self._entry(p, a, b) for p, a, b in zip(loose, self.a.encode(loose), self.b.encode(loose))}
+        return parts, [self.kept[p] or found[p] for p in parts]
+
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Per text the ids of both sides as little-endian 32-bit integers;
         none where the tokens do not spell space and text."""
-        if len(self.ids_a) > MAX_KEPT:
-            self.ids_a.clear(), self.ids_b.clear(), self.odd.clear()
-        split = [self._parts(t) if t else [] for t in texts]
-        new = {p for parts in split for p in parts if p not in self.ids_a}
-        self._learn(sorted(new))
+        if len(self.kept) > MAX_KEPT:
+            self.kept, self.older = {}, self.kept
+        if len(self.tails) > MAX_TAILS:
+            self.tails = {"": (b"", b"")}
+        split = [t.split(" ") if t and self.cut else [] for t in texts]
+        kept = self.kept
+        self._learn({p for parts in split for p in parts if p not in kept})
         out = []
         for text, parts in zip(texts, split):
-            a, b = (b"".join(map(table.__getitem__, parts)) for table in (self.ids_a, self.ids_b))
+            found = list(map(kept.__getitem__, parts))
+            if text and (not found or None in found):
+                parts, found = self._joined(text)
+            a, b = b"".join([x for x, _ in found]), b"".join([y for _, y in found])
             if self.odd and not self.odd.isdisjoint(parts) and not (
                     self._spells(a, self.a, text) and self._spells(b, self.b, text)):
                 a = b = b""
             out.append((a, b))
-        for p in new:
-            if len(p) > MAX_KEPT_CHARS:
-                del self.ids_a[p], self.ids_b[p]
-                self.odd.discard(p)
+        for p in self.brief:
+            kept.pop(p, None)
+        self.brief.clear()
         return out
 
     def align(self, texts: list[str | None]) -> list[tuple]:
@@ -221,9 +330,9 @@ class Aligner:
         to_a, to_b = (np.cumsum([len(ids[i][side]) // 4 for i in good]) for side in (0, 1))
         end_a, end_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
         label_a, label_b, _ = terminals(end_a, end_b)
-        i, j = links(end_a, end_b)
+        i, j, upto = links(end_a, end_b)
         pairs = a[i] << 32 | b[j]
-        to_link = np.searchsorted(i, to_a)
+        to_link = upto[to_a - 1]
         text = self._text(a, b, label_a, label_b, to_a, to_b)
         ended = np.cumsum(label_b == len(a) + np.arange(len(b)))[to_b - 1]   # groups ended by then
         ends = [x.tolist() for x in (to_a, to_b, ended, to_link)]
@@ -297,7 +406,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int) -> Data
         def emit():
             lengths = [len(p) for *_, p in held]
             flat = np.concatenate([p for *_, p in held])
-            pairs, place = np.unique(flat, return_inverse=True)
+            place, pairs = pd.factorize(flat)
             total = np.bincount(place, minlength=len(pairs))
             rows = []
             lo = 0

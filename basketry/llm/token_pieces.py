@@ -93,6 +93,15 @@ class Pieces:
                 (table if len(p) <= MAX_KEPT_CHARS else extra)[p] = self.value(e.ids)
         return extra
 
+    def with_space(self, parts: list[str]) -> list:
+        """The value of a space and each part, looked up nowhere and kept nowhere."""
+        found: dict[str, object] = {}
+        found |= self._learn(found, parts, " ")
+        loose = [p for p in parts if found[p] is None]
+        found |= zip(loose, [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(
+            [" " + p for p in loose], add_special_tokens=False)])
+        return [found[p] for p in parts]
+
     def _tail(self, tail: str) -> list[int]:
         """Ids of punctuation that follows a letter."""
         if tail not in self.tails:

@@ -17,6 +17,7 @@ A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piec
 RANKS = {base64.b64decode(a): int(b) for a, b in map(
     bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
 TIK = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+ALIGNER = Aligner(A, B)
 SPM = sentencepiece.SentencePieceProcessor(model_file=B)
 
 
@@ -112,7 +113,8 @@ def test_doubling_finds_the_common_ends(cuts):
     assert (np.unique(label_a, return_inverse=True)[1] == group(a)).all()
     assert (np.unique(label_b, return_inverse=True)[1] == group(b)).all()
     assert rounds <= np.ceil(np.log2(len(a) + len(b))) + 1
-    i, j = links(a, b)
+    i, j, upto = links(a, b)
+    assert (upto == np.searchsorted(i, np.arange(len(a)), side="right")).all()
     low_a, low_b = np.r_[0, a[:-1]], np.r_[0, b[:-1]]
     assert set(zip(i.tolist(), j.tolist())) == {
         (x, y) for x in range(len(a)) for y in range(len(b)) if low_a[x] < b[y] and low_b[y] < a[x]}
@@ -125,6 +127,33 @@ def test_a_long_chain_takes_few_rounds():
     assert len(np.unique(np.r_[label_a, label_b])) == 1 and rounds <= 19
 
 
+LETTERS = ["a", "Be", "été", "ß", "x" * 70, "the", "日本", "5", "e\u0301", "'s", "don't", "ª"]
+MARKS = [" ", " ", " ", "\n", "\n", "  ", "\t", "\r\n", "\u00a0", ".", ",", "!!", "***", ">", "-", "'", "\x1c", "\n\n"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(LETTERS + MARKS), max_size=25).map("".join), max_size=6))
+def test_parts_give_the_ids_of_the_whole(texts):
+    got = ALIGNER.encode(texts)
+    for text, (a, b) in zip(texts, got):
+        sides = spans(text)
+        wanted = [[t for t, *_ in side] for side in sides] if sides else [[], []]
+        assert [np.frombuffer(x, "<u4").tolist() for x in (a, b)] == wanted
+
+
+def test_tables_are_emptied(monkeypatch):
+    """Few parts are remembered; the ids stay the same."""
+    monkeypatch.setattr("basketry.llm.alignment.MAX_KEPT", 5)
+    monkeypatch.setattr("basketry.llm.alignment.MAX_TAILS", 2)
+    own = Aligner(A, B)
+    for round_ in range(6):
+        texts = [f"word{round_} one, two; three! {'y' * 100}.\nFour, five{round_} é?" for _ in range(3)] + ["one two; x."]
+        for text, (a, b) in zip(texts, own.encode(texts)):
+            wanted = [[t for t, *_ in side] for side in spans(text)]
+            assert [np.frombuffer(x, "<u4").tolist() for x in (a, b)] == wanted
+    assert len(own.kept) < 60 and not any(len(p) > 64 for p in own.kept)
+
+
 def test_special_strings_are_plain_text():
     (n_a, n_b, *_), = Aligner(A, B).align(["<|endoftext|></s>"])
     assert n_a > 2 and n_b > 2
