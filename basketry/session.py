@@ -9,11 +9,14 @@ single-node runs); on a cluster a missing setting is an error.
 
 from __future__ import annotations
 
+import atexit
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +48,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (once per session).
+
+    The worker processes import the functions by name, wherever the driver
+    found the package; Spark distributes the archive to every executor.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_basketry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="basketry-", suffix=".zip")
+    atexit.register(os.unlink, path)     # Spark serves it until the driver ends
+    with os.fdopen(fd, "wb") as f, zipfile.ZipFile(f, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("basketry", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._basketry_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set up if needed."""
     sc = spark.sparkContext
@@ -78,19 +103,54 @@ class Workspace:
 
     made: list[str] = []   # run folders of this process, for :func:`drop_since`
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, *, path: str | None = None):
+        """A fresh run folder, or with ``path`` the folder of an earlier run."""
         self.spark = spark
-        base = root or checkpoint_root(spark)
-        self.path = f"{base.rstrip('/')}/basketry-{uuid.uuid4().hex}"
-        Workspace.made.append(self.path)
+        self.reopened = path is not None
+        base = path or root or checkpoint_root(spark)
+        self.path = base if path else f"{base.rstrip('/')}/basketry-{uuid.uuid4().hex}"
+        if self.path not in Workspace.made:
+            Workspace.made.append(self.path)
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
 
+    def read(self, name: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.location(name))
+
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
-        target = self.location(name)
-        df.write.mode("errorifexists").parquet(target)
-        return self.spark.read.schema(df.schema).parquet(target)
+        # what a run that was broken off left half written is written again
+        df.write.mode("overwrite" if self.reopened else "errorifexists").parquet(self.location(name))
+        return self.read(name, df.schema)
+
+    def measured(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """:meth:`materialize`, and aggregates of the rows taken while they are written.
+
+        The metrics ride on the write's own tasks (``Observation``), whose
+        results count once however often a task is tried, so no other job reads
+        the table to count it.
+        """
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        table = self.materialize(df.observe(seen, *[c.alias(m) for m, c in metrics.items()]), name)
+        return table, seen.get
+
+    def note(self, name: str, text: str) -> None:
+        """A small file beside the tables, replaced as a whole."""
+        fs, path = _file(self.spark, self.location(name))
+        draft = path.suffix(".draft")
+        out = fs.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        fs.delete(path, False)
+        fs.rename(draft, path)
+
+    def noted(self, name: str) -> str | None:
+        """The text of :meth:`note`; None if it was never written."""
+        fs, path = _file(self.spark, self.location(name))
+        for at in (path, path.suffix(".draft")):     # a draft is whole once the old note is gone
+            if fs.exists(at):
+                return "\n".join(r[0] for r in self.spark.read.text(at.toString()).collect())
+        return None
 
     def drop(self) -> None:
         """Delete the run folder (call once its results are consumed).
@@ -104,9 +164,14 @@ class Workspace:
             Workspace.made.remove(self.path)
 
 
+def _file(spark: SparkSession, location: str) -> tuple:
+    """The Hadoop file system of a location, and its path there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, path = _file(spark, folder)
     fs.delete(path, True)
 
 
@@ -120,17 +185,16 @@ def small_side(df: DataFrame, name: str, broadcast_rows: int | None,
                workspace: Workspace | None = None) -> tuple[DataFrame, bool]:
     """Write a join side once; the written table, and whether it may be broadcast.
 
-    Rows and bytes are taken in one aggregate over the written table (a plain
-    partial aggregate, nothing is limited into one task), and the caller reads
-    that table, so the side is computed once.
+    Rows and bytes are taken while it is written, and the caller reads the
+    written table, so the side is computed once and no job only measures it.
     """
-    side = (workspace or Workspace(df.sparkSession)).materialize(df, name)
+    ws = workspace or Workspace(df.sparkSession)
     if not broadcast_rows or broadcast_rows <= 0:
-        return side, False
+        return ws.materialize(df, name), False
     size = F.lit(0)
-    for f in side.schema.fields:
+    for f in df.schema.fields:
         fixed = isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))
         size = size + (F.lit(8) if fixed else F.coalesce(
             F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + F.lit(8))
-    row = side.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("b")).first()
-    return side, row["n"] <= broadcast_rows and (row["b"] or 0) <= BROADCAST_BYTES
+    side, seen = ws.measured(df, name, n=F.count(F.lit(1)), b=F.sum(size.cast("bigint")))
+    return side, seen["n"] <= broadcast_rows and (seen["b"] or 0) <= BROADCAST_BYTES
