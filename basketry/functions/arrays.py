@@ -31,9 +31,18 @@ def items_text(items: Column | str, sep: str = ITEM_SEPARATOR) -> Column:
 
 def parse_items(text: Column | str, sep: str = ITEM_SEPARATOR,
                 item_type: T.DataType = T.IntegerType()) -> Column:
-    """``'1;5;9'`` -> ``[1, 5, 9]`` (ANSI casts raise on junk)."""
+    """``'1;5;9'`` -> ``[1, 5, 9]``; an item that cannot be read raises."""
     return F.transform(F.split(_col(text), _regex_literal(sep), -1),
-                       lambda x: x.cast(item_type))
+                       lambda x: cast_or_raise(x, item_type, "item"))
+
+
+def cast_or_raise(text: Column, as_type: T.DataType, what: str) -> Column:
+    """``text`` as another type; raises on what cannot be read, whatever the ANSI setting."""
+    if isinstance(as_type, T.StringType):
+        return text
+    found = text.try_cast(as_type)
+    bad = F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(text, F.lit("(none)"))))
+    return F.when(found.isNull(), bad).otherwise(found)
 
 
 def _regex_literal(sep: str) -> str:

@@ -43,6 +43,7 @@ from basketry.sources.reports import (
     write_itemset_table,
     write_lines,
 )
+from basketry.sources.streamed import write_itemset_report
 from basketry.sources.text import read_entities_text, read_measurements_text
 
 
@@ -76,15 +77,18 @@ def itemset_job(spark: SparkSession, measurements_path: str, entities_path: str,
                 categories: Iterable[str] = DEFAULT_CATEGORY_LIST,
                 distinct: bool = False, single_file: bool = False,
                 item_type: T.DataType = T.IntegerType(),
-                table_path: str | None = None) -> ItemsetJobResult:
+                table_path: str | None = None, streamed: bool = False) -> ItemsetJobResult:
     """Job 2: frequent sets of strong items (``>= cutoff``) of qualifying entities.
 
     ``distinct=False`` counts duplicates like the reference; ``True`` treats
     every basket as a set. Items are integers unless ``item_type`` says
     otherwise. ``table_path`` also writes the sets as a table, one row each,
     for :func:`rule_job`: a report line holds all sets of one support, which at
-    scale is more than one task should build.
+    scale is more than one task should build. ``streamed`` writes the report set
+    by set, so that no task holds a line (see :mod:`basketry.sources.streamed`).
     """
+    if streamed and single_file:
+        raise ValueError("a streamed report is written in parts")
     m = read_measurements_text(spark, measurements_path, item_type=item_type)
     e = read_entities_text(spark, entities_path)
     tx = transactions(m, e, cutoff=cutoff, inclusive=True,
@@ -92,7 +96,10 @@ def itemset_job(spark: SparkSession, measurements_path: str, entities_path: str,
     mined = frequent_itemsets(tx, min_support, max_size)
     if table_path:
         write_itemset_table(mined.itemsets, table_path)
-    write_lines(itemset_report_lines(mined.itemsets), output_path, single_file=single_file)
+    if streamed:
+        write_itemset_report(mined.itemsets, output_path)
+    else:
+        write_lines(itemset_report_lines(mined.itemsets), output_path, single_file=single_file)
     return ItemsetJobResult(mined, output_path, table_path)
 
 

@@ -3,8 +3,7 @@
 Written independently of the Spark plans: frequent sets of size k are a
 k-way self-join of the transactions on ``tid`` with ascending items,
 ``GROUP BY`` the items, ``HAVING sum(weight of the first item) >=
-threshold``; rules are a containment join of the frequent-set table with
-itself. Float discipline matches the Spark side: values and confidences
+threshold``; rules join every set's subsets, by bitmask, with the sets. Float discipline matches the Spark side: values and confidences
 compared as FLOAT, the support ratio taken as a DOUBLE literal and the
 threshold truncated (SQL literals like ``0.2`` are decimals otherwise).
 """
@@ -98,7 +97,7 @@ def _freq(distinct: bool, max_size: int) -> str:
 l1 AS ({_level(1)}
 ),
 txf AS (SELECT * FROM tx WHERE item IN (SELECT items[1] FROM l1)),
-freq AS (
+freq AS MATERIALIZED (
   {levels}
 )"""
 
@@ -106,13 +105,17 @@ freq AS (
 def _rules(min_conf: float | None) -> str:
     where = "" if min_conf is None else f"WHERE conf >= CAST({min_conf!r} AS FLOAT)"
     return f"""
+subs AS (
+  SELECT items, support,
+         list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 1) AS ant
+  FROM (SELECT items, support, unnest(generate_series(1, (1 << k) - 2)) AS mask
+        FROM freq WHERE k >= 2)
+),
 rules AS (
-  SELECT r.items AS ant,
-         list_filter(s.items, lambda x: NOT list_contains(r.items, x)) AS cons,
+  SELECT s.ant, list_filter(s.items, lambda x: NOT list_contains(s.ant, x)) AS cons,
          s.support, r.support AS antecedent_support,
          CAST(CAST(s.support AS FLOAT) / CAST(r.support AS FLOAT) AS FLOAT) AS conf
-  FROM freq s JOIN freq r ON r.k < s.k AND list_has_all(s.items, r.items)
-  WHERE s.k >= 2
+  FROM subs s JOIN freq r ON r.items = s.ant
 ),
 kept AS (SELECT * FROM rules {where})"""
 
@@ -206,6 +209,7 @@ SELECT support, CAST(count(*) AS BIGINT) AS n_sets,
        string_agg(array_to_string(items, ';'), chr(9) ORDER BY k, items) AS line
 FROM freq GROUP BY support""",
         "report_sink": f"WITH {d5.strip()} {REPORT_LINES}",
+        "report_streamed": f"WITH {d5.strip()} {REPORT_LINES}",
         "report_parse": f"WITH {d5.strip()} {SETS_OUT}",
         "itemset_max_size": f"WITH {d5.strip()} SELECT max(k) AS max_k FROM freq",
         "proper_subsets": f"""
@@ -246,6 +250,7 @@ SELECT array_to_string(list_sort(list_transform(ant, lambda x: 'Brand#' || x)),
        array_to_string(list_sort(list_transform(cons, lambda x: 'Brand#' || x)), ';') AS consequent,
        support, antecedent_support, CAST(conf AS DOUBLE) AS confidence
 FROM kept""",
+        "rules_grown": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "rules_from_table": f"WITH {d5.strip()},{_rules(fx.FB_MIN_CONFIDENCE).strip()} {RULES_OUT}",
         "strong_filter_gt_tie": f"""
 SELECT l_partkey AS tid, l_extendedprice AS value FROM lineitem

@@ -34,6 +34,7 @@ from basketry.operators.mining import FrequentItemsets, frequent_itemsets, order
 from basketry.operators.reports import itemset_report_lines
 from basketry.operators.rules import (
     association_rules,
+    grown_rules,
     order_rules,
     proper_subsets,
     rule_report_lines,
@@ -47,6 +48,7 @@ from basketry.sources.reports import (
     write_itemset_table,
     write_lines,
 )
+from basketry.sources.streamed import write_itemset_report
 from basketry.sources.text import (
     read_entities_text,
     read_measurements_text,
@@ -256,6 +258,14 @@ def report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(_write_report(spark, sf_dir)).select(F.col("value").alias("line"))
 
 
+def report_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report again, written set by set."""
+    mined = _mine(spark, sf_dir, fx.FB_MAX_SIZE, True)
+    path = mined.workspace.location("streamed-report")
+    write_itemset_report(mined.itemsets, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sets_out(read_itemset_report(spark, _write_report(spark, sf_dir),
                                          item_type=T.IntegerType()))
@@ -291,6 +301,12 @@ def rules_confident(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules_out(association_rules(sets, fx.FB_MIN_CONFIDENCE))
 
 
+def rules_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The confident rules again, from growing consequents."""
+    mined = _mine(spark, sf_dir, fx.FB_MAX_SIZE, True)
+    return _rules_out(grown_rules(mined.itemsets, fx.FB_MIN_CONFIDENCE, workspace=mined.workspace))
+
+
 def rules_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = _mine(spark, sf_dir, fx.FB_MAX_SIZE, True).itemsets
     return _rules_out(order_rules(association_rules(sets, fx.FB_MIN_CONFIDENCE)))
@@ -409,11 +425,13 @@ QUERIES: dict[str, Query] = {
     "frequent_itemsets_bag": frequent_itemsets_bag,
     "itemset_report_lines": itemset_report_lines_q,
     "report_sink": report_sink,
+    "report_streamed": report_streamed,
     "report_parse": report_parse,
     "itemset_max_size": itemset_max_size,
     "proper_subsets": proper_subsets_q,
     "rules_all": rules_all,
     "rules_confident": rules_confident,
+    "rules_grown": rules_grown,
     "rules_ordered": rules_ordered,
     "rules_bag": rules_bag,
     "rule_report_lines": rule_report_lines_q,

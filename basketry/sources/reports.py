@@ -8,11 +8,11 @@ Report formats (fixed by the reference):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.arrays import ITEM_SEPARATOR, SET_SEPARATOR, parse_items
+from basketry.functions.arrays import ITEM_SEPARATOR, SET_SEPARATOR, cast_or_raise, parse_items
 
 
 def write_lines(lines: DataFrame, path: str, *, single_file: bool = False,
@@ -36,18 +36,40 @@ def read_itemset_report(spark: SparkSession, path: str, *,
 
     Reads every part file under ``path`` (the reference reads only the
     first). Each line yields one row per set it lists, its items in the order
-    listed. Ids stay text unless ``item_type`` says otherwise.
+    listed. Ids stay text unless ``item_type`` says otherwise. A support or an
+    item that cannot be read raises, whatever the session's ANSI setting.
+
+    The text is scanned by tab, not by line, so a line of any length is many
+    rows, in as many tasks as the file has splits. What lies between two tabs is
+    a set or, around a line end, the last set of a line and the next line's
+    support. A set's support is the last one before it: within its split, or
+    else the last of the splits before, of which each has one row.
     """
-    fields = spark.read.text(path).select(
-        F.split(F.col("value"), SET_SEPARATOR, -1).alias("f"))
-    sets = fields.select(
-        F.col("f")[0].cast(T.LongType()).alias("support"),
-        F.explode(F.slice(F.col("f"), 2, F.size(F.col("f")) - 1)).alias("set_text"),
-    )
-    return sets.select(
-        parse_items("set_text", ITEM_SEPARATOR, item_type).alias("items"),
-        F.col("support"),
-    ).select("items", F.size("items").alias("k"), "support")
+    rows = spark.read.option("lineSep", SET_SEPARATOR).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.split("value", "\r?\n", -1).alias("parts"))
+    split = ["file", "block"]
+    ends_line = F.size("parts") > 1
+    end = F.element_at("parts", -1)
+
+    # the support a split hands on; a file begins with one
+    handed = rows.groupBy(*split).agg(F.coalesce(
+        F.max_by(F.when(ends_line, end), F.when(ends_line, F.col("at"))),
+        F.min_by(F.when(F.col("block") == 0, end), "at")).alias("handed"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = handed.select(*split, F.last("handed", ignorenulls=True).over(before).alias("carried"))
+
+    inside = Window.partitionBy(*split).orderBy("at")
+    first = (F.col("block") == 0) & (F.row_number().over(inside) == 1)
+    seen = rows.withColumn("first", first)
+    seen = seen.withColumn("own", F.last(F.when(ends_line | F.col("first"), end), ignorenulls=True).over(
+        inside.rowsBetween(Window.unboundedPreceding, -1)))
+    between = F.slice("parts", 2, F.greatest(F.size("parts") - 2, F.lit(0)))   # lines without any set
+    checked = F.forall(between, lambda x: cast_or_raise(x, T.LongType(), "support").isNotNull())
+    return (seen.join(carried, split).where(~F.col("first") & checked)
+            .select(parse_items(F.get("parts", F.lit(0)), ITEM_SEPARATOR, item_type).alias("items"),
+                    cast_or_raise(F.coalesce("own", "carried"), T.LongType(), "support").alias("support"))
+            .select("items", F.size("items").alias("k"), "support"))
 
 
 def write_itemset_table(itemsets: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
