@@ -20,13 +20,14 @@ from basketry.llm.common import crc_mod
 from basketry.llm.decontamination import contamination
 from basketry.llm.exact_dedup import exact_dedup
 from basketry.llm.language_id import language_id, prototypes
-from basketry.llm.line_dedup import MIN_SITES, line_dedup
+from basketry.llm.line_dedup import LONG_MIN_SITES, LONG_WORDS, MIN_SITES, line_dedup
 from basketry.llm.lm_scoring import lm_scores
 from basketry.llm.packing import pack
 from basketry.llm.quality import quality_scores, train
 from basketry.llm.simhash import near_dedup
 from basketry.llm.token_counts import token_counts
-from basketry.llm.url_filter import MAX_BAD_RATE, MAX_RHO, MIN_RHO, NO_RHO, Z, url_filter
+from basketry.llm.url_filter import (
+    MAX_BAD_RATE, MAX_RHO, MIN_RHO, NO_RHO, TWO_LABEL_SUFFIXES, Z, url_filter)
 
 VOCABULARY = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -176,6 +177,15 @@ def _clustering() -> str:
         from kept join a{last} using (r) join own using (c) join digest using (c)"""
 
 
+def _domain_and_suffix(host: str) -> str:
+    """The registered domain and the public suffix of a host, as two columns."""
+    two = f"array_to_string(string_split({host}, '.')[-2:], '.')"
+    three = f"array_to_string(string_split({host}, '.')[-3:], '.')"
+    listed = f"{two} in ({', '.join(repr(x) for x in TWO_LABEL_SUFFIXES)})"
+    return (f"case when {listed} then {three} else {two} end as domain, "
+            f"case when {listed} then {two} else string_split({host}, '.')[-1] end as suffix")
+
+
 ORACLE_SQL: dict[str, str] = {
     "op11_centroid_clustering": _clustering(),
     # pairs that share a shingle, counted; a pair under the size bound can't link
@@ -222,7 +232,8 @@ ORACLE_SQL: dict[str, str] = {
                           generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
         k as (select *, trim(line, ' ' || chr(9) || chr(13)) as key from l),
         bad as (select key, min((doc_id, pos)) as first from k where key <> ''
-                group by key having count(distinct source) >= {MIN_SITES}),
+                group by key having count(distinct source) >= case when len(regexp_split_to_array(
+                    key, '[ \\t\\r]+')) >= {LONG_WORDS} then {LONG_MIN_SITES} else {MIN_SITES} end),
         j as (select doc_id, pos, line, first is not null and (doc_id, pos) <> first as gone
               from k left join bad using (key)),
         c as (select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
@@ -245,14 +256,12 @@ ORACLE_SQL: dict[str, str] = {
         o as (select host, count(*) as n,
                      count(*) filter (coalesce(quality = 0, false) or coalesce(toxic = 1, false)) as bad
               from p join labels on page_id = doc_id group by host),
-        h as (select *, array_to_string(string_split(host, '.')[-2:], '.') as domain,
-                     string_split(host, '.')[-1] as suffix from o),
+        h as (select *, {_domain_and_suffix("host")} from o),
         s as (select suffix, sum(n) as n, sum(bad) as bad from h group by suffix),
         dm as (select domain, sum(n) as n, sum(bad) as bad from h group by domain),
         {_level("s")}, {_level("dm")}, {_level("h")},
         a as (select coalesce(sum(bad) / sum(n), 0) as overall from h),
-        every as (select host, array_to_string(string_split(host, '.')[-2:], '.') as domain,
-                         string_split(host, '.')[-1] as suffix from (select distinct host from p)),
+        every as (select host, {_domain_and_suffix("host")} from (select distinct host from p)),
         m as (select every.host, coalesce(h.n, 0) as n, h_k.k as k,
                      (h_k.k * ((dm_k.k * ((s_k.k * overall + coalesce(s.bad, 0)) / (s_k.k + coalesce(s.n, 0)))
                                 + coalesce(dm.bad, 0)) / (dm_k.k + coalesce(dm.n, 0)))

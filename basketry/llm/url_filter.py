@@ -30,7 +30,7 @@ from basketry.llm.common import Scratch, columns
 MAX_BAD_RATE = 0.5
 Z = 1.6449          # one-sided 95 % of the normal approximation to the posterior
 MIN_RHO, MAX_RHO, NO_RHO = 0.001, 0.5, 0.01   # bounds and fallback of the correlation
-# public suffixes of two labels; every other suffix is the last label
+# default public suffixes of two labels; every other suffix is the last label
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz",
                       "co.jp", "ne.jp", "or.jp", "com.br", "com.cn", "co.in", "co.kr", "com.mx")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,14 +46,14 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two)
 
 
 def rule_match(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -85,7 +85,8 @@ def _strength(groups: DataFrame) -> float:
     return (1 - rho) / rho
 
 
-def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch) -> DataFrame:
+def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch,
+               suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``(host, bad_rate, bound)`` of every distinct host of ``hosts (host)``.
 
     ``outcomes (host, bad)``: one row per labelled page, ``bad`` 0 or 1.
@@ -94,7 +95,7 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch) -> DataF
     counts = scratch.keep(
         outcomes.where("bad is not null").groupBy("host")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").cast("bigint").alias("bad"))
-        .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))),
+        .withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes)),
         "host-outcomes")
     total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = total["bad"] / total["n"] if total["n"] else 0.0
@@ -112,7 +113,7 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch) -> DataF
         return F.coalesce(F.col(f"{name}_n"), F.lit(0)), F.coalesce(F.col(f"{name}_bad"), F.lit(0))
 
     every = (hosts.select("host").distinct()
-             .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+             .withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes))
              .join(shrunk(suffixes, "suffix", "s"), "suffix", "left")
              .join(shrunk(domains, "domain", "d"), "domain", "left")
              .join(shrunk(counts, "host", "h"), "host", "left"))
@@ -126,17 +127,22 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch) -> DataF
 
 
 def url_filter(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]], *,
-               max_bad_rate: float = MAX_BAD_RATE, id_col: str = "page_id", url_col: str = "url",
+               max_bad_rate: float = MAX_BAD_RATE,
+               suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES, id_col: str = "page_id", url_col: str = "url",
                outcome_url_col: str = "url", bad_col: str = "bad",
                scratch: Scratch | None = None) -> DataFrame:
-    """``(page_id, host, path, rule, verdict, bad_rate, bound)`` of every row."""
+    """``(page_id, host, path, rule, verdict, bad_rate, bound)`` of every row.
+
+    ``suffixes`` are the public suffixes of two labels, below which the registered
+    domain has three.
+    """
     scratch = scratch or Scratch(pages.sparkSession)
     url = F.col(f"`{url_col}`")
     rows = columns(pages, page_id=id_col, host=F.coalesce(host_of(url), F.lit("")),
                    path=F.coalesce(path_of(url), F.lit("")))
     labelled = columns(outcomes, host=F.coalesce(host_of(F.col(f"`{outcome_url_col}`")), F.lit("")),
                        bad=F.col(f"`{bad_col}`").cast("int"))
-    known = scratch.keep(reputation(rows, labelled, scratch), "reputation")
+    known = scratch.keep(reputation(rows, labelled, scratch, suffixes), "reputation")
     rule, says = rule_match(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") > max_bad_rate, F.lit("block")).otherwise(F.lit("allow"))
     return (rows.join(known, "host", "left")

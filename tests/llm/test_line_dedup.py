@@ -6,8 +6,11 @@ from basketry.llm import line_dedup as module
 from basketry.llm.line_dedup import line_dedup, margin
 
 
-def brute(rows, min_sites):
+def brute(rows, min_sites, long_words=20, long_sites=3):
     """rows: (doc_id, text, source)."""
+    def need(key):
+        return long_sites if len(key.replace("\t", " ").replace("\r", " ").split()) >= long_words else min_sites
+
     sites, first = {}, {}
     for i, t, s in rows:
         for pos, line in enumerate(t.split("\n") if t is not None else []):
@@ -23,7 +26,7 @@ def brute(rows, min_sites):
             continue
         lines = t.split("\n")
         kept = [x for pos, x in enumerate(lines)
-                if not (k := x.strip(" \t\r")) or len(sites[k]) < min_sites or first[k] == (i, pos)]
+                if not (k := x.strip(" \t\r")) or len(sites[k]) < need(k) or first[k] == (i, pos)]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return sorted(out, key=str)
 
@@ -80,3 +83,23 @@ def test_nothing_and_repeated_rows(spark):
     rows = [(1, "a\nb", "x"), (1, "a\nb", "x"), (2, "a\nc", "y"), (3, "a", "z")]
     got = line_dedup(frame(spark, rows), min_sites=2)
     assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, "a\nb"), (1, "a\nb"), (2, "c"), (3, "")]
+
+
+def test_long_lines_need_fewer_sites(spark):
+    """A passage in 10 to 20 documents, a third of all rows on one hot site."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for p in range(12):
+        passage = " ".join(f"p{p}w{j}" for j in range(52 + p))
+        for _ in range(int(rng.integers(10, 21))):
+            site = "hot" if rng.random() < 1 / 3 else f"s{int(rng.integers(0, 20))}"
+            rows.append((len(rows), f"own {len(rows)}\n{passage}\nshort line {p}", site))
+    rows += [(len(rows) + i, " ".join(f"w{j}" for j in range(19)), f"s{i}") for i in range(4)]       # a word short
+    rows += [(len(rows) + i, "\t".join(f"v{j}" for j in range(20)) + "\r", f"s{i % 2}") for i in range(6)]   # two sites
+    rows += [(len(rows) + i, " \t ".join(f"u{j}" for j in range(20)), f"s{i % 3}") for i in range(6)]   # three
+    got = sorted((tuple(r) for r in line_dedup(frame(spark, rows), counts=True).collect()), key=str)
+    assert got == brute(rows, 10)
+    left = [t for _, _, _, t in got]
+    assert all(sum(f"p{p}w0 " in t for t in left) == 1 for p in range(12))
+    assert sum(t.startswith("w0 ") for t in left) == 4 and sum(t.startswith("v0\t") for t in left) == 6
+    assert sum(t.startswith("u0 ") for t in left) == 1

@@ -103,6 +103,19 @@ def test_two_label_suffixes(spark):
     assert [r[4] for r in got] == ["block", "allow"]
 
 
+def test_suffixes_are_a_parameter(spark):
+    outcomes = [("http://a.x.com.tr/", 1)] * 60 + [("http://b.y.com.tr/", 0)] * 60
+    pages = [(1, "http://new.x.com.tr/"), (2, "http://new.y.com.tr/")]
+    assert [r[4] for r in run(spark, pages, outcomes)] == ["allow", "allow"]      # one domain, com.tr
+    assert [r[4] for r in run(spark, pages, outcomes, suffixes=("com.tr",))] == ["block", "allow"]
+
+
+def test_repeated_pages(spark):
+    pages = [(1, "http://a.com/"), (1, "http://a.com/"), (2, "http://x.net/"), (None, "http://a.com/")]
+    got = [(r[0], r[4]) for r in run(spark, pages, [("http://a.com/", 1)] * 90 + [("http://b.org/", 0)] * 90)]
+    assert got == [(None, "block"), (1, "block"), (1, "block"), (2, "block")]
+
+
 def test_without_outcomes_and_without_pages(spark):
     pages = list(enumerate(URLS))
     assert {r[4] for r in run(spark, pages, []) if r[3] is None} == {"allow"}
