@@ -11,7 +11,7 @@ exact table. The texts of every group are last compared byte by byte.
 
 Filters travel to the digests of their bucket, never to the driver and never
 whole to a task. The number of buckets follows the number of digests, which
-are uniform, so a bucket stays near ``BUCKET_DIGESTS``.
+are uniform, so a bucket stays near ``BUCKET_DIGESTS`` of either part.
 
 Rows: null text counts as empty, empty texts are equal to each other, repeated
 rows (same id) count each and all rows of the largest id stay, a null id is
@@ -20,16 +20,13 @@ below any other, an empty table gives no rows, other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.membership import maybe_in
-from basketry.llm.common import Scratch, ascii_lower, documents, ship
+from basketry.llm.common import Scratch, documents, ship
 
 BUCKET_DIGESTS = 100_000
 HASHES = 3
@@ -122,18 +119,13 @@ def probe(keys: np.ndarray, seed: int, length: int, starts: int, table: bytes) -
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, digest)``: SHA-256 of the normalised text, as lowercase hex."""
-    ship(docs.sparkSession)
-    rows = documents(docs, id_col, text_col)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return documents(docs, id_col, text_col).select("doc_id", F.sha2(normalised("text"), 256).alias("digest"))
 
-    def digest(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([hashlib.sha256(ascii_lower(t)).hexdigest()
-                                        for t in b.column(1).to_pylist()], pa.string())],
-                ["doc_id", "digest"])
 
-    return rows.mapInArrow(digest, f"doc_id {id_type}, digest string")
+def normalised(text: str) -> Column:
+    """A text with A-Z lower-cased; null is empty."""
+    return F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+                       "abcdefghijklmnopqrstuvwxyz")
 
 
 def _bucketed(groups: DataFrame, n_buckets: int) -> DataFrame:
@@ -143,12 +135,17 @@ def _bucketed(groups: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def snapshot(rows: DataFrame, scratch: Scratch, name: str = "snapshot",
-             bucket_digests: int = BUCKET_DIGESTS) -> tuple[DataFrame, DataFrame, int]:
-    """Exact table, filters and number of buckets of ``(doc_id, digest)`` rows."""
+             bucket_digests: int = BUCKET_DIGESTS, incoming: int = 0) -> tuple[DataFrame, DataFrame, int]:
+    """Exact table, filters and number of buckets of ``(doc_id, digest)`` rows.
+
+    A bucket holds about ``bucket_digests`` digests at most, of the snapshot and
+    of ``incoming`` others, so a small snapshot does not bring a batch together.
+    """
+    ship(rows.sparkSession)
     groups = scratch.keep(
         rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n")),
         f"{name}-groups")
-    n_buckets = 1 + groups.count() // bucket_digests
+    n_buckets = 1 + max(groups.count(), incoming) // bucket_digests
     exact = _bucketed(groups, n_buckets)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -192,10 +189,11 @@ def exact_dedup(docs: DataFrame, in_snapshot, *, bucket_digests: int = BUCKET_DI
     rows = scratch.keep(
         digests(docs, id_col, text_col).withColumn("old", F.coalesce(in_snapshot, F.lit(False))),
         "digests")
-    exact, filters, n_buckets = snapshot(rows.where("old"), scratch, bucket_digests=bucket_digests)
     batch = scratch.keep(
         rows.where(~F.col("old")).groupBy("digest").agg(
             F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n")), "batch-groups")
+    exact, filters, n_buckets = snapshot(rows.where("old"), scratch, bucket_digests=bucket_digests,
+                                         incoming=batch.count())
     maybe = screen(batch, filters, n_buckets)
     # positives join the exact bucket table; false positives fall out here
     both = (batch.join(maybe, "digest", "left_semi")
@@ -227,9 +225,7 @@ def _check_bytes(docs: DataFrame, members: DataFrame) -> None:
     many copies it has. A bitmap of the members' ids keeps most other texts
     out. Unequal texts of one SHA-256 stop the run.
     """
-    norm = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                       "abcdefghijklmnopqrstuvwxyz")
-    texts = maybe_in(docs, members, "doc_id").select(norm.alias("norm"))
+    texts = maybe_in(docs, members, "doc_id").select(normalised("text").alias("norm"))
     wrong = (texts.groupBy(F.sha2("norm", 256).alias("digest"))
              .agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
              .where("low <> high").agg(F.count(F.lit(1)).alias("n")).first()["n"])

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.llm import exact_dedup as exact_dedup_module
 from basketry.llm.exact_dedup import build_filter, exact_dedup, probe
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 100, 5000, 120_000])
@@ -55,3 +56,29 @@ def test_empty_parts(spark):
 def test_repeated_ids(spark):
     rows = [(1, "a"), (1, "a"), (1, "b"), (2, "b"), (2, "a")]
     assert run(spark, rows) == brute(rows)
+
+
+def test_a_small_snapshot_does_not_gather_the_batch(spark, monkeypatch):
+    """50 digests in the snapshot, 3000 incoming: no task probes more than a bucket's worth."""
+    rows = [(2 * i, f"old {i}") for i in range(50)] + [(2 * i + 1, f"new {i}") for i in range(2950)]
+    rows += [(2 * i + 101, f"OLD {i}") for i in range(50)]
+    screen = exact_dedup_module.screen
+    largest = []
+
+    def watched(groups, filters, n_buckets):
+        largest.append(exact_dedup_module._bucketed(groups, n_buckets).groupBy("bucket").count().agg(
+            F.max("count")).first()[0])
+        return screen(groups, filters, n_buckets)
+
+    monkeypatch.setattr(exact_dedup_module, "screen", watched)
+    assert run(spark, rows, bucket_digests=100) == brute(rows)
+    assert 0 < largest[0] < 200
+
+
+def test_null_ids(spark):
+    rows = [(None, "a"), (None, "A"), (3, "a"), (None, "only"), (None, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(
+        df, F.col("doc_id") % 2 == 0).collect()), key=repr)
+    assert got == sorted([(None, 3, 3, False), (None, 3, 3, False), (3, 3, 3, True), (None, None, 1, True),
+                          (None, 4, 2, False), (4, 4, 2, True)], key=repr)
