@@ -183,7 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS,
           label_id_col: str = "doc_id", label_col: str = "quality",
           scratch: Scratch | None = None) -> Model | None:
     """Fit on the first ``fit_docs`` labelled documents by a hash of the id, or as
-    many as it takes to have ``fit_passages`` passages; each with all its passages.
+    many as have ``fit_passages`` passages together at most; each with all its
+    passages, so one that has more by itself is not fitted on (it is scored).
 
     ``labels`` must hold training rows only. None if there are none.
     """
@@ -201,8 +202,10 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS,
     sample = (scratch or Scratch(docs.sparkSession)).keep(sample, "fit-sample")
     before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     size = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE))
-    first = (sample.select("doc_id", size.alias("n")).withColumn("before", F.sum("n").over(before))
-             .where(F.coalesce("before", F.lit(0)) < fit_passages).select("doc_id"))
+    # a document that would pass the bound stays out, whole, and so does one over it by itself
+    first = (sample.select("doc_id", size.alias("n")).where(F.col("n") <= fit_passages)
+             .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+             .where(F.col("before") + F.col("n") <= fit_passages).select("doc_id"))
     sample = sample.join(F.broadcast(first), "doc_id")     # at most fit_docs ids again
 
     def features(batches):

@@ -176,5 +176,19 @@ def test_quality_is_fitted_on_every_passage_of_a_document(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "x" * (512 * 600 + 1)) for i in range(4)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id bigint, quality int")
     train(docs, labels)
-    train(docs, labels, fit_passages=602)
-    assert seen == [[601] * 4, [601] * 2]
+    train(docs, labels, fit_passages=1202)
+    train(docs, labels, fit_passages=1201)
+    assert seen == [[601] * 4, [601] * 2, [601]]
+
+
+def test_quality_fit_never_passes_its_bound(spark, monkeypatch):
+    """One labelled text larger than the bound is not fitted on; the others are."""
+    seen = fitted(monkeypatch)
+    docs = spark.createDataFrame([(i, "x" * (512 * (1000 if i == 3 else 2))) for i in range(8)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id bigint, quality int")
+    train(docs, labels, fit_passages=100)
+    assert seen == [[2] * 7]
+    train(docs, labels, fit_passages=5)
+    assert seen[1] == [2, 2]
+    assert train(docs, labels, fit_passages=1) is None and len(seen) == 2
