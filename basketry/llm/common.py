@@ -1,4 +1,4 @@
-"""Helpers the operators share: shipping the package, scratch tables, docs in.
+"""Helpers the operators share: scratch tables, docs in.
 
 Scratch tables are Parquet files in a folder of their own per run under the
 shared checkpoint folder of the session (see ``basketry.session``); reading
@@ -7,38 +7,34 @@ them back cuts the lineage, so a lost executor costs a re-read.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import Workspace
+from basketry.session import Workspace, ship  # noqa: F401  (ship: for the operators)
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package (once per session).
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The worker processes import the functions by name, wherever the driver
-    found the package; Spark distributes the archive to every executor.
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go when their table is whole.
+
+    Nothing reads them again, as the written table takes their place; without
+    this they stay until the driver happens to collect what refers to them.
     """
-    sc = spark.sparkContext
-    if getattr(sc, "_basketry_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    fd, path = tempfile.mkstemp(prefix="basketry-", suffix=".zip")
-    with os.fdopen(fd, "wb") as f, zipfile.ZipFile(f, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.join("basketry", os.path.relpath(full, root)))
-    sc.addPyFile(path)
-    sc._basketry_shipped = True
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
 
 
 class Scratch(Workspace):
@@ -50,7 +46,8 @@ class Scratch(Workspace):
         writer = df.write.option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(target)
+        with freed_shuffles(self.spark):
+            writer.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
 
