@@ -27,6 +27,7 @@ from basketry.llm.line_dedup import line_dedup
 from basketry.llm.packing import pack
 from basketry.llm.quality import quality_filter, train
 from basketry.llm.simhash import near_dedup
+from basketry.session import drop_since
 
 #: SQL cannot state the classifier, SimHash linking or packing; tests hold the
 #: stages against brute force instead.
@@ -100,9 +101,18 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table; the packed pieces."""
-    scratch = Scratch(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the whole ``documents`` table; the packed pieces.
+
+    A stage's intermediate tables go when its result is written, and that
+    result when the next one is; the last stays for the pieces to be read.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        result = Scratch(spark)
+        made = len(Scratch.made)
+        docs = result.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_since(spark, made)
+        if last is not None:
+            last.drop()
+        last = result
     return STAGES[-1][1](spark, docs, sf_dir)
