@@ -83,7 +83,7 @@ SPARSE_LEVEL = 0.5          # ``prune=None`` prunes when a level holds at most t
 DEFAULT_ROWS_PER_TASK = 1_000_000   # candidates one class row may yield before it is split
 COMBINED_SETS = 1_000_000   # candidates of a level that is counted along with the one below
 COMBINED_ROWS = 2_000_000   # candidate rows a task may yield in a pass that combines levels
-MAX_COMBINED = 4            # levels a pass counts at most
+MAX_COMBINED = vertical.MAX_TAKEN   # levels a pass counts at most
 BLOCKS_LOG2 = 11            # blocks of the bitmap for sets beyond the broadcast bounds
 BLOCK_BITS = 1 << 16        # bits of each: 16 MB in all, whatever the number of sets
 NOTE = "passes"
@@ -370,6 +370,9 @@ class _Run:
         work = self.seen("baskets")
         if self.vertical:
             classes = vertical.first_classes(baskets.select(F.col("pairs")["item"].alias("items")), self.item)
+            if vertical.is_light(self.counts()[0], rows_per_task):
+                return (classes.withColumns({"part": F.lit(0), "parts": F.lit(1)}),
+                        vertical.bound(self.counts()[0], work["n"]))
             return self.dealt(classes, 2, rows_per_task)
         classes = (baskets.select("tid", F.col("pairs")["item"].alias("tail"), F.col("pairs")["m"].alias("weights"))
                    .where(F.size("tail") >= 2))

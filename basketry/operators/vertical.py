@@ -26,6 +26,7 @@ repeated transactions are counted like any other; no baskets give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 from basketry.session import ship
 
 RANGE = 1 << 13         # transactions of a range, a multiple of 64
+MAX_TAKEN = 4           # items taken from a tail that :func:`bound` speaks of
 MIN_DENSITY = 1 / 32    # share of (transaction, frequent item) cells from which bits are smaller
 
 
@@ -112,6 +114,18 @@ def _classes(batch: pa.RecordBatch, k: int) -> Iterator[tuple]:
         yield row[0], row[1:k - 1], row[k - 1], bits, row[k + 1:]
 
 
+def bound(n_items: int, n_transactions: int) -> dict[str, float]:
+    """The most rows that ranges of all transactions yield by the items taken, in all and one."""
+    ranges = n_transactions / RANGE + 1
+    most = {j: float(math.comb(n_items, j)) for j in range(2, 2 + MAX_TAKEN)}
+    return {f"sum{j}": n * ranges for j, n in most.items()} | {f"max{j}": n for j, n in most.items()}
+
+
+def is_light(n_items: int, rows_per_task: int) -> bool:
+    """Whether no range is more than one task's work at level 2."""
+    return math.comb(n_items, 2) * (RANGE // 64) <= rows_per_task
+
+
 def dealt(classes: DataFrame, k: int, rows_per_task: int) -> DataFrame:
     """Classes dealt out by their work: one AND of a pair is a range's words.
 
