@@ -7,6 +7,7 @@ them back cuts the lineage, so a lost executor costs a re-read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -51,6 +52,24 @@ class Scratch(Workspace):
         return self.spark.read.schema(df.schema).parquet(target)
 
 
+    def bucketed(self, df: DataFrame, name: str, column: str) -> DataFrame:
+        """Write ``df`` once, each task's rows in files by bucket of ``column``, and read it back.
+
+        Grouping or joining the table by ``column`` then needs no exchange of it.
+        There are as many buckets as shuffle partitions. The catalog entry that
+        the write needs goes at once; the files stay with the other tables.
+        """
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"basketry_{uuid.uuid4().hex}"
+        with freed_shuffles(self.spark):
+            (df.write.format("parquet").option("compression", "zstd").option("path", self.location(name))
+             .bucketBy(n, column).saveAsTable(table))
+        found = self.spark.table(table)
+        found.schema            # the plan holds the files and their buckets from here on
+        self.spark.sql(f"drop table {table}")
+        return found
+
+
 def columns(df: DataFrame, **named: str | Column) -> DataFrame:
     """Exactly the named columns, so extra or clashing ones cannot matter.
 

@@ -15,7 +15,9 @@ How it is spread. Nothing of the model is held in one place. Documents are
 condensed to blocks (a vocabulary and the texts as numbers in it). Level by
 level each block asks for the corpus counts of its distinct strings, packed by
 range of the key (bucket); a bucket's task adds them up and returns the totals
-that the block does not know already. A string is asked for only if the strings
+that the block does not know already. The blocks themselves never move: they are
+written by hash of their number, and only questions and replies are exchanged,
+whose shuffle files go when a level is written. A string is asked for only if the strings
 it extends reach ``min_count``, which its own count never exceeds. One block
 of those that have a string (its owner) sends the string's deviance to the
 bucket of its context, which decides on the state and tells every block that
@@ -413,7 +415,7 @@ def lm_scores(docs: DataFrame, held_out: Column, *, depth: int = DEPTH, min_coun
     ship(spark)
     scratch = scratch or Scratch(spark)
     rows = _prepared(docs, held_out, id_col, text_col)
-    condensed = scratch.keep(blocks(rows), "blocks", "kind")
+    condensed = scratch.bucketed(blocks(rows), "blocks", "block")
     n_tokens = condensed.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0
     # small inputs are dealt finer, or a few tasks would do all the work
     n_buckets = max(1, -(-n_tokens // STRINGS_HELD), min(64, n_tokens // 50_000))
