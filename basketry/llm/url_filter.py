@@ -103,8 +103,8 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch,
     def level(name: str) -> DataFrame:
         return counts.groupBy(name).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
-    suffixes, domains = level("suffix"), level("domain")
-    k1, k2, k3 = _strength(suffixes), _strength(domains), _strength(counts)
+    by_suffix, by_domain = level("suffix"), level("domain")
+    k1, k2, k3 = _strength(by_suffix), _strength(by_domain), _strength(counts)
 
     def shrunk(table: DataFrame, key: str, name: str) -> DataFrame:
         return table.select(key, F.col("n").alias(f"{name}_n"), F.col("bad").alias(f"{name}_bad"))
@@ -114,8 +114,8 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, scratch: Scratch,
 
     every = (hosts.select("host").distinct()
              .withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes))
-             .join(shrunk(suffixes, "suffix", "s"), "suffix", "left")
-             .join(shrunk(domains, "domain", "d"), "domain", "left")
+             .join(shrunk(by_suffix, "suffix", "s"), "suffix", "left")
+             .join(shrunk(by_domain, "domain", "d"), "domain", "left")
              .join(shrunk(counts, "host", "h"), "host", "left"))
     (sn, sb), (dn, db), (hn, hb) = filled("s"), filled("d"), filled("h")
     of_suffix = (F.lit(k1 * overall) + sb) / (F.lit(k1) + sn)
