@@ -17,14 +17,19 @@ other tokens, are repeated until ``f**trees`` is under the target. What is still
 large when the tokens are used up is dealt as tiles, every pair of which is one
 task's work, so no node is left out.
 
-Links of similar classes are confirmed on their full sets, rebuilt from the
-texts of the classes concerned. Groups of near copies do not yield all their
-pairs: first every class of a node is only compared with the node's pivot (its
-smallest class); confirmed links make components; nodes within one component
-are finished, and in the others only pairs that cross two components remain.
-Before a set is fetched, a pair must pass its sizes, and two bits of each token
-(``MAX_DIFFER`` of 64 places may differ, which a pair at the threshold exceeds
-with probability 1.5e-7).
+Before full sets are fetched, a pair must pass its sizes, and two bits of each
+token (``MAX_DIFFER`` of 64 places may differ, which a pair at the threshold
+exceeds with probability 1.5e-7). What a node yields are not the pairs that
+pass but links that span their components, so it yields a row a class at most,
+however alike its classes are; a node whose classes are all in one component
+already (first of all by comparing each class with the node's pivot, its
+smallest class) is finished and not branched on. A component of these links, a
+suspect group, holds every pair that can link.
+
+Links are confirmed on full sets, rebuilt from one text of each suspect class.
+The sets of a group meet in one task, each once; there pairs that pass are
+tested, nearest first, unless links confirmed before connect them. A group with
+more than ``GROUP_HASHES`` hashes is dealt as tiles like a large node.
 
 Rows: documents without words, empty and null texts have an empty set, link
 with nothing and are their own component, equal or not; with fewer words than a
@@ -56,6 +61,8 @@ BRANCHES = 2
 POOL = 9                # tokens a level below the root chooses from
 SMALL = 1000
 MAX_DIFFER = 26
+GROUP_ROWS = 20_000     # classes, and hashes of their sets, that a task confirms together
+GROUP_HASHES = 4_000_000
 PAIRS_AT_ONCE = 1 << 20
 HASHES_AT_ONCE = 1 << 15
 MAX_WORDS = 500_000     # hashes of words a worker remembers
@@ -172,6 +179,11 @@ def trees_for(percent: int, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(f))
 
 
+def _levels(trees: int) -> int:
+    """Levels below the roots for which there are tokens."""
+    return (TOKENS - trees * BRANCHES) // POOL
+
+
 def _roots(classes: DataFrame, trees: int) -> DataFrame:
     """Every class in the nodes below all roots: ``BRANCHES`` tokens a tree."""
     path = F.transform(F.sequence(F.lit(0), F.lit(trees * BRANCHES - 1)),
@@ -204,8 +216,8 @@ def candidates(node: np.ndarray, label: np.ndarray, cls: np.ndarray, n: np.ndarr
                s0: np.ndarray, s1: np.ndarray, percent: int):
     """Pairs of rows that share a node, differ in label and pass sizes and bits.
 
-    Rows are sorted by ``node``. Yields arrays of rows ``(i, j)``, a bounded
-    number of comparisons at a time.
+    Rows are sorted by ``node``. Yields arrays of rows ``(i, j)`` and of the
+    places in which they differ, a bounded number of comparisons at a time.
     """
     stop = np.searchsorted(node, node, side="right")
     count = stop - np.arange(len(node)) - 1
@@ -229,37 +241,74 @@ def candidates(node: np.ndarray, label: np.ndarray, cls: np.ndarray, n: np.ndarr
             differ += np.bitwise_count((z | (z >> np.uint64(1))) & odd)
         keep = differ <= MAX_DIFFER
         if keep.any():
-            yield i[keep], j[keep]
+            yield i[keep], j[keep], differ[keep]
 
 
-def _compared(rows: DataFrame, percent: int) -> DataFrame:
-    """``(u, v)`` with u < v: what an exhaustive comparison of small nodes leaves."""
-    cols = ["path", "label", "cls", "n", "s0", "s1"]
+def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the links ``(u, v)`` but the smallest of its component, and that smallest."""
+    nodes, at = np.unique(np.r_[u, v], return_inverse=True)
+    u, v = at[:len(u)], at[len(u):]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        for end in (u, v, root[u], root[v]):
+            np.minimum.at(new, end, low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    below = root != np.arange(len(nodes))
+    return nodes[below], nodes[root[below]]
 
-    def run(batches):
-        held: list[np.ndarray] = []     # rows of the node that may go on in the next batch
 
-        def solve(rows: np.ndarray):
-            s = [np.ascontiguousarray(rows[:, c]).view(np.uint64) for c in (4, 5)]
-            for i, j in candidates(rows[:, 0].copy(), rows[:, 1].copy(), rows[:, 2], rows[:, 3].copy(), *s, percent):
-                u, v = rows[i, 2], rows[j, 2]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+def _by_group(rows: DataFrame, keys: list[str], solve, schema: str) -> DataFrame:
+    """``solve(table)`` of whole groups, a batch's worth of groups at a time.
+
+    Rows are dealt by ``keys`` and sorted, so a group's rows follow one another.
+    """
+    def run(batches):
+        held: list[pa.Table] = []       # rows of the group that may go on in the next batch
 
         for b in batches:
-            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns], 1)
-            if not len(rows):
+            t = pa.Table.from_batches([b])
+            if not len(t):
                 continue
-            cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))     # where the last node begins
-            if cut == 0 and held and held[-1][-1, 0] == rows[0, 0]:
-                held.append(rows)
+            ends = np.ones(len(t), bool)
+            for k in keys:
+                c = t.column(k).to_numpy()
+                ends &= c == c[-1]
+            cut = len(t) - int(ends[::-1].argmin()) if not ends.all() else 0   # where the last group begins
+            if cut == 0:
+                if held and any(held[-1].column(k)[-1].as_py() != t.column(k)[0].as_py() for k in keys):
+                    yield from solve(pa.concat_tables(held))
+                    held = []
+                held.append(t)
                 continue
-            yield from solve(np.concatenate([*held, rows[:cut]]))
-            held = [rows[cut:]]
+            yield from solve(pa.concat_tables([*held, t.slice(0, cut)]))
+            held = [t.slice(cut)]
         if held:
-            yield from solve(np.concatenate(held))
+            yield from solve(pa.concat_tables(held))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
 
-    return (rows.select(*cols).repartition("path").sortWithinPartitions("path")
-            .mapInArrow(run, "u bigint, v bigint").where("u <> v").distinct())
+def _links_batch(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    """``(u, v)``: links that span the components of an exhaustive comparison of small nodes."""
+    def solve(t: pa.Table):
+        path, label, cls, n, s0, s1 = (t.column(c).to_numpy() for c in ("path", "label", "cls", "n", "s0", "s1"))
+        u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i, j, _ in candidates(path, label, cls, n, s0.view(np.uint64), s1.view(np.uint64), percent):
+            u, v = spanning(np.r_[u, label[i]], np.r_[v, label[j]])
+        if len(u):
+            yield _links_batch(u, v)
+
+    return _by_group(rows.select("path", "label", "cls", "n", "s0", "s1"), ["path"], solve,
+                     "u bigint, v bigint").distinct()
 
 
 def _tiled(rows: DataFrame, small: int) -> DataFrame:
@@ -299,40 +348,63 @@ def _sets(need: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) ->
     return found.select("cls", "text").mapInArrow(run, "cls bigint, hashes binary").dropDuplicates(["cls"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough."""
-    def run(batches):
-        for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = []
-            for x, y in zip(left, right):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["u", "v"])
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether ascending distinct arrays have that share of their union in common."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    v = sets.select(F.col("cls").alias("v"), F.col("hashes").alias("right"))
-    u = sets.select(F.col("cls").alias("u"), F.col("hashes").alias("left"))
-    return (pairs.join(v, "v").join(u, "u").select("u", "v", "left", "right")
-            .mapInArrow(run, "u bigint, v bigint"))
+
+def confirmed(group: np.ndarray, n: np.ndarray, s0: np.ndarray, s1: np.ndarray, sets: list[np.ndarray],
+              percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``(u, v)`` whose links span the components of all similar pairs within groups.
+
+    Of the pairs not yet connected, each row's nearest are tested in turn.
+    """
+    rows = np.arange(len(group))
+    root = rows.copy()
+    for i, j, differ in candidates(group, rows, rows, n, s0, s1, percent):
+        order = np.argsort(differ, kind="stable")
+        i, j = i[order], j[order]
+        while len(i):
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            if not len(i):
+                break
+            test = np.zeros(len(i), bool)
+            for end in (i, j):
+                test[np.unique(end, return_index=True)[1]] = True
+            linked = [similar(sets[x], sets[y], percent) for x, y in zip(i[test].tolist(), j[test].tolist())]
+            if any(linked):
+                u, v = i[test][linked], j[test][linked]
+                below, low = spanning(np.r_[root[u], rows], np.r_[root[v], root])
+                root[below] = low
+            i, j = i[~test], j[~test]
+    below = root != rows
+    return rows[below], root[below]
+
+
+def _confirm(rows: DataFrame, percent: int) -> DataFrame:
+    """``(u, v)``: confirmed links of ``rows (root, tile, cls, n, s0, s1, hashes)``."""
+    def solve(t: pa.Table):
+        root, tile, cls, n, s0, s1 = (t.column(c).to_numpy() for c in ("root", "tile", "cls", "n", "s0", "s1"))
+        new = np.r_[True, (root[1:] != root[:-1]) | (tile[1:] != tile[:-1])]
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("hashes")]
+        u, v = confirmed(np.cumsum(new), n, s0.view(np.uint64), s1.view(np.uint64), sets, percent)
+        if len(u):
+            yield _links_batch(cls[u], cls[v])
+
+    return _by_group(rows.select("root", "tile", "cls", "n", "s0", "s1", "hashes"), ["root", "tile"], solve,
+                     "u bigint, v bigint")
 
 
 # ---- the join ----------------------------------------------------------------------------------
 
-def _links(classes: DataFrame, docs: DataFrame, scratch: Scratch, *, shingle: int, percent: int,
-           recall: float, small: int) -> DataFrame:
-    """``(u, v)``: confirmed links that span every component of the classes."""
+def _suspects(classes: DataFrame, scratch: Scratch, *, percent: int, recall: float, small: int) -> DataFrame:
+    """``(cls, root)``: groups of two or more classes that hold every pair that can link."""
     trees = trees_for(percent, recall)
-    if trees * BRANCHES > TOKENS - POOL:
+    if trees * BRANCHES > TOKENS:
         raise ValueError(f"{trees} trees need more than {TOKENS} tokens")
 
-    def confirm(pairs: DataFrame, step: str) -> DataFrame:
-        pairs = scratch.keep(pairs, f"{step}-pairs")
-        need = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
-        sets = scratch.keep(_sets(need, classes, docs, shingle), f"{step}-sets")
-        return scratch.keep(_confirmed(pairs, sets, percent), f"{step}-links")
-
     # every class with the pivots of its nodes
     own = ["cls", "n", "s0", "s1"]
     roots = _roots(classes, trees)
@@ -343,38 +415,59 @@ def _links(classes: DataFrame, docs: DataFrame, scratch: Scratch, *, shingle: in
     nodes = scratch.keep(roots.join(pivots, "path").select(
         "path", *own, F.when((row["cls"] != pivot["cls"]) & _alike(row, pivot, percent), pivot["cls"])
         .alias("near")), "nodes")
-    links = confirm(nodes.where("near is not null")
-                    .select(F.col("near").alias("u"), F.col("cls").alias("v")).distinct(), "pivot")
+    links = [scratch.keep(nodes.where("near is not null")
+                          .select(F.col("near").alias("u"), F.col("cls").alias("v")).distinct(), "near-pivots")]
 
     # nodes that hold more than one component
-    named = scratch.keep(components(links, scratch, "pivot"), "pivot-named")
-    rows = (nodes.drop("near").join(named.withColumnRenamed("node", "cls"), "cls", "left")
-            .withColumn("label", F.coalesce("root", "cls")).drop("root"))
-    rows = scratch.keep(rows, "level-0")
+    named = scratch.keep(components(links[0], scratch, "near"), "near-named")
+    rows = scratch.keep(nodes.drop("near").join(named.withColumnRenamed("node", "cls"), "cls", "left")
+                        .withColumn("label", F.coalesce("root", "cls")).drop("root"), "level-0")
     tokens = classes.select("cls", "tokens")
-    pairs, first, depth = [], trees * BRANCHES, 0
+    depth = 0
     while True:
         sized = scratch.keep(_sized(rows), f"sized-{depth}")
-        pairs.append(scratch.keep(_compared(rows.join(sized.where(F.col("size") <= small), "path"), percent),
+        links.append(scratch.keep(_compared(rows.join(sized.where(F.col("size") <= small), "path"), percent),
                                   f"compared-{depth}"))
         large = sized.where(F.col("size") > small)
         if large.isEmpty():
             break
         rows = rows.join(large, "path")
-        if first + POOL > TOKENS:
-            pairs.append(scratch.keep(_compared(_tiled(rows, small), percent), "compared-tiles"))
+        if depth == _levels(trees):
+            links.append(scratch.keep(_compared(_tiled(rows, small), percent), "compared-tiles"))
             break
+        first = trees * BRANCHES + depth * POOL
         depth += 1
         rows = scratch.keep(_branched(rows, tokens, first).drop("size"), f"level-{depth}")
-        first += POOL
-    rest = pairs[0]
-    for p in pairs[1:]:
-        rest = rest.unionByName(p)
-    return links.unionByName(confirm(rest.distinct(), "rest"))
+    every = links[0]
+    for found in links[1:]:
+        every = every.unionByName(found)
+    named = components(every, scratch, "suspects")
+    centre = named.select(F.col("root").alias("cls"), "root").distinct()
+    return scratch.keep(named.select(F.col("node").alias("cls"), "root").unionByName(centre), "suspects")
+
+
+def _links(classes: DataFrame, docs: DataFrame, scratch: Scratch, *, shingle: int, percent: int,
+           recall: float, small: int, group_rows: int, group_hashes: int) -> DataFrame:
+    """``(u, v)``: confirmed links that span every component of the classes."""
+    suspects = _suspects(classes, scratch, percent=percent, recall=recall, small=small)
+    own = suspects.join(classes.select("cls", "n", "s0", "s1"), "cls")
+    # tiles of a group: one, or those of its parts that a row is in
+    t = F.greatest(F.lit(1), F.ceil(F.col("many") * 2 / group_rows), F.ceil(F.col("all") * 2 / group_hashes))
+    t = F.when((F.col("many") <= group_rows) & (F.col("all") <= group_hashes), F.lit(1)).otherwise(t).cast("bigint")
+    groups = scratch.keep(own.groupBy("root").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("all"))
+                          .select("root", t.alias("t")), "suspect-groups")
+    own = scratch.keep(own.join(groups, "root"), "suspect-rows")
+    mine = F.pmod(F.xxhash64("cls"), F.col("t"))
+    tiles = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("t") - 1),
+                        lambda o: F.least(o, mine) * F.col("t") + F.greatest(o, mine))
+    sets = _sets(own.select("cls"), classes, docs, shingle)
+    rows = own.join(sets, "cls").withColumn("tile", F.explode(tiles))
+    return scratch.keep(_confirm(rows, percent), "links")
 
 
 def chosen_path_dedup(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT,
-                      recall: float = RECALL, small: int = SMALL, scratch: Scratch | None = None,
+                      recall: float = RECALL, small: int = SMALL, group_rows: int = GROUP_ROWS,
+                      group_hashes: int = GROUP_HASHES, scratch: Scratch | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row."""
     spark = docs.sparkSession
@@ -384,7 +477,7 @@ def chosen_path_dedup(docs: DataFrame, *, shingle: int = SHINGLE, percent: int =
     rows = scratch.keep(_signatures(texts, shingle), "signatures")
     classes = scratch.keep(_classes(rows), "classes")
     roots = components(_links(classes, texts, scratch, shingle=shingle, percent=percent, recall=recall,
-                              small=small), scratch)
+                              small=small, group_rows=group_rows, group_hashes=group_hashes), scratch)
     # only classes with company need a look-up; every other row is its own component
     member = classes.select("cls", "key", "low", "many").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     centre = roots.select(F.col("root").alias("cls"), F.lit(True).alias("centre")).distinct()

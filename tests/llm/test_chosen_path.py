@@ -8,7 +8,7 @@ import xxhash
 
 from basketry.llm import chosen_path
 from basketry.llm.chosen_path import (
-    MAX_DIFFER, TOKENS, candidates, chosen_path_dedup, minwise, shingle_set, sketch, trees_for)
+    MAX_DIFFER, TOKENS, candidates, chosen_path_dedup, confirmed, minwise, shingle_set, sketch, spanning, trees_for)
 
 
 def shingles(text):
@@ -76,25 +76,28 @@ def test_against_brute_force(spark, seed):
     rows = corpus(seed)
     want = brute(rows)
     assert run(spark, rows) == want
-    # nodes of three classes: every level of the tree, and the tiles below it
-    assert run(spark, rows, small=3) == want
+    # nodes of three classes: every level of the tree, and the tiles below it; groups in tiles
+    assert run(spark, rows, small=3, group_rows=4, group_hashes=300) == want
 
 
 def test_large_nodes_are_branched_and_dealt_as_tiles(spark, monkeypatch):
-    """A boilerplate half in every document: nodes stay large to the last token."""
+    """Boilerplate in every document: nodes are large and hold unlike documents."""
     rng = random.Random(9)
-    head = ["h%d" % i for i in range(60)]
+    head = ["h%d" % i for i in range(30)]
     rows = []
     for i in range(80):
-        own = ["x%d_%d" % (i // 2, j) for j in range(30)]
+        own = ["x%d_%d" % (i // 2, j) for j in range(60)]
         if i % 2:
-            own[rng.randrange(30)] = "changed"
+            own[rng.randrange(60)] = "changed"
         rows.append((i, " ".join(head + own)))
     calls = []
     tiled = chosen_path._tiled
     monkeypatch.setattr(chosen_path, "_tiled", lambda *a: calls.append(1) or tiled(*a))
-    assert run(spark, rows, small=4) == brute(rows)
-    assert calls
+    want = brute(rows)
+    assert run(spark, rows, small=4) == want and len({c for _, _, c, _ in want}) == 40
+    calls.clear()
+    monkeypatch.setattr(chosen_path, "_levels", lambda trees: 1)
+    assert run(spark, rows, small=4) == want and calls
 
 
 def test_a_chain_is_one_component(spark):
@@ -169,7 +172,7 @@ def test_candidates_are_all_pairs_of_a_node(monkeypatch):
             and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])}
     for at_once in (1, 17, 1 << 20):
         monkeypatch.setattr(chosen_path, "PAIRS_AT_ONCE", at_once)
-        got = [(x, y) for i, j in candidates(node, label, cls, n, *s, 80) for x, y in zip(i.tolist(), j.tolist())]
+        got = [(x, y) for i, j, _ in candidates(node, label, cls, n, *s, 80) for x, y in zip(i.tolist(), j.tolist())]
         assert len(got) == len(set(got)) and set(got) == want
 
 
@@ -179,3 +182,45 @@ def test_shingle_sets():
     assert len(shingle_set("a b a b")) == 2 and len(shingle_set("a")) == 1
     assert shingle_set("a b")[0] != shingle_set("b a")[0] and shingle_set("a")[0] != shingle_set("a a")[0]
     assert len(shingle_set("a\x1cb")) == 1          # no white space here
+
+
+def _components(n, links):
+    root = list(range(n))
+    for a, b in links:
+        ra, rb = root[a], root[b]
+        root = [min(ra, rb) if r in (ra, rb) else r for r in root]
+    return root
+
+
+def test_spanning_links():
+    rng = np.random.default_rng(10)
+    for m in (0, 1, 30, 90):
+        u, v = rng.integers(0, 80, m), rng.integers(0, 80, m)
+        nodes, low = spanning(u, v)
+        want = _components(80, zip(u.tolist(), v.tolist()))
+        got = np.arange(80)
+        got[nodes] = low
+        assert got.tolist() == want and len(nodes) == len(set(nodes.tolist()))
+    chain = np.arange(5000)
+    assert (spanning(chain[1:], chain[:-1])[1] == 0).all()
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 20])
+def test_confirmed_links_span_what_all_pairs_do(monkeypatch, at_once):
+    """Chains and stars around the threshold, groups side by side."""
+    monkeypatch.setattr(chosen_path, "PAIRS_AT_ONCE", at_once)
+    rng = np.random.default_rng(11)
+    group, sets = [], []
+    for g in range(6):
+        base = rng.integers(0, 2**62, 60, dtype=np.uint64)
+        for _ in range(int(rng.integers(2, 25))):
+            x = base.copy()
+            x[rng.integers(0, 60, int(rng.integers(0, 12)))] = rng.integers(0, 2**62, 1, dtype=np.uint64)
+            group.append(g)
+            sets.append(np.unique(x))
+    s0, s1 = sketch(minwise(sets))
+    u, v = confirmed(np.array(group), np.array([len(x) for x in sets]), s0, s1, sets, 80)
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if group[i] == group[j]
+             and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    want = _components(len(sets), pairs)
+    assert _components(len(sets), zip(u.tolist(), v.tolist())) == want and 6 < len(set(want)) < len(sets)
