@@ -22,7 +22,7 @@ token (``MAX_DIFFER`` of 64 places may differ, which a pair at the threshold
 exceeds with probability 1.5e-7). What a node yields are not the pairs that
 pass but links that span their components, so it yields a row a class at most,
 however alike its classes are; a node whose classes are all in one component
-already (first of all by comparing each class with the node's pivot, its
+already (in a large node every class is first compared with the pivot, the node's
 smallest class) is finished and not branched on. A component of these links, a
 suspect group, holds every pair that can link.
 
@@ -405,50 +405,57 @@ def _suspects(classes: DataFrame, scratch: Scratch, *, percent: int, recall: flo
     if trees * BRANCHES > TOKENS:
         raise ValueError(f"{trees} trees need more than {TOKENS} tokens")
 
-    # every class with the pivots of its nodes
     own = ["cls", "n", "s0", "s1"]
     roots = _roots(classes, trees)
     pivots = scratch.keep(roots.groupBy("path").agg(F.count(F.lit(1)).alias("size"),
                                                     F.min(F.struct(*own)).alias("pivot"))
                           .where("size > 1"), "pivots")
+    # small nodes are compared; in a large one every class meets the node's pivot first
+    rows = scratch.keep(roots.join(pivots, "path").withColumn("label", F.col("cls")), "level-0")
     row, pivot = {c: F.col(c) for c in own}, {c: F.col(f"pivot.{c}") for c in own}
-    nodes = scratch.keep(roots.join(pivots, "path").select(
-        "path", *own, F.when((row["cls"] != pivot["cls"]) & _alike(row, pivot, percent), pivot["cls"])
-        .alias("near")), "nodes")
-    links = [scratch.keep(nodes.where("near is not null")
-                          .select(F.col("near").alias("u"), F.col("cls").alias("v")).distinct(), "near-pivots")]
-
-    # nodes that hold more than one component
-    named = scratch.keep(components(links[0], scratch, "near"), "near-named")
-    rows = scratch.keep(nodes.drop("near").join(named.withColumnRenamed("node", "cls"), "cls", "left")
-                        .withColumn("label", F.coalesce("root", "cls")).drop("root"), "level-0")
-    tokens = classes.select("cls", "tokens")
-    depth = 0
+    large = F.col("size") > small
+    near = (rows.where(large & (row["cls"] != pivot["cls"]) & _alike(row, pivot, percent))
+            .select(pivot["cls"].alias("u"), row["cls"].alias("v")).distinct())
+    links = scratch.keep(_compared(rows.where(~large), percent).unionByName(near), "compared-0")
+    named = components(links, scratch, "suspects")
+    if not pivots.where(large).isEmpty():
+        rows = (rows.where(large).drop("pivot", "label", "size")
+                .join(named.withColumnRenamed("node", "cls"), "cls", "left")
+                .withColumn("label", F.coalesce("root", "cls")).drop("root"))
+        more = _deeper(scratch.keep(rows, "large-0"), classes.select("cls", "tokens"), scratch,
+                       percent=percent, trees=trees, small=small)
+        if more is not None:
+            stars = named.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            named = components(stars.unionByName(more), scratch, "all-suspects")
+    centre = named.select(F.col("root").alias("cls"), "root").distinct()
+    return scratch.keep(named.select(F.col("node").alias("cls"), "root").unionByName(centre), "suspects")
+
+
+def _deeper(rows: DataFrame, tokens: DataFrame, scratch: Scratch, *, percent: int, trees: int,
+            small: int) -> DataFrame | None:
+    """Links from below large nodes ``rows (path, label, cls, ...)``; None if all are finished."""
+    links, depth = None, 0
     while True:
         sized = scratch.keep(_sized(rows), f"sized-{depth}")
-        links.append(scratch.keep(_compared(rows.join(sized.where(F.col("size") <= small), "path"), percent),
-                                  f"compared-{depth}"))
-        large = sized.where(F.col("size") > small)
+        if depth:
+            found = scratch.keep(_compared(rows.join(sized.where(F.col("size") <= small), "path"), percent),
+                                 f"compared-{depth}")
+            links = found if links is None else links.unionByName(found)
+        large = sized.where(F.col("size") > small) if depth else sized
         if large.isEmpty():
-            break
+            return links
         rows = rows.join(large, "path")
         if depth == _levels(trees):
-            links.append(scratch.keep(_compared(_tiled(rows, small), percent), "compared-tiles"))
-            break
+            found = scratch.keep(_compared(_tiled(rows, small), percent), "compared-tiles")
+            return found if links is None else links.unionByName(found)
         first = trees * BRANCHES + depth * POOL
         depth += 1
         rows = scratch.keep(_branched(rows, tokens, first).drop("size"), f"level-{depth}")
-    every = links[0]
-    for found in links[1:]:
-        every = every.unionByName(found)
-    named = components(every, scratch, "suspects")
-    centre = named.select(F.col("root").alias("cls"), "root").distinct()
-    return scratch.keep(named.select(F.col("node").alias("cls"), "root").unionByName(centre), "suspects")
 
 
-def _links(classes: DataFrame, docs: DataFrame, scratch: Scratch, *, shingle: int, percent: int,
+def _components(classes: DataFrame, docs: DataFrame, scratch: Scratch, *, shingle: int, percent: int,
            recall: float, small: int, group_rows: int, group_hashes: int) -> DataFrame:
-    """``(u, v)``: confirmed links that span every component of the classes."""
+    """``(node, root)`` of every class that is not the root of its component."""
     suspects = _suspects(classes, scratch, percent=percent, recall=recall, small=small)
     own = suspects.join(classes.select("cls", "n", "s0", "s1"), "cls")
     # tiles of a group: one, or those of its parts that a row is in
@@ -462,7 +469,10 @@ def _links(classes: DataFrame, docs: DataFrame, scratch: Scratch, *, shingle: in
                         lambda o: F.least(o, mine) * F.col("t") + F.greatest(o, mine))
     sets = _sets(own.select("cls"), classes, docs, shingle)
     rows = own.join(sets, "cls").withColumn("tile", F.explode(tiles))
-    return scratch.keep(_confirm(rows, percent), "links")
+    links = scratch.keep(_confirm(rows, percent), "links")
+    if groups.where("t > 1").isEmpty():     # a group met as a whole: its links are stars already
+        return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return components(links, scratch)
 
 
 def chosen_path_dedup(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT,
@@ -476,8 +486,8 @@ def chosen_path_dedup(docs: DataFrame, *, shingle: int = SHINGLE, percent: int =
     texts = documents(docs, id_col, text_col).withColumn("seen", F.xxhash64("text")).select("doc_id", "seen", "text")
     rows = scratch.keep(_signatures(texts, shingle), "signatures")
     classes = scratch.keep(_classes(rows), "classes")
-    roots = components(_links(classes, texts, scratch, shingle=shingle, percent=percent, recall=recall,
-                              small=small, group_rows=group_rows, group_hashes=group_hashes), scratch)
+    roots = _components(classes, texts, scratch, shingle=shingle, percent=percent, recall=recall,
+                        small=small, group_rows=group_rows, group_hashes=group_hashes)
     # only classes with company need a look-up; every other row is its own component
     member = classes.select("cls", "key", "low", "many").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     centre = roots.select(F.col("root").alias("cls"), F.lit(True).alias("centre")).distinct()
