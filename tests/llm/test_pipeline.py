@@ -18,6 +18,7 @@ import corpus_pipeline
 from basketry.llm import queries as Q
 from basketry.llm.common import crc_mod
 from basketry.llm.quality import train
+from basketry.session import Workspace
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -160,5 +161,13 @@ def test_rows_that_share_an_id_or_have_none_are_judged_each(spark, sf):
 
 def test_every_operator_has_a_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_a_run_leaves_its_last_stage_only(spark):
+    made = len(Workspace.made)
+    pieces = corpus_pipeline.run(spark, SF0001)
+    assert pieces.count() > 0
+    left = Workspace.made[made:]
+    assert len(left) == 1 and os.listdir(left[0].replace("file:", "")) == ["benchmark-decontamination"]
