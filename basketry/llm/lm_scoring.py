@@ -17,11 +17,13 @@ level each block asks for the corpus counts of its distinct strings, packed by
 range of the key (bucket); a bucket's task adds them up and returns the totals
 that the block does not know already. The blocks themselves never move: they are
 written by hash of their number, and only questions and replies are exchanged,
-whose shuffle files go when a level is written. A string is asked for only if the strings
+whose shuffle files go when a level is written: keys as gaps between sorted
+ones, numbers in as many bytes as the largest needs. A string is asked for only if the strings
 it extends reach ``min_count``, which its own count never exceeds. One block
-of those that have a string (its owner) sends the string's deviance to the
-bucket of its context, which decides on the state and tells every block that
-asked for this context what weight it leaves to the shorter one. A block so
+of those that have a string (its owner) tells the
+bucket of its context whether it is deviant; the bucket decides on the state and
+tells every block that asked for this context what its strings hold, so what weight
+it leaves to the shorter one. A block so
 knows the part of the tree its own texts touch, and scores them. Very common
 strings are one entry per block. Blocks, questions and replies are written to
 the shared folder; buckets grow in number with the corpus, not in size. Words
@@ -39,132 +41,176 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Scratch, ascii_lower, columns, ship
+from basketry.llm.common import Scratch, columns, ship
 
 DEPTH = 3
 MIN_COUNT = 2
 MIN_DEVIANCE = 20.0
 DISCOUNT = 0.5
 BLOCK_TOKENS = 1_000_000
-STRINGS_HELD = 1_000_000  # strings a bucket is asked for, about
+STRINGS_HELD = 2_000_000  # strings a bucket is asked for, about
 END = np.uint64(xxhash.xxh3_64_intdigest(b""))
 
 
-def token_hashes(text: str | None) -> np.ndarray:
-    """Hashes of the words and the end token; a word is a run without white space."""
-    words = ascii_lower(text).split()
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    out[-1] = END
-    return out
-
-
 def _prepared(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = columns(docs, doc_id=id_col, text=text)
     return rows.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
 
+# ---- numbers -------------------------------------------------------------------------
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes as the largest needs: all lowest bytes first, and so on."""
+    wide = np.ascontiguousarray(numbers, "<u8")
+    width = max(1, -(-int(wide.max()).bit_length() // 8)) if len(wide) else 1
+    return bytes([width]) + wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    low = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((low.shape[1], 8), np.uint8)
+    out[:, :width] = low.T
+    return out.view("<u8").ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys or places: the first, and the gaps."""
+    return keys[:1].astype("<u8").tobytes() + _packed(np.diff(keys))
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1), _unpacked(data[8:])]), dtype=np.uint64)
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of 64-bit keys.
+
+    Sorted are the upper bits of the keys with the places in the lower ones,
+    which is several times faster than an argsort; where keys agree in the upper
+    bits only and come out of order, it is left to that.
+    """
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = keys[order]
+    return order if (ordered[1:] >= ordered[:-1]).all() else np.argsort(keys, kind="stable")
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, the first place of each, and the number of every key among them."""
+    order = _order(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
+
+
 # ---- blocks --------------------------------------------------------------------------
 
-def _squeezed(numbers: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """Runs of ``sizes`` numbers, each number in as many groups of 7 bits as it needs."""
-    length = 1 + sum((numbers >= 1 << 7 * j).astype(np.int64) for j in range(1, 5))
-    start = np.r_[0, np.cumsum(length)]
-    out = np.zeros(start[-1], np.uint8)
-    for j in range(5):
-        has = length > j
-        more = (length[has] > j + 1).astype(np.uint8) << np.uint8(7)
-        out[start[:-1][has] + j] = (numbers[has] >> 7 * j & 127).astype(np.uint8) | more
-    cut = start[np.r_[0, np.cumsum(sizes)]]
-    return [out[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])]
-
-
-def _expanded(runs: list[bytes]) -> np.ndarray:
-    data = np.frombuffer(b"".join(runs), np.uint8)
-    end = np.flatnonzero(data < 128)
-    start = np.r_[0, end[:-1] + 1]
-    out = np.zeros(len(end), np.int64)
-    for j in range(5):
-        has = end - start >= j
-        out[has] |= (data[start[has] + j].astype(np.int64) & 127) << 7 * j
-    return out
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z lower-cased, and how many each text has; a word is a run without white space."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, count = split.flatten(), pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    some = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    if not some.all():      # white space at a text's begin or end
+        kept = np.r_[0, np.cumsum(some)]
+        count = np.diff(kept[np.r_[0, np.cumsum(count)]])
+        words = words.filter(pa.array(some))
+    return words, count.astype(np.int64)
 
 
 def blocks(rows: DataFrame) -> DataFrame:
     """Documents condensed by block.
 
-    ``kind`` 0, per document: ``a`` its tokens as numbers of the block's words,
-    common words first. ``kind`` 1, per block: ``a`` the word hashes in order of
-    number, ``b`` their counts in the block's training documents.
+    ``kind`` 0, per document: its ``place`` in the block. ``kind`` 1, per block:
+    ``words`` the word hashes, common words first, ``counts`` their counts in the
+    block's training documents, ``tokens`` the documents one after the other as
+    numbers of the words, ``sizes`` the documents' tokens, ``held`` 1 if held out.
     """
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    names = ["kind", "block", "doc_id", "held_out", "n_tokens", "a", "b"]
+    names = ["kind", "block", "place", "doc_id", "held_out", "n_tokens",
+             "words", "counts", "tokens", "sizes", "held"]
 
     def run(batches):
         block = TaskContext.get().partitionId() << 20
-        docs: list[tuple] = []
-        hashes: list[np.ndarray] = []
-        size, id_arrow = 0, None
+        docs: list[tuple] = []          # of runs of documents: ids, held out, words, how many each has
+        size = 0
 
         def close():
-            count = np.array([len(h) for h in hashes])
-            words, number, seen = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-            order = np.argsort(-seen, kind="stable")
-            words, number = words[order], np.argsort(order)[number]
-            train = np.repeat(~np.array([d[1] for d in docs]), count)
-            counts = np.bincount(number[train], minlength=len(words))
-            n = len(docs) + 1
+            ids, held, words, count = ([d[i] for d in docs] for i in range(4))
+            held, count = np.concatenate(held), np.concatenate(count) + 1
+            found = pa.concat_arrays(words).dictionary_encode()
+            distinct = found.dictionary.cast(pa.large_binary()).to_pylist()
+            keys = np.full(len(distinct) + 1, END)
+            keys[1:] = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+            number = np.zeros(count.sum(), np.int64)        # 0: the end, the last of a document
+            inside = np.ones(len(number), bool)
+            inside[np.cumsum(count) - 1] = False
+            number[inside] = found.indices.to_numpy() + 1
+            keys, which = np.unique(keys, return_inverse=True)
+            number = which[number]
+            order = np.argsort(-np.bincount(number), kind="stable")
+            keys, number = keys[order], np.argsort(order)[number]
+            counts = np.bincount(number[np.repeat(~held, count)], minlength=len(keys))
+            n = len(count)
             return pa.RecordBatch.from_arrays([
-                pa.array([0] * (n - 1) + [1], pa.int32()), pa.array([block] * n, pa.int64()),
-                pa.array([d[0] for d in docs] + [None], id_arrow),
-                pa.array([d[1] for d in docs] + [None], pa.bool_()),
+                pa.array([0] * n + [1], pa.int32()), pa.array([block] * (n + 1), pa.int64()),
+                pa.array([*range(n), None], pa.int32()),
+                pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)]),
+                pa.array([*held.tolist(), None], pa.bool_()),
                 pa.array([*count.tolist(), None], pa.int64()),
-                pa.array(_squeezed(number, count)
-                         + [words.astype("<u8").tobytes()], pa.binary()),
-                pa.array([None] * (n - 1) + [counts.astype("<i4").tobytes()], pa.binary())], names)
+                *[pa.array([None] * n + [x], pa.binary()) for x in (
+                    keys.astype("<u8").tobytes(), _packed(counts), _packed(number),
+                    _packed(count), _packed(held))]], names)
 
         for batch in batches:
-            id_arrow = batch.schema.field(0).type
-            for doc_id, text, held in zip(*(c.to_pylist() for c in batch.columns)):
-                docs.append((doc_id, held))
-                hashes.append(token_hashes(text))
-                size += len(hashes[-1])
+            ids, texts, held = batch.columns
+            held = held.to_numpy(zero_copy_only=False).astype(bool)
+            words, count = _words(texts)
+            end, tokens = np.r_[0, np.cumsum(count)], np.r_[0, np.cumsum(count + 1)]
+            lo = 0
+            while lo < len(count):
+                # up to the document that fills the block
+                hi = min(len(count), int(np.searchsorted(tokens, tokens[lo] + BLOCK_TOKENS - size)))
+                docs.append((ids[lo:hi], held[lo:hi], words[int(end[lo]):int(end[hi])], count[lo:hi]))
+                size += tokens[hi] - tokens[lo]
                 if size >= BLOCK_TOKENS:
                     yield close()
-                    block, docs, hashes, size = block + 1, [], [], 0
+                    block, docs, size = block + 1, [], 0
+                lo = hi
         if docs:
             yield close()
 
-    return rows.mapInArrow(run, f"kind int, block bigint, doc_id {id_type}, held_out boolean, "
-                                "n_tokens bigint, a binary, b binary")
+    return rows.mapInArrow(run, f"kind int, block bigint, place int, doc_id {id_type}, held_out boolean, "
+                                "n_tokens bigint, words binary, counts binary, tokens binary, "
+                                "sizes binary, held binary")
 
 
 # ---- questions and replies -----------------------------------------------------------
 
 #: ``kind`` 0 asks for the totals of ``keys``, with the block's own counts ``n``
 #: and the place ``lo`` of the first key among the block's; ``kind`` 1 has contexts'
-#: counts ``n``, strongest deviances ``top`` and discounted counts ``held``;
-#: ``kind`` 2 asks for the weights of the contexts ``keys``, ``lo`` among the block's strings
-#: of the level that reach ``min_count``.
-QUESTIONS = ("kind int, bucket int, block bigint, lo int, keys binary, n binary, "
-             "top binary, held binary")
-#: ``what`` 0: totals (with marks of owners) of the block's strings at ``at``, 1:
-#: the weights its contexts at ``at`` leave; both ``level`` words long. The row
+#: ``kids`` (next symbols that the block owns), their counts' sum ``n`` and, in its
+#: lowest bit, whether one is deviant; ``kind`` 2 asks for the weights of the contexts
+#: ``keys``, ``lo`` among the block's strings of the level that reach ``min_count``.
+QUESTIONS = "kind int, bucket int, block bigint, lo int, keys binary, n binary, kids binary"
+#: ``what`` 0: totals of the block's strings at ``at``, in the lowest bit whether it is
+#: the owner, 1: sum ``value`` and number ``kids`` of the next symbols' counts of the block's
+#: contexts at ``at`` that are states; both ``level`` words long. The row
 #: of block -1 counts a bucket's strings and their occurrences.
-REPLIES = ("block bigint, level int, what int, at binary, value binary, own binary, "
+REPLIES = ("block bigint, level int, what int, at binary, value binary, kids binary, "
            "n_strings bigint, n_seen bigint")
 
 
-def _gaps(at: np.ndarray) -> bytes:
-    return np.diff(at, prepend=0).astype("<i4").tobytes()
-
-
 def _table(rows: list[tuple], schema: str) -> pa.Table:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
@@ -172,15 +218,13 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
                      for i, (name, kind) in enumerate(fields)})
 
 
-def _packed(kind: int, block: int, n_buckets: int, keys: np.ndarray, n: np.ndarray | None,
-            *more: np.ndarray) -> list[tuple]:
+def _dealt(kind: int, block: int, n_buckets: int, keys: np.ndarray, *numbers: np.ndarray) -> list[tuple]:
     """Rows of ``QUESTIONS`` for sorted keys, one per bucket that has any."""
     bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
     cut = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(keys) else []
-    return [(kind, int(bucket[lo]), block, int(lo), keys[lo:hi].tobytes(),
-             None if n is None else n[lo:hi].tobytes(),
-             *([m[lo:hi].tobytes() for m in more] or [None, None]))
-            for lo, hi in zip(cut, cut[1:])]
+    none = [None] * (2 - len(numbers))
+    return [(kind, int(bucket[lo]), block, int(lo), _packed_keys(keys[lo:hi]),
+             *[_packed(n[lo:hi]) for n in numbers], *none) for lo, hi in zip(cut, cut[1:])]
 
 
 def ask_words(condensed: DataFrame, n_buckets: int) -> DataFrame:
@@ -189,63 +233,64 @@ def ask_words(condensed: DataFrame, n_buckets: int) -> DataFrame:
             for block, words, counts in zip(*(c.to_pylist() for c in b.columns)):
                 keys = np.frombuffer(words, "<u8")
                 order = np.argsort(keys)
-                rows = _packed(0, block, n_buckets, keys[order], np.frombuffer(counts, "<i4")[order])
+                rows = _dealt(0, block, n_buckets, keys[order], _unpacked(counts)[order])
                 yield from _table(rows, QUESTIONS).to_batches()
 
-    return condensed.where("kind = 1").select("block", "a", "b").mapInArrow(run, QUESTIONS)
+    return condensed.where("kind = 1").select("block", "words", "counts").mapInArrow(run, QUESTIONS)
 
 
-def _joined(t: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_py(), kind) for x in t.column(column))])
+def _joined(t: pa.Table, column: str, unpack=_unpacked) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *(unpack(x) for x in t.column(column).to_pylist())])
 
 
 def _totals(t: pa.Table, level: int) -> list[tuple]:
     """Replies to the blocks: totals that differ from the block's own count."""
-    n = _joined(t, "n", "<i4")
-    keys, where = np.unique(_joined(t, "keys", "<u8"), return_inverse=True)
-    total = np.bincount(where, weights=n, minlength=len(keys)).astype("<i8")
-    has = np.flatnonzero(n)
-    own = np.zeros(len(n), np.uint8)
-    own[has[np.unique(where[has], return_index=True)[1]]] = 1
+    asks = [_unpacked_keys(x) for x in t.column("keys").to_pylist()]
+    n = _joined(t, "n").astype(np.int64)
+    keys, _, where = _distinct(np.concatenate([np.zeros(0, np.uint64), *asks]))
+    total = np.bincount(where, weights=n, minlength=len(keys)).astype(np.int64)
+    has = np.flatnonzero(n)[::-1]
+    owner = np.zeros(len(keys), np.int64)
+    owner[where[has]] = has         # the last one written is the first that has the string
     rows = [(-1, level, 0, b"", b"", b"", int((total > 0).sum()), int(total.sum()))]
     lo = 0
-    for block, first, asks in zip(*(t.column(c).to_pylist() for c in ("block", "lo", "keys"))):
-        hi = lo + len(asks) // 8
+    for block, first, ask in zip(t.column("block").to_pylist(), t.column("lo").to_pylist(), asks):
+        hi = lo + len(ask)
         of = total[where[lo:hi]]
         at = np.flatnonzero(of != n[lo:hi])
         if len(at):
-            rows.append((block, level, 0, _gaps(at + first), of[at].tobytes(),
-                         own[lo:hi][at].tobytes(), None, None))
+            mine = (n[lo + at] > 0) & (owner[where[lo + at]] == lo + at)
+            rows.append((block, level, 0, _packed_keys(at + first), _packed(of[at] << 1 | mine), b"", None, None))
         lo = hi
     return rows
 
 
-def _weights(t: pa.Table, c: pa.Table, level: int, min_deviance: float) -> list[tuple]:
-    """Replies to the blocks: the weight each state leaves to the shorter one."""
-    keys, where = np.unique(_joined(c, "keys", "<u8"), return_inverse=True)
-    of, top = np.ones(len(keys)), np.zeros(len(keys))
-    of[where] = _joined(c, "n", "<i8")
-    np.maximum.at(top, where, _joined(c, "top", "<f8"))
-    held = np.bincount(where, weights=_joined(c, "held", "<f8"), minlength=len(keys))
-    state = top >= min_deviance
-    keys, rest = keys[state], (1 - held / of)[state]
+def _weights(t: pa.Table, c: pa.Table, level: int) -> list[tuple]:
+    """Replies to the blocks: what the next symbols of each state hold."""
+    keys, _, where = _distinct(_joined(c, "keys", _unpacked_keys))
+    n = _joined(c, "n")
+    held = np.bincount(where, weights=n >> np.uint64(1), minlength=len(keys)).astype(np.int64)
+    kids = np.bincount(where, weights=_joined(c, "kids"), minlength=len(keys)).astype(np.int64)
+    state = np.zeros(len(keys), bool)
+    state[where[(n & np.uint64(1)) > 0]] = True
+    keys, held, kids = keys[state], held[state], kids[state]
     rows = []
-    for block, first, asks in zip(*(t.column(c).to_pylist() for c in ("block", "lo", "keys"))):
-        found = _find(keys, np.frombuffer(asks, "<u8"))
+    for block, first, asks in zip(*(t.column(x).to_pylist() for x in ("block", "lo", "keys"))):
+        found = _find(keys, _unpacked_keys(asks))
         at = np.flatnonzero(found >= 0)
         if len(at):
-            rows.append((block, level, 1, _gaps(at + first), rest[found[at]].astype("<f8").tobytes(),
-                         b"", None, None))
+            rows.append((block, level, 1, _packed_keys(at + first), _packed(held[found[at]]),
+                         _packed(kids[found[at]]), None, None))
     return rows
 
 
-def answers(sent: DataFrame, level: int, min_deviance: float) -> DataFrame:
+def answers(sent: DataFrame, level: int) -> DataFrame:
     """Totals of strings of ``level`` words, weights of contexts two words shorter."""
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("block")
         kind = t.column("kind").to_numpy()
         asked, contexts, wanted = (t.filter(pa.array(kind == k)) for k in range(3))
-        return _table(_totals(asked, level) + _weights(wanted, contexts, level - 2, min_deviance), REPLIES)
+        return _table(_totals(asked, level) + _weights(wanted, contexts, level - 2), REPLIES)
 
     return sent.groupBy("bucket").applyInArrow(run, REPLIES)
 
@@ -264,7 +309,8 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Keys of strings from the keys of their prefixes and their last words' hashes."""
     with np.errstate(over="ignore"):
-        k = prefix * np.uint64(0x9E3779B97F4A7C15) + word
+        k = prefix * np.uint64(0x9E3779B97F4A7C15)
+        k += word
         k ^= k >> np.uint64(32)
         k *= np.uint64(0xD6E8FEB86659FD93)
         k ^= k >> np.uint64(29)
@@ -276,126 +322,115 @@ def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
 class Part:
     """A block's strings by length, as far as the replies tell.
 
-    By level (0: words): ``keys`` sorted, ``own`` counts of the block, ``total``
-    those of the corpus, ``mine`` marks of the strings the block is the owner of,
-    ``at`` the string that ends at each token or -1, ``before`` and ``shorter``
-    each string's prefix and suffix in the level before, ``logp`` the log10
+    By level (0: words): ``keys`` sorted, ``total`` counts of the corpus, ``mine``
+    marks of the strings the block is the owner of, ``at`` the string that ends at
+    each token if it reaches ``min_count``, or -1, ``before`` and ``shorter``
+    each string's prefix and suffix in the level before, ``p`` the
     probability of the last word after the longest state that ends the prefix,
     ``rest`` the weight a context leaves to the shorter state, NaN if no state.
     """
 
-    def __init__(self, block: pa.Table, replies: pa.Table, levels: int, min_count: int,
+    def __init__(self, block: dict, replies: pa.Table, levels: int, min_count: int,
                  discount: float, norm: float):
-        kind = block.column("kind").to_numpy()
-        self.docs = block.filter(pa.array(kind == 0))
-        words = block.filter(pa.array(kind == 1))
-        self.block = words.column("block")[0].as_py()
+        self.block = block["block"]
         self.min_count, self.discount, self.norm = min_count, discount, norm
-        self.size = np.array(self.docs.column("n_tokens").to_pylist())
-        keys = np.frombuffer(words.column("a")[0].as_py(), "<u8")
+        self.size = _unpacked(block["sizes"]).astype(np.int64)
+        keys = np.frombuffer(block["words"], "<u8")
         order = np.argsort(keys)
-        keys, own = keys[order], np.frombuffer(words.column("b")[0].as_py(), "<i4")[order]
-        word = np.argsort(order)[_expanded(self.docs.column("a").to_pylist())]
-        self.hashes, self.inside = keys, keys[word] != END
-        self.train = np.repeat(~np.array(self.docs.column("held_out").to_pylist(), bool), self.size)
+        self.word = np.argsort(order)[_unpacked(block["tokens"]).astype(np.int64)]
+        self.hashes = keys[order]
+        self.inside = self.word != np.searchsorted(self.hashes, END)
+        self.train = np.repeat(_unpacked(block["held"]) == 0, self.size)
         self.replies: dict = {}
         for level, what, *reply in zip(*(replies.column(c).to_pylist() for c in
-                                         ("level", "what", "at", "value", "own"))):
+                                         ("level", "what", "at", "value", "kids"))):
             self.replies.setdefault((level, what), []).append(reply)
-        self.keys, self.own, self.total, self.mine, self.at = [], [], [], [], []
-        self.before, self.shorter, self.logp, self.rest = [], [], [], []
-        self._add(keys, own, word, None, None)
+        self.keys, self.total, self.mine, self.at = [], [], [], []
+        self.before, self.shorter, self.p, self.rest = [], [], [], []
+        own = _unpacked(block["counts"]).astype(np.int64)[order]
+        self._add(self.hashes, own, slice(None), self.word, None, None)
         for _ in range(1, levels):
-            self.extend()
+            self._add(*self._next())
 
-    def _reply(self, level: int, what: int, kind: str):
+    def _reply(self, level: int, what: int) -> tuple[np.ndarray, list[np.ndarray]]:
         found = self.replies.get((level, what), [])
-        return (np.concatenate([np.zeros(0, np.int64),
-                                *(np.cumsum(np.frombuffer(f[0], "<i4")) for f in found)]),
-                np.frombuffer(b"".join(f[1] for f in found), kind),
-                np.frombuffer(b"".join(f[2] for f in found), np.uint8))
+        none = np.zeros(0, np.int64)
+        return (np.concatenate([none, *(_unpacked_keys(f[0]).astype(np.int64) for f in found)]),
+                [np.concatenate([none, *(_unpacked(f[i]).astype(np.int64) for f in found)])
+                 for i in range(1, 2 + what)])
 
-    def _add(self, keys, own, at, before, shorter):
+    def _add(self, keys, own, here, number, before, shorter):
+        """A level: strings, and the number of that which ends at each of the tokens ``here``."""
         level = len(self.keys) + 1
-        total, mine = own.astype(np.int64), own > 0
-        place, value, owner = self._reply(level, 0, "<i8")
-        total[place], mine[place] = value, owner == 1
+        total, mine = own.copy(), own > 0
+        place, (value,) = self._reply(level, 0)
+        total[place], mine[place] = value >> 1, value & 1
+        frequent = total >= self.min_count
+        at = np.full(len(self.word), -1, np.int64)
+        at[here] = np.where(frequent[number], number, -1)
         if before is None:
-            logp = np.log10(total + 0.5) - self.norm
+            p = (total + 0.5) / 10 ** self.norm
         else:
-            below = 10 ** self.logp[-1][shorter]
-            rest, of = self.rest[-1][before], np.maximum(self.total[-1][before], 1)
-            p = np.where(np.isnan(rest), below, (total - self.discount) / of + rest * below)
-            logp = np.log10(np.maximum(p, 1e-300))
+            p = self.p[-1][shorter]
+            rest = self.rest[-1][before]
+            state = np.flatnonzero(~np.isnan(rest))
+            of = self.total[-1][before[state]]
+            p[state] = (total[state] - self.discount) / of + rest[state] * p[state]
+            p = np.maximum(p, 1e-300)
         rest = np.full(len(keys), np.nan)
-        place, value, _ = self._reply(level, 1, "<f8")
-        rest[np.flatnonzero(total >= self.min_count)[place]] = value
-        for to, x in ((self.keys, keys), (self.own, own), (self.total, total), (self.mine, mine),
-                      (self.at, at), (self.before, before), (self.shorter, shorter),
-                      (self.logp, logp), (self.rest, rest)):
+        place, (held, kids) = self._reply(level, 1)
+        context = np.flatnonzero(frequent)[place]
+        rest[context] = 1 - (held - self.discount * kids) / total[context]
+        for to, x in ((self.keys, keys), (self.total, total), (self.mine, mine), (self.at, at),
+                      (self.before, before), (self.shorter, shorter), (self.p, p), (self.rest, rest)):
             to.append(x)
 
-    def frequent(self, level: int) -> np.ndarray:
-        """The string of the level that ends at each token if it reaches ``min_count``, or -1."""
-        at = self.at[level]
-        ok = at >= 0
-        ok[ok] = self.total[level][at[ok]] >= self.min_count
-        return np.where(ok, at, -1)
-
-    def contexts(self, level: int) -> np.ndarray:
-        """The same for the words before each token; none reaches across an end."""
-        return np.r_[-1, np.where(self.inside, self.frequent(level), -1)[:-1]]
-
-    def extend(self) -> None:
-        """The next level: strings whose prefix and suffix reach ``min_count``."""
-        level = len(self.keys) - 1
-        before, shorter = self.contexts(level), self.frequent(level)
-        here = np.flatnonzero((before >= 0) & (shorter >= 0))
-        key = _longer(self.keys[level][before[here]], self.hashes[self.at[0][here]])
-        keys, first, number = np.unique(key, return_index=True, return_inverse=True)
-        own = np.bincount(number[self.train[here]], minlength=len(keys)).astype("<i4")
-        at = np.full(len(self.inside), -1, np.int64)
-        at[here] = number
-        first = here[first]
-        self._add(keys, own, at, before[first], shorter[first])
+    def _next(self) -> tuple[np.ndarray, ...]:
+        """The next level: strings whose prefix and suffix reach ``min_count``; none reaches across an end."""
+        at, keys = self.at[-1], self.keys[-1]
+        known = at >= 0
+        here = np.flatnonzero(known[1:] & known[:-1] & self.inside[:-1]) + 1
+        before = at[here - 1]
+        keys, first, number = _distinct(_longer(keys[before], self.hashes[self.word[here]]))
+        own = np.bincount(number[self.train[here]], minlength=len(keys))
+        return keys, own, here, number, before[first], at[here[first]]
 
     def questions(self, n_buckets: int) -> list[tuple]:
-        return _packed(0, self.block, n_buckets, self.keys[-1], self.own[-1])
+        """Asks for the totals of the next level."""
+        keys, own, *_ = self._next()
+        return _dealt(0, self.block, n_buckets, keys, own)
 
     def wanted(self, n_buckets: int, level: int) -> list[tuple]:
         """Asks for the weights of the contexts of a level."""
-        return _packed(2, self.block, n_buckets,
-                       self.keys[level][self.total[level] >= self.min_count], None)
+        return _dealt(2, self.block, n_buckets, self.keys[level][self.total[level] >= self.min_count])
 
-    def deviances(self, n_buckets: int, level: int) -> list[tuple]:
+    def deviances(self, n_buckets: int, level: int, min_deviance: float) -> list[tuple]:
         """What the strings of a level the block owns say about their contexts."""
         owned = np.flatnonzero(self.mine[level] & (self.total[level] >= self.min_count))
         before, n = self.before[level][owned], self.total[level][owned].astype(float)
-        expected = self.total[level - 1][before] * 10 ** self.logp[level - 1][self.shorter[level][owned]]
+        expected = self.total[level - 1][before] * self.p[level - 1][self.shorter[level][owned]]
         deviance = 2 * (n * np.log(n / expected) - (n - expected))
-        context, where = np.unique(before, return_inverse=True)
-        top = np.zeros(len(context))
-        np.maximum.at(top, where, deviance)
-        held = np.bincount(where, weights=n - self.discount, minlength=len(context))
-        return _packed(1, self.block, n_buckets, self.keys[level - 1][context],
-                       self.total[level - 1][context], top, held)
-
-    def gains(self) -> np.ndarray:
-        """log10 P(token | state) - log10 P(token) of every token."""
-        gain = np.zeros(len(self.inside))
-        done = np.zeros(len(gain), bool)
-        base = self.logp[0][self.at[0]]
-        for level in range(len(self.keys) - 1, 0, -1):
-            context, x = self.contexts(level - 1), self.frequent(level)
-            rest = np.where(context >= 0, self.rest[level - 1][context], np.nan) if len(
-                self.rest[level - 1]) else np.full(len(gain), np.nan)
-            state = ~done & ~np.isnan(rest)
-            hit = state & (x >= 0)
-            gain[hit] += self.logp[level][x[hit]] - base[hit]
-            miss = state & (x < 0)
-            gain[miss] += np.log10(np.maximum(rest[miss], 1e-300))
-            done |= hit
-        return gain
+        size = len(self.keys[level - 1])
+        kids = np.bincount(before, minlength=size)
+        held = np.bincount(before, weights=n, minlength=size).astype(np.int64) << 1
+        held[before[deviance >= min_deviance]] |= 1
+        context = np.flatnonzero(kids)
+        return _dealt(1, self.block, n_buckets, self.keys[level - 1][context], held[context], kids[context])
+
+    def scores(self) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(token) and log10 P(token | state) of every token."""
+        base = (np.log10(self.total[0] + 0.5) - self.norm)[self.word]
+        score = base.copy()
+        for level in range(1, len(self.keys)):
+            with np.errstate(invalid="ignore"):
+                rest = np.log10(np.maximum(self.rest[level - 1], 1e-300))
+            before = self.at[level - 1][:-1]
+            here = np.flatnonzero((before >= 0) & self.inside[:-1])
+            here = here[~np.isnan(rest[before[here]])]
+            x = self.at[level][here + 1]
+            score[here + 1] = np.where(x >= 0, np.log10(self.p[level])[x] if len(self.p[level]) else 0,
+                                       score[here + 1] + rest[before[here]])
+        return base, score
 
 
 # ---- the operator ------------------------------------------------------------------------
@@ -420,45 +455,50 @@ def lm_scores(docs: DataFrame, held_out: Column, *, depth: int = DEPTH, min_coun
     # small inputs are dealt finer, or a few tasks would do all the work
     n_buckets = max(1, -(-n_tokens // STRINGS_HELD), min(64, n_tokens // 50_000))
 
-    replies = scratch.keep(answers(ask_words(condensed, n_buckets), 1, min_deviance), "answers-1")
+    replies = scratch.keep(answers(ask_words(condensed, n_buckets), 1), "answers-1")
     size = replies.agg(F.sum("n_seen").alias("n"), F.sum("n_strings").alias("v")).first()
     n_train, n_words = int(size["n"] or 0), int(size["v"] or 0)
     norm = math.log10(n_train + 0.5 * (n_words + 1))
 
-    def told() -> DataFrame:
-        found = replies.where("block >= 0").select("block", "level", "what", "at", "value", "own")
-        return condensed.groupBy("block").cogroup(found.groupBy("block"))
+    def told(rows: DataFrame):
+        found = replies.where("block >= 0").select("block", "level", "what", "at", "value", "kids")
+        return rows.groupBy("block").cogroup(found.groupBy("block"))
+
+    packed = ["block", "words", "counts", "tokens", "sizes", "held"]
 
     def step(level: int):
         def run(block: pa.Table, known: pa.Table) -> pa.Table:
-            part = Part(block, known, level, min_count, discount, norm)
+            part = Part(block.to_pylist()[0], known, level, min_count, discount, norm)
             out = []
             if level > 1:
-                out += part.deviances(n_buckets, level - 1) + part.wanted(n_buckets, level - 2)
+                out += part.deviances(n_buckets, level - 1, min_deviance)
+                out += part.wanted(n_buckets, level - 2)
             if level <= depth:
-                part.extend()
                 out += part.questions(n_buckets)
             return _table(out, QUESTIONS)
         return run
 
+    texts = condensed.where("kind = 1").select(packed)
     for level in range(1, depth + 2):
-        found = answers(told().applyInArrow(step(level), QUESTIONS), level + 1, min_deviance)
+        found = answers(told(texts).applyInArrow(step(level), QUESTIONS), level + 1)
         replies = replies.unionByName(scratch.keep(found, f"answers-{level + 1}"))
 
     id_type = condensed.schema["doc_id"].dataType.simpleString()
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        part = Part(block, known, depth + 1, min_count, discount, norm)
+        kind = block.column("kind").to_numpy()
+        docs = block.filter(pa.array(kind == 0)).sort_by("place")
+        text = block.filter(pa.array(kind == 1)).select(packed).to_pylist()[0]
+        part = Part(text, known, depth + 1, min_count, discount, norm)
         start = np.r_[0, np.cumsum(part.size)[:-1]]
-        word = part.at[0]
-        base = np.add.reduceat(part.logp[0][word], start)
+        base, score = part.scores()
         return pa.Table.from_arrays(
-            [part.docs.column("doc_id"), part.docs.column("held_out"), part.docs.column("n_tokens"),
-             pa.array(np.add.reduceat((part.total[0][word] > 0).astype(np.int64), start)),
-             pa.array(base), pa.array(base + np.add.reduceat(part.gains(), start))],
+            [docs.column("doc_id"), docs.column("held_out"), docs.column("n_tokens"),
+             pa.array(np.add.reduceat((part.total[0] > 0).astype(np.int64)[part.word], start)),
+             pa.array(np.add.reduceat(base, start)), pa.array(np.add.reduceat(score, start))],
             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = told().applyInArrow(score, f"doc_id {id_type}, held_out boolean, n_tokens bigint, "
-                                        "n_known bigint, base_score double, score double")
+    scored = told(condensed).applyInArrow(score, f"doc_id {id_type}, held_out boolean, n_tokens bigint, "
+                                                 "n_known bigint, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known",
                          F.lit(n_train).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import lm_scoring
@@ -161,3 +162,42 @@ def test_strings_take_part_whatever_the_size_of_the_corpus(spark):
     for i, t in [*rows[:12], rows[-1]]:
         assert got[i].score == pytest.approx(model.score(t), rel=1e-9)
     assert got[rows[-1][0]].score > got[rows[-1][0]].base_score + 5
+
+
+def test_questions_and_replies_are_short(spark):
+    """A key and its count take eight bytes, not twelve, and a place and a total two or three, not thirteen."""
+    rows = [(i, " ".join(f"w{i * 500 + j}" for j in range(1000))) for i in range(100)]
+    docs = frame(spark, rows).coalesce(1).select("doc_id", "text", crc_mod("doc_id", 5).alias("m"))
+    condensed = lm_scoring.blocks(docs.selectExpr("doc_id", "text", "m = 1 as held_out")).cache()
+    asked = lm_scoring.ask_words(condensed, 4)
+    size = asked.selectExpr("sum(length(keys) + length(n))").first()[0]
+    assert size < 8.1 * len({w for _, t in rows for w in tokens(t)})
+    told = lm_scoring.answers(asked.union(asked.selectExpr(
+        "kind", "bucket", "block + 1", "lo", "keys", "n", "kids")), 1).where("block >= 0")
+    sizes = told.selectExpr("sum(length(at) + length(value))", "count(distinct block)").first()
+    assert sizes[0] < 2.5 * 2 * 50501 and sizes[1] == 2
+
+
+def test_keys_and_numbers_are_kept_whole():
+    rng = np.random.default_rng(5)
+    for numbers in ([], [0], [255, 256], [2**64 - 1, 0, 1], rng.integers(0, 2**40, 1000)):
+        numbers = np.array(numbers, np.uint64)
+        assert (lm_scoring._unpacked(lm_scoring._packed(numbers)) == numbers).all()
+        if len(numbers):
+            keys = np.unique(numbers)
+            assert (lm_scoring._unpacked_keys(lm_scoring._packed_keys(keys)) == keys).all()
+    # keys that agree in all but the lowest bits, and keys that come again
+    for keys in (rng.integers(0, 50, 3000), rng.integers(0, 2**63, 3000), rng.integers(0, 9, 3000) << 50, []):
+        keys = np.array(keys, np.uint64)
+        assert (lm_scoring._order(keys) == np.argsort(keys, kind="stable")).all()
+        wanted = np.unique(keys, return_index=True, return_inverse=True)
+        assert all((x == y).all() for x, y in zip(lm_scoring._distinct(keys), wanted))
+
+
+def test_words_are_cut_at_ascii_white_space(spark):
+    texts = [" a B\x0b\x0cb\r\na ", "\t\n", "", None, "\u00a0a\u2003 \x1c\x1d É", "\x00 \x7f  a"]
+    found, count = lm_scoring._words(pa.array([t or "" for t in texts]))
+    wanted = [tokens(t)[:-1] for t in texts]
+    assert count.tolist() == [len(w) for w in wanted]
+    assert found.to_pylist() == [w for t in wanted for w in t]
+    check(spark, [(i, t) for i, t in enumerate(texts * 3)])
