@@ -286,10 +286,10 @@ class Aligner:
     def _joined(self, text: str) -> tuple[list[str], list[tuple[bytes, bytes]]]:
         """Parts of a text with other white space, which stays with its neighbours."""
         parts = SAFE.split(text) if self.cut else [text]
-        self._learn({p for p in parts if p not in self.kept})
-        loose = [p for p in parts if self.kept[p] is None]
+        self._learn({p for p in parts if p not in self.kept and p[0] != "\n"})
+        loose = [p for p in parts if p[0] == "\n" or self.kept[p] is None]
         found = {p: self._entry(p, a, b) for p, a, b in zip(loose, self.a.encode(loose), self.b.encode(loose))}
-        return parts, [self.kept[p] or found[p] for p in parts]
+        return parts, [found.get(p) or self.kept[p] for p in parts]
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Per text the ids of both sides as little-endian 32-bit integers;
@@ -298,7 +298,8 @@ class Aligner:
             self.kept, self.older = {}, self.kept
         if len(self.tails) > MAX_TAILS:
             self.tails = {"": (b"", b"")}
-        split = [t.split(" ") if t and self.cut else [] for t in texts]
+        # a part that begins with a line break is no line of another part, whose entry has no space
+        split = [t.split(" ") if t and self.cut and t[0] != "\n" and " \n" not in t else [] for t in texts]
         kept = self.kept
         self._learn({p for parts in split for p in parts if p not in kept})
         out = []

@@ -141,6 +141,17 @@ def test_parts_give_the_ids_of_the_whole(texts):
         assert [np.frombuffer(x, "<u4").tolist() for x in (a, b)] == wanted
 
 
+def test_a_text_may_begin_like_a_later_line():
+    """A line of one text and the begin of another are kept apart, whichever comes first."""
+    texts = ["\na", "b\na", "\na", "\na c \na", "b\nc", "\nc\na"]
+    for some in (texts, texts[::-1]):
+        own = Aligner(A, B)
+        for text in some:
+            (a, b), = own.encode([text])
+            wanted = [[t for t, *_ in side] for side in spans(text)]
+            assert [np.frombuffer(x, "<u4").tolist() for x in (a, b)] == wanted
+
+
 def test_tables_are_emptied(monkeypatch):
     """Few parts are remembered; the ids stay the same."""
     monkeypatch.setattr("basketry.llm.alignment.MAX_KEPT", 5)
